@@ -58,9 +58,11 @@ def parse_timestamp(c: Column | str) -> Column:
     Slashed dates are rewritten to ISO text instead of being parsed through the
     session time zone, where a daylight-saving gap would shift them.
     """
-    iso = F.regexp_replace(
-        F.trim(_column(c)), r"\A([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})(?=\z|[ T])", "$3-$1-$2"
+    text = F.trim(_column(c))
+    slashed = F.regexp_replace(
+        text, r"\A([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})(?=\z|[ T])", "$3-$1-$2"
     )
+    iso = F.when(F.contains(text, F.lit("/")), slashed).otherwise(text)
     whole_date = iso.rlike(r"\A[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}(\z|[ T])")
     return F.when(whole_date, iso.try_cast("timestamp_ntz"))
 

@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VIOLATIONS = "violations"
-
-
 class ConstraintViolation(ValueError):
     """Rows break constraints for which the load must stop."""
 
@@ -46,28 +44,35 @@ def positive(column: str) -> RowCheck:
     return RowCheck(f"{column}_positive", F.col(column) <= 0, F.col(column).cast("string"))
 
 
-def flag(df: DataFrame, checks: Iterable[RowCheck]) -> DataFrame:
-    """Add ``violations``: one (check_name, raw_value) entry per failed check."""
-    entries = [
-        F.when(c.failed, F.struct(F.lit(c.name).alias("check_name"), c.shown.alias("raw_value")))
-        for c in checks
-    ]
-    return df.withColumn(VIOLATIONS, F.array_compact(F.array(*entries)))
+def _definitely(c: RowCheck) -> Column:
+    return F.coalesce(c.failed, F.lit(False))
 
 
-def passing(flagged: DataFrame) -> DataFrame:
-    return flagged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+def passing(df: DataFrame, checks: Iterable[RowCheck]) -> DataFrame:
+    """Rows that break no check: one plain filter per check, so each can be pushed down."""
+    for c in checks:
+        df = df.filter(~_definitely(c))
+    return df
 
 
-def failing(flagged: DataFrame) -> DataFrame:
-    return flagged.filter(F.size(VIOLATIONS) > 0)
+def failing(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    """Rows that break a check, with the names of all they break in ``failed_checks``."""
+    broken = df.filter(reduce(Column.__or__, [_definitely(c) for c in checks]))
+    return broken.withColumn(
+        "failed_checks", F.concat_ws(",", *[F.when(c.failed, F.lit(c.name)) for c in checks])
+    )
 
 
-def violations(df: DataFrame, checks: Iterable[RowCheck], keep: Sequence[str] = ()) -> DataFrame:
+def violations(df: DataFrame, checks: Sequence[RowCheck], keep: Sequence[str] = ()) -> DataFrame:
     """One row per failed check of a row, with the ``keep`` columns beside it."""
+    entries = F.array(*[
+        F.when(c.failed, F.struct(F.lit(c.name).alias("check_name"), c.shown.alias("raw_value")))
+        for c in checks
+    ])
+    broken = df.filter(reduce(Column.__or__, [_definitely(c) for c in checks]))
     return (
-        failing(flag(df, checks))
-        .select(*keep, F.explode(VIOLATIONS).alias("v"))
+        broken.select(*keep, F.explode(entries).alias("v"))
+        .filter(F.col("v").isNotNull())
         .select(*keep, "v.check_name", "v.raw_value")
     )
 
@@ -96,30 +101,49 @@ class UniqueSplit:
     surplus: DataFrame
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> UniqueSplit:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str
+) -> UniqueSplit:
     """Keep the first row of each key in ``order``; the others are surplus.
 
     ``keys`` and ``order`` must cover all columns, so that ties are equal rows
-    and the choice is deterministic. No window is used: the first row is an
-    aggregate that is combined before the shuffle, so a key that holds a third
-    of all rows reaches the reducer as one row per task. Surplus rows that are
-    equal are likewise collapsed into one row with ``copies``; nothing is lost.
+    and the choice is deterministic.
+
+    Repeated keys are rare, so whole rows are not shuffled to find them: one
+    narrow pass counts 8-byte digests of the keys and writes those seen more than
+    once under ``path``. As a stored table it has a known size, and the planner
+    broadcasts it only if that is small. Rows whose digest is unique are kept as
+    they are. The rest, every repeated key and any digest collision, is decided
+    on the true keys: equal rows collapse into one with ``copies`` before the
+    shuffle and the first row is an aggregate, not a window, so a key holding a
+    third of all rows never meets in one task.
     """
-    first = F.struct(*order)
-    grouped = df.groupBy(*keys).agg(
-        F.min(first).alias("first_row"), F.count(F.lit(1)).alias("key_rows")
+    digest = F.xxhash64(*keys)
+    (
+        df.groupBy(digest.alias("key_digest")).agg(F.count(F.lit(1)).alias("key_rows"))
+        .filter(F.col("key_rows") > 1).select("key_digest")
+        .write.mode("overwrite").parquet(path)
     )
-    kept = grouped.select(*keys, "first_row.*")
+    repeated = df.sparkSession.read.parquet(path)
+    same = digest == F.col("key_digest")
 
-    repeated = grouped.filter(F.col("key_rows") > 1).select(*keys, "first_row")
+    lines = (
+        df.join(repeated, same, "left_semi")
+        .groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("copies"))
+    )
+    first = F.struct(*order)
+    winners = lines.groupBy(*keys).agg(
+        F.min(first).alias("first_row"), F.sum("copies").alias("key_rows")
+    )
+    kept = (
+        df.join(repeated, same, "left_anti").select(*keys, *order)
+        .unionByName(winners.select(*keys, "first_row.*"))
+    )
+    is_first = first.eqNullSafe(F.col("first_row")).cast("bigint")
     surplus = (
-        df.join(repeated, list(keys))
-        .withColumn("is_first", first.eqNullSafe(F.col("first_row")))
-        .groupBy(*keys, *order, "is_first")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("copies", F.col("copies") - F.col("is_first").cast("bigint"))
+        lines.join(winners.filter(F.col("key_rows") > 1), list(keys))
+        .select(*keys, *order, (F.col("copies") - is_first).alias("copies"))
         .filter(F.col("copies") > 0)
-        .drop("is_first")
     )
     return UniqueSplit(kept, surplus)
 
@@ -147,19 +171,20 @@ def enforce(
     checks: Sequence[RowCheck],
     unique: Sequence[str],
     policy: str,
+    path: str,
 ) -> DataFrame:
     """Apply a policy to the constraints of a small typed table.
 
     ``report`` changes nothing, ``quarantine`` drops the broken rows (the caller
     records ``violations``), ``fail`` raises with the count of every broken check.
-    At most one count per check reaches the driver.
+    At most one count per check reaches the driver. ``path`` is scratch space.
     """
     if policy == "report":
         return df
     if policy == "quarantine":
         others = [c for c in df.columns if c not in unique]
-        sound = passing(flag(df, checks))
-        return first_per_key(sound, unique, others).kept.select(*df.columns)
+        sound = passing(df, checks)
+        return first_per_key(sound, unique, others, path).kept.select(*df.columns)
     broken = {r["check_name"]: r["rows"] for r in violation_counts(df, checks, unique).collect()}
     if broken:
         raise ConstraintViolation(f"{table}: {broken}")

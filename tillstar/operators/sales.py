@@ -62,41 +62,36 @@ class SalesSplit:
     findings: DataFrame
 
 
-def split_sales(raw: DataFrame) -> SalesSplit:
+def split_sales(raw: DataFrame, path: str) -> SalesSplit:
     """Separate valid sales lines from those breaking a constraint.
 
     Row checks run first; the (receipt, product) key is then unique among the
-    rows that passed them, as the database would have it.
+    rows that passed them, as the database would have it. ``path`` is scratch
+    space for the repeated keys, which are looked up at once.
     """
     parsed = raw.select(
         *RAW_COLUMNS,
         parse_timestamp("timestamp").alias("transaction_date"),
         parse_count("quantity").alias("units"),
     )
-    flagged = c.flag(parsed, line_checks())
-    broken = c.failing(flagged)
-    lines = c.first_per_key(c.passing(flagged).select(*RAW_COLUMNS), LINE_KEY, LINE_ORDER)
-
-    rejected = broken.select(
-        *RAW_COLUMNS,
-        F.array_join(f"{c.VIOLATIONS}.check_name", ",").alias("failed_checks"),
-        F.lit(1).cast("bigint").alias("copies"),
-    ).unionByName(
-        lines.surplus.withColumn("failed_checks", F.lit(UNIQUE_LINE))
+    checks = line_checks()
+    sound = c.passing(parsed, checks).select(*RAW_COLUMNS)
+    lines = c.first_per_key(sound, LINE_KEY, LINE_ORDER, path)
+
+    one = F.lit(1).cast("bigint").alias("copies")
+    rejected = (
+        c.failing(parsed, checks).select(*RAW_COLUMNS, "failed_checks", one)
+        .unionByName(lines.surplus.withColumn("failed_checks", F.lit(UNIQUE_LINE)))
+    )
+    repeated = lines.surplus.select(
+        "store_id", "source_sheet",
+        F.lit(UNIQUE_LINE).alias("check_name"),
+        F.concat_ws("|", *LINE_KEY).alias("raw_value"),
+        "copies",
     )
-
     findings = (
-        broken.select("store_id", "source_sheet", F.explode(c.VIOLATIONS).alias("v"))
-        .select("store_id", "source_sheet", "v.check_name", "v.raw_value",
-                F.lit(1).cast("bigint").alias("copies"))
-        .unionByName(
-            lines.surplus.select(
-                "store_id", "source_sheet",
-                F.lit(UNIQUE_LINE).alias("check_name"),
-                F.concat_ws("|", *LINE_KEY).alias("raw_value"),
-                "copies",
-            )
-        )
+        c.violations(parsed, checks, ["store_id", "source_sheet"]).withColumn("copies", one)
+        .unionByName(repeated)
         .select(F.lit("staging.transactions").alias("table_name"), "check_name",
                 "store_id", "source_sheet", "raw_value", "copies")
     )

@@ -47,7 +47,7 @@ class RetailTables:
 
     @cached_property
     def split(self) -> sales_ops.SalesSplit:
-        return sales_ops.split_sales(self.sales)
+        return sales_ops.split_sales(self.sales, scratch_path(self.spark, "repeated_lines"))
 
     def staged(self, name: str) -> DataFrame:
         return masters.STAGERS[name](self.raw(name))
@@ -335,7 +335,8 @@ def check_unique_key(t: RetailTables) -> DataFrame:
 def check_unique_composite(t: RetailTables) -> DataFrame:
     """Surplus lines on (receipt, product) over all sales, before any other check."""
     lines = t.sales.select(*sales_ops.RAW_COLUMNS)
-    return c.first_per_key(lines, sales_ops.LINE_KEY, sales_ops.LINE_ORDER).surplus
+    path = scratch_path(t.spark, "repeated_lines")
+    return c.first_per_key(lines, sales_ops.LINE_KEY, sales_ops.LINE_ORDER, path).surplus
 
 
 @query

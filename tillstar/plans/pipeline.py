@@ -93,8 +93,8 @@ def run_pipeline(
             checks, key = masters.master_checks(name), masters.PRIMARY_KEYS[name]
             log.append(_master_findings(typed, table, checks, key))
             staged[name] = write(table, constraints.enforce(
-                typed, table, checks, [key], config.constraint_policy))
-        split = split_sales(sales)
+                typed, table, checks, [key], config.constraint_policy, run.stage_path(table)))
+        split = split_sales(sales, run.stage_path("repeated_lines"))
         kept = write("staging.transactions", split.kept.withColumn(
             "transaction_id", F.monotonically_increasing_id() + 1))
         rejected = write("staging.transactions_rejected", split.rejected)

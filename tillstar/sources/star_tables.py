@@ -91,7 +91,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def raw_frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the raw tables of ``RAW_SQL``, over the parquet tables in ``folder``."""
+    """One of the raw tables of ``RAW_SQL``, over the parquet tables in ``folder``.
+
+    Orders and their lines both grow with the sales, so they are merged on their
+    shuffled key and never broadcast, not even while they are small.
+    """
     sql = RAW_SQL[name]
     used = {t: read_table(spark, folder, t) for t in TABLES if "{" + t + "}" in sql}
+    if "orders" in used:
+        used["orders"] = used["orders"].hint("merge")
     return spark.sql(sql, **used)
