@@ -362,6 +362,8 @@ where place = 1""",
     "sales_by_store_month": "select f.store_id, d.year, d.month_num, " + _MEASURES +
         " from fact f join d_date d on f.date_key = d.date_key"
         " group by f.store_id, d.year, d.month_num",
+    "stream_ingest": "select * from stg_transactions",
+    "stream_fact": "select * from fact",
     "sales_by_category": f"select category, {_MEASURES} from fact group by category",
 }
 

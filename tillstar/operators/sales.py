@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tillstar import fixed_values as fixed
 from tillstar.functions import blank_to_null, parse_count, parse_timestamp
 from tillstar.operators import constraints as c
+from tillstar.sources.landed import SALES_COLUMNS
 
 LINE_KEY = ("receipt_no", "product_sold")
 # Which of several equal (receipt, product) lines stays: the first in this order.
 LINE_ORDER = ("timestamp", "store_id", "staff_name", "quantity", "payment_method",
               "customer_phone", "source_sheet")
-RAW_COLUMNS = ("timestamp", "store_id", "staff_name", "receipt_no", "customer_phone",
-               "product_sold", "quantity", "payment_method", "source_sheet")
+RAW_COLUMNS = SALES_COLUMNS
 UNIQUE_LINE = "receipt_product_unique"
 
 
@@ -54,12 +54,10 @@ def line_checks() -> list[c.RowCheck]:
 
 @dataclass(frozen=True)
 class SalesSplit:
-    """``kept`` is typed; ``rejected`` is raw text with ``failed_checks`` and ``copies``;
-    ``findings`` has one audit row per failed check."""
+    """``kept`` is typed; ``rejected`` is raw text with ``failed_checks`` and ``copies``."""
 
     kept: DataFrame
     rejected: DataFrame
-    findings: DataFrame
 
 
 def split_sales(raw: DataFrame, path: str) -> SalesSplit:
@@ -77,22 +75,25 @@ def split_sales(raw: DataFrame, path: str) -> SalesSplit:
     checks = line_checks()
     sound = c.passing(parsed, checks).select(*RAW_COLUMNS)
     lines = c.first_per_key(sound, LINE_KEY, LINE_ORDER, path)
-
-    one = F.lit(1).cast("bigint").alias("copies")
-    rejected = (
-        c.failing(parsed, checks).select(*RAW_COLUMNS, "failed_checks", one)
-        .unionByName(lines.surplus.withColumn("failed_checks", F.lit(UNIQUE_LINE)))
-    )
-    repeated = lines.surplus.select(
-        "store_id", "source_sheet",
-        F.lit(UNIQUE_LINE).alias("check_name"),
-        F.concat_ws("|", *LINE_KEY).alias("raw_value"),
-        "copies",
+    broken = c.failing(parsed, checks).select(
+        *RAW_COLUMNS, "failed_checks", F.lit(1).cast("bigint").alias("copies")
     )
-    findings = (
-        c.violations(parsed, checks, ["store_id", "source_sheet"]).withColumn("copies", one)
-        .unionByName(repeated)
-        .select(F.lit("staging.transactions").alias("table_name"), "check_name",
-                "store_id", "source_sheet", "raw_value", "copies")
+    surplus = lines.surplus.withColumn("failed_checks", F.lit(UNIQUE_LINE))
+    return SalesSplit(typed_sales(lines.kept), broken.unionByName(surplus))
+
+
+def line_findings(rejected: DataFrame) -> DataFrame:
+    """Audit rows of rejected lines: one per failed check, with the offending value.
+
+    Only the rejected lines are read, not the raw sales again.
+    """
+    shown = F.when(F.col("check_name") == UNIQUE_LINE, F.concat_ws("|", *LINE_KEY))
+    for check in line_checks():
+        shown = shown.when(F.col("check_name") == check.name, check.shown)
+    return (
+        rejected.withColumn("check_name", F.explode(F.split("failed_checks", ",")))
+        .select(
+            F.lit("staging.transactions").alias("table_name"), "check_name",
+            "store_id", "source_sheet", shown.alias("raw_value"), "copies",
+        )
     )
-    return SalesSplit(typed_sales(lines.kept), rejected, findings)

@@ -23,6 +23,7 @@ from tillstar.operators import validation
 from tillstar.operators.keys import with_dense_key
 from tillstar.session import scratch_path
 from tillstar.sources import landed, star_tables
+from tillstar.streaming import ingest
 
 PRODUCT_TERM = "ring"
 WEEK_START = date(1998, 3, 2)
@@ -341,7 +342,7 @@ def check_unique_composite(t: RetailTables) -> DataFrame:
 
 @query
 def constraint_findings(t: RetailTables) -> DataFrame:
-    return t.split.findings
+    return sales_ops.line_findings(t.split.rejected)
 
 
 # Validation
@@ -574,3 +575,24 @@ def sales_by_store_month(t: RetailTables) -> DataFrame:
 @query
 def sales_by_category(t: RetailTables) -> DataFrame:
     return reports.sales_by_category(t.keyless_fact)
+
+
+# Streams
+
+@query
+def stream_ingest(t: RetailTables) -> DataFrame:
+    """The order lines taken in as a stream equal the staged sales."""
+    out = scratch_path(t.spark, "stream_ingest")
+    ingest.ingest_sales(
+        star_tables.raw_sales_stream(t.spark, t.folder), out, f"{out}/checkpoint")
+    return t.spark.read.parquet(f"{out}/sales").drop(ingest.BATCH)
+
+
+@query
+def stream_fact(t: RetailTables) -> DataFrame:
+    """Staged sales enriched as a stream of files equal the fact."""
+    out = scratch_path(t.spark, "stream_fact")
+    t.split.kept.write.parquet(f"{out}/sales")
+    arriving = t.spark.readStream.schema(t.split.kept.schema).parquet(f"{out}/sales")
+    ingest.enrich_sales(arriving, t.dims, t.flagged, f"{out}/fact", f"{out}/checkpoint")
+    return t.spark.read.parquet(f"{out}/fact")

@@ -13,29 +13,25 @@ METRICS_SCHEMA = "run_id string, step int, name string, table_name string, rows
 
 
 class RunMetrics:
-    """Rows and seconds per table and step, kept for the final summary."""
+    """Rows and seconds of every table written, by step, kept for the final summary."""
 
     def __init__(self, spark: SparkSession, run_id: str) -> None:
         self.spark = spark
         self.run_id = run_id
         self.rows: list[tuple[str, int, str, str, int, float]] = []
-        self._counts: list[tuple[str, int]] = []
 
     @contextmanager
     def step(self, number: int, name: str) -> Iterator[None]:
-        started = time.monotonic()
-        self._counts = []
+        self._step, self._since = (number, name), time.monotonic()
         yield
-        seconds = round(time.monotonic() - started, 3)
-        self.rows += [(self.run_id, number, name, t, n, seconds) for t, n in self._counts]
 
-    def count(self, table: str, rows: int) -> int:
-        self._counts.append((table, rows))
-        return rows
+    def count(self, table: str, rows: int) -> None:
+        now = time.monotonic()
+        self.rows.append((self.run_id, *self._step, table, rows, round(now - self._since, 3)))
+        self._since = now
 
     def rows_of(self, table: str) -> int:
-        written = [(r[3], r[4]) for r in self.rows] + self._counts
-        return dict(written)[table]
+        return next(row[4] for row in self.rows if row[3] == table)
 
     def frame(self) -> DataFrame:
         return self.spark.createDataFrame(self.rows, METRICS_SCHEMA)

@@ -25,7 +25,7 @@ from tillstar.operators.dimensions import (
 from tillstar.operators.fact import Dimensions, build_fact
 from tillstar.operators.integrity import orphan_counts, row_outcomes
 from tillstar.operators.keys import with_dense_key
-from tillstar.operators.sales import split_sales
+from tillstar.operators.sales import line_findings, split_sales
 from tillstar.operators.validation import findings_per_check, flagged_receipts, validation_log
 from tillstar.plans.gate import quality_gate
 from tillstar.plans.metrics import RunMetrics
@@ -98,7 +98,8 @@ def run_pipeline(
         kept = write("staging.transactions", split.kept.withColumn(
             "transaction_id", F.monotonically_increasing_id() + 1))
         rejected = write("staging.transactions_rejected", split.rejected)
-        write("audit.constraint_log", reduce(DataFrame.unionByName, log, split.findings))
+        write("audit.constraint_log", reduce(
+            DataFrame.unionByName, log, line_findings(rejected)))
 
     with metrics.step(4, "validation"):
         checked = validation_log(

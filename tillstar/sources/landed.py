@@ -20,6 +20,9 @@ from tillstar import fixed_values as fixed
 
 HEADER_READERS = 16
 
+SALES_COLUMNS = ("timestamp", "store_id", "staff_name", "receipt_no", "customer_phone",
+                 "product_sold", "quantity", "payment_method", "source_sheet")
+
 
 @dataclass(frozen=True)
 class Source:
@@ -120,10 +123,7 @@ def read_sales(spark: SparkSession, root: str, sources: Sequence[Source]) -> Dat
         empty = T.StructType([T.StructField(c, T.StringType()) for c in wanted])
         parts = [spark.createDataFrame([], empty)]
     everything = reduce(DataFrame.unionByName, parts)
-    return stamp_source(everything, registry_frame(spark, sources)).select(
-        "timestamp", "store_id", "staff_name", "receipt_no", "customer_phone",
-        "product_sold", "quantity", "payment_method", "source_sheet",
-    )
+    return stamp_source(everything, registry_frame(spark, sources)).select(*SALES_COLUMNS)
 
 
 def _read_group(
@@ -152,10 +152,7 @@ def read_sales_json(spark: SparkSession, root: str, sources: Sequence[Source]) -
     rows = spark.read.schema(schema).json([f"{root}/{s.sheet_name}/*.json" for s in sources])
     stamped = rows.select("*", F.col("_metadata.file_path").alias("source_path"))
     filled = fill_missing(stamped, [*fixed.SALES_SHEET_COLUMNS, "source_path"])
-    return stamp_source(filled, registry_frame(spark, sources)).select(
-        "timestamp", "store_id", "staff_name", "receipt_no", "customer_phone",
-        "product_sold", "quantity", "payment_method", "source_sheet",
-    )
+    return stamp_source(filled, registry_frame(spark, sources)).select(*SALES_COLUMNS)
 
 
 def read_master(spark: SparkSession, path: str, name: str) -> DataFrame:

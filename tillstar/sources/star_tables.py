@@ -91,13 +91,25 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def raw_frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the raw tables of ``RAW_SQL``, over the parquet tables in ``folder``.
-
-    Orders and their lines both grow with the sales, so they are merged on their
-    shuffled key and never broadcast, not even while they are small.
-    """
+    """One of the raw tables of ``RAW_SQL``, over the parquet tables in ``folder``."""
     sql = RAW_SQL[name]
+    return _over(spark, sql, {
+        t: read_table(spark, folder, t) for t in TABLES if "{" + t + "}" in sql
+    })
+
+
+def raw_sales_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """``raw_transactions`` with the order lines arriving as a stream of files."""
+    sql = RAW_SQL["raw_transactions"]
     used = {t: read_table(spark, folder, t) for t in TABLES if "{" + t + "}" in sql}
+    lines = spark.readStream.schema(used["lineitem"].schema)
+    used["lineitem"] = lines.option("pathGlobFilter", "lineitem.parquet").parquet(folder)
+    return _over(spark, sql, used)
+
+
+def _over(spark: SparkSession, sql: str, used: dict[str, DataFrame]) -> DataFrame:
+    """Orders and their lines both grow with the sales, so they are merged on their
+    shuffled key and never broadcast, not even while they are small."""
     if "orders" in used:
         used["orders"] = used["orders"].hint("merge")
     return spark.sql(sql, **used)
