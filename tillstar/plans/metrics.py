@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,23 +13,36 @@ METRICS_SCHEMA = "run_id string, step int, name string, table_name string, rows
     "seconds double"
 
 
+@dataclass
+class Written:
+    rows: int = 0
+
+
 class RunMetrics:
-    """Rows and seconds of every table written, by step, kept for the final summary."""
+    """Rows and seconds of every table written, by step, kept for the final summary.
+
+    Tables of one step may be written side by side, steps follow each other.
+    """
 
     def __init__(self, spark: SparkSession, run_id: str) -> None:
         self.spark = spark
         self.run_id = run_id
         self.rows: list[tuple[str, int, str, str, int, float]] = []
+        self.step_seconds: dict[str, float] = {}
 
     @contextmanager
     def step(self, number: int, name: str) -> Iterator[None]:
-        self._step, self._since = (number, name), time.monotonic()
+        self._step = (number, name)
+        started = time.monotonic()
         yield
+        self.step_seconds[name] = round(time.monotonic() - started, 3)
 
-    def count(self, table: str, rows: int) -> None:
-        now = time.monotonic()
-        self.rows.append((self.run_id, *self._step, table, rows, round(now - self._since, 3)))
-        self._since = now
+    @contextmanager
+    def table(self, name: str) -> Iterator[Written]:
+        written, started = Written(), time.monotonic()
+        yield written
+        seconds = round(time.monotonic() - started, 3)
+        self.rows.append((self.run_id, *self._step, name, written.rows, seconds))
 
     def rows_of(self, table: str) -> int:
         return next(row[4] for row in self.rows if row[3] == table)

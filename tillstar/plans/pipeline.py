@@ -6,7 +6,8 @@ matching are never recomputed, and a lost executor repeats only its own tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -70,75 +71,84 @@ def run_pipeline(
     metrics = RunMetrics(spark, run.run_id)
 
     def write(table: str, df: DataFrame, by_month: str | None = None) -> DataFrame:
-        metrics.count(table, layers.write(run, table, df, by_month))
+        with metrics.table(table) as seen:
+            seen.rows = layers.write(run, table, df, by_month)
         return layers.read(table, run)
 
+    def write_keyed(
+        table: str, df: DataFrame, key: str, order: Sequence[str] = (),
+        by_month: str | None = None,
+    ) -> DataFrame:
+        return write(table, with_dense_key(df, key, run.stage_path(table), order), by_month)
+
     with metrics.step(1, "masters"):
-        lists = {}
-        for name in MASTERS:
-            table = f"raw.{name}"
-            df = raw[name]
-            if df.isEmpty() and previous is not None:
+        def load(name: str) -> DataFrame:
+            table, df = f"raw.{name}", raw[name]
+            if previous is not None and df.isEmpty():
                 df = layers.read(table, previous)  # an empty list keeps the last load
-            lists[name] = write(table, df)
+            return write(table, df)
+
+        lists = _together(load, MASTERS)
 
     with metrics.step(2, "sales"):
         sales = write("raw.transactions", raw["transactions"])
 
     with metrics.step(3, "staging"):
-        staged, log = {}, []
-        for name in MASTERS:
-            table = f"staging.{name}"
-            typed = masters.STAGERS[name](lists[name])
-            checks, key = masters.master_checks(name), masters.PRIMARY_KEYS[name]
-            log.append(_master_findings(typed, table, checks, key))
-            staged[name] = write(table, constraints.enforce(
-                typed, table, checks, [key], config.constraint_policy, run.stage_path(table)))
+        typed = {name: masters.STAGERS[name](lists[name]) for name in MASTERS}
         split = split_sales(sales, run.stage_path("repeated_lines"))
-        kept = write("staging.transactions", split.kept.withColumn(
-            "transaction_id", F.monotonically_increasing_id() + 1))
-        rejected = write("staging.transactions_rejected", split.rejected)
+
+        def stage(name: str) -> DataFrame:
+            if name == "transactions":
+                ids = F.monotonically_increasing_id() + 1
+                return write("staging.transactions", split.kept.withColumn("transaction_id", ids))
+            if name == "transactions_rejected":
+                return write("staging.transactions_rejected", split.rejected)
+            table = f"staging.{name}"
+            return write(table, constraints.enforce(
+                typed[name], table, masters.master_checks(name), [masters.PRIMARY_KEYS[name]],
+                config.constraint_policy, run.stage_path(table)))
+
+        staged = _together(stage, ["transactions", "transactions_rejected", *MASTERS])
+        kept, rejected = staged["transactions"], staged["transactions_rejected"]
+        broken = [_master_findings(name, typed[name]) for name in MASTERS]
         write("audit.constraint_log", reduce(
-            DataFrame.unionByName, log, line_findings(rejected)))
+            DataFrame.unionByName, broken, line_findings(rejected)))
 
     with metrics.step(4, "validation"):
         checked = validation_log(
             sales, lists["products"], lists["staff"], config.receipt_repeat_limit)
-        audit = write("audit.validation_log", with_dense_key(
-            checked, "log_id", run.stage_path("audit.validation_log")))
+        audit = write_keyed("audit.validation_log", checked, "log_id")
         findings = {r["check_name"]: r["findings"] for r in findings_per_check(audit).collect()}
         quality_gate("audit findings", findings, config.gate_policy)
 
     with metrics.step(5, "dimensions"):
-        dims = {}
-        for name, (key, order, columns) in DIMENSIONS.items():
-            table = f"marts.dim_{name}"
-            dims[name] = write(table, with_dense_key(
-                staged[name].select(*columns), key, run.stage_path(table), [order]))
-        spine = build_dim_date(date_spine(spark, config.spine_start, config.spine_end))
-        if previous is not None:
-            spine = append_dates(layers.read("marts.dim_date", previous), spine)
-        dates = write("marts.dim_date", spine)
+        def dimension(name: str) -> DataFrame:
+            if name != "date":
+                key, order, columns = DIMENSIONS[name]
+                return write_keyed(
+                    f"marts.dim_{name}", staged[name].select(*columns), key, [order])
+            spine = build_dim_date(date_spine(spark, config.spine_start, config.spine_end))
+            if previous is not None:
+                spine = append_dates(layers.read("marts.dim_date", previous), spine)
+            return write("marts.dim_date", spine)
+
+        dims = _together(dimension, [*DIMENSIONS, "date"])
 
     with metrics.step(6, "fact"):
-        star = Dimensions(dims["stores"], dims["staff"], dims["products"], dates)
+        star = Dimensions(dims["stores"], dims["staff"], dims["products"], dims["date"])
         flagged = flagged_receipts(audit)
-        table = "marts.fact_transactions"
-        fact = write(
-            table,
-            with_dense_key(build_fact(kept, star, flagged), "transaction_key",
-                           run.stage_path(table)),
+        fact = write_keyed(
+            "marts.fact_transactions", build_fact(kept, star, flagged), "transaction_key",
             by_month="transaction_date" if config.partition_fact_by_month else None,
         )
 
     with metrics.step(7, "customers"):
-        table = "marts.dim_customers"
-        write(table, with_dense_key(
-            customer_visits(fact), "customer_key", run.stage_path(table), ["customer_phone"]))
+        write_keyed("marts.dim_customers", customer_visits(fact), "customer_key",
+                    ["customer_phone"])
 
     with metrics.step(8, "integrity"):
         by_key = {"store_key": dims["stores"], "staff_key": dims["staff"],
-                  "product_key": dims["products"], "date_key": dates}
+                  "product_key": dims["products"], "date_key": dims["date"]}
         orphans = {r["check_name"]: r["orphan_count"]
                    for r in orphan_counts(fact, by_key).collect()}
         quality_gate("orphans", orphans, config.gate_policy)
@@ -167,13 +177,12 @@ def _check_accounts(metrics: RunMetrics, outcomes: Mapping[str, int], expected_f
         raise RowAccountError(f"{expected_fact} fact rows expected, {fact_rows} written")
 
 
-def _master_findings(
-    typed: DataFrame, table: str, checks: list[constraints.RowCheck], key: str
-) -> DataFrame:
+def _master_findings(name: str, typed: DataFrame) -> DataFrame:
     """Audit rows for the broken constraints of a master list."""
+    key = masters.PRIMARY_KEYS[name]
     store = F.col("store_id") if "store_id" in typed.columns else F.lit(None).cast("string")
     broken = constraints.violations(
-        typed.withColumn("at_store", store), checks, ["at_store"]
+        typed.withColumn("at_store", store), masters.master_checks(name), ["at_store"]
     ).withColumn("copies", F.lit(1).cast("bigint"))
     repeated = constraints.repeated_keys(typed, [key]).select(
         F.lit(None).cast("string").alias("at_store"),
@@ -182,6 +191,13 @@ def _master_findings(
         (F.col("copies") - 1).alias("copies"),
     )
     return broken.unionByName(repeated).select(
-        F.lit(table).alias("table_name"), "check_name", F.col("at_store").alias("store_id"),
-        F.lit(None).cast("string").alias("source_sheet"), "raw_value", "copies",
+        F.lit(f"staging.{name}").alias("table_name"), "check_name",
+        F.col("at_store").alias("store_id"), F.lit(None).cast("string").alias("source_sheet"),
+        "raw_value", "copies",
     )
+
+
+def _together(job: Callable[[str], DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
+    """Run one job per name side by side: small tables fill the cluster beside a big one."""
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(job, names)))
