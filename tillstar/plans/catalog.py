@@ -59,7 +59,10 @@ class RetailTables:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return validation.flagged_receipts(self.duplicates)
+        """Stored first, so that the planner knows its size when it picks the anti-join."""
+        path = scratch_path(self.spark, "flagged_receipts")
+        validation.flagged_receipts(self.duplicates).write.parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def log(self) -> DataFrame:

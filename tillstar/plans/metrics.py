@@ -47,6 +47,18 @@ class RunMetrics:
     def rows_of(self, table: str) -> int:
         return next(row[4] for row in self.rows if row[3] == table)
 
+    def summary(self) -> dict[str, int]:
+        """Totals of the run: sales lines, staged rows, findings, fact rows, customers."""
+        staged = sum(row[4] for row in self.rows
+                     if row[3].startswith("staging.") and not row[3].endswith("_rejected"))
+        return {
+            "raw.transactions": self.rows_of("raw.transactions"),
+            "staging tables": staged,
+            "audit findings": self.rows_of("audit.validation_log"),
+            "fact_transactions": self.rows_of("marts.fact_transactions"),
+            "dim_customers": self.rows_of("marts.dim_customers"),
+        }
+
     def frame(self) -> DataFrame:
         return self.spark.createDataFrame(self.rows, METRICS_SCHEMA)
 

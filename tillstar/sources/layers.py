@@ -80,15 +80,15 @@ class Layers:
 
     def read(self, table: str, run: Run | None = None) -> DataFrame:
         """A table of ``run``, or of the published run."""
-        run = run or self.published()
-        if run is None:
-            raise FileNotFoundError(f"nothing is published under {self.root}")
-        return self.spark.read.schema(SCHEMAS[table]).parquet(run.path(table))
+        return self._stored(table, run, SCHEMAS[table]).select(*SCHEMAS[table].names)
 
     def read_by_month(self, table: str, run: Run | None = None) -> DataFrame:
         """Like ``read`` for a table partitioned by month, with its month column."""
+        month = T.StructField(MONTH, T.StringType())
+        return self._stored(table, run, T.StructType([*SCHEMAS[table], month]))
+
+    def _stored(self, table: str, run: Run | None, schema: T.StructType) -> DataFrame:
         run = run or self.published()
         if run is None:
             raise FileNotFoundError(f"nothing is published under {self.root}")
-        schema = T.StructType([*SCHEMAS[table], T.StructField(MONTH, T.StringType())])
         return self.spark.read.schema(schema).parquet(run.path(table))
