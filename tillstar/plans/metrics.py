@@ -9,8 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-METRICS_SCHEMA = "run_id string, step int, name string, table_name string, rows bigint, " \
-    "seconds double"
+METRICS_SCHEMA = "run_id string, step int, table_name string, rows bigint, seconds double"
 
 
 @dataclass
@@ -19,38 +18,30 @@ class Written:
 
 
 class RunMetrics:
-    """Rows and seconds of every table written, by step, kept for the final summary.
+    """Rows and seconds of every table written, kept for the final summary.
 
-    Tables of one step may be written side by side, steps follow each other.
+    Tables may be written side by side, so seconds overlap.
     """
 
     def __init__(self, spark: SparkSession, run_id: str) -> None:
         self.spark = spark
         self.run_id = run_id
-        self.rows: list[tuple[str, int, str, str, int, float]] = []
-        self.step_seconds: dict[str, float] = {}
+        self.rows: list[tuple[str, int, str, int, float]] = []
 
     @contextmanager
-    def step(self, number: int, name: str) -> Iterator[None]:
-        self._step = (number, name)
-        started = time.monotonic()
-        yield
-        self.step_seconds[name] = round(time.monotonic() - started, 3)
-
-    @contextmanager
-    def table(self, name: str) -> Iterator[Written]:
+    def table(self, step: int, name: str) -> Iterator[Written]:
         written, started = Written(), time.monotonic()
         yield written
         seconds = round(time.monotonic() - started, 3)
-        self.rows.append((self.run_id, *self._step, name, written.rows, seconds))
+        self.rows.append((self.run_id, step, name, written.rows, seconds))
 
     def rows_of(self, table: str) -> int:
-        return next(row[4] for row in self.rows if row[3] == table)
+        return next(row[3] for row in self.rows if row[2] == table)
 
     def summary(self) -> dict[str, int]:
         """Totals of the run: sales lines, staged rows, findings, fact rows, customers."""
-        staged = sum(row[4] for row in self.rows
-                     if row[3].startswith("staging.") and not row[3].endswith("_rejected"))
+        staged = sum(row[3] for row in self.rows
+                     if row[2].startswith("staging.") and not row[2].endswith("_rejected"))
         return {
             "raw.transactions": self.rows_of("raw.transactions"),
             "staging tables": staged,

@@ -1,4 +1,7 @@
-"""The full refresh: eight dependent steps, published as one unit.
+"""The full refresh, published as one unit.
+
+Its steps: 1 masters, 2 sales, 3 staging, 4 validation, 5 dimensions, 6 fact,
+7 customers, 8 integrity.
 
 Each layer is written once and read back by the next steps, so raw parsing and
 matching are never recomputed, and a lost executor repeats only its own tasks.
@@ -9,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,116 +68,174 @@ def run_pipeline(
     config: WarehouseConfig = WarehouseConfig(),
 ) -> RunResult:
     """Full refresh from raw text tables ``transactions`` and the four masters."""
-    layers = Layers(spark, root)
-    previous = layers.published()
-    run = layers.new_run()
-    metrics = RunMetrics(spark, run.run_id)
+    return _Refresh(spark, raw, root, config).run_all()
+
+
+class _Refresh:
+    """One run: its layers, and the tables written so far."""
+
+    def __init__(
+        self, spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
+        config: WarehouseConfig,
+    ) -> None:
+        self.spark, self.raw, self.config = spark, raw, config
+        self.layers = Layers(spark, root)
+        self.previous = self.layers.published()
+        self.run = self.layers.new_run()
+        self.metrics = RunMetrics(spark, self.run.run_id)
+
+    def run_all(self) -> RunResult:
+        """Steps that do not need each other run side by side, so that small tables
+        fill the cluster beside the big ones."""
+        _together(
+            self.load_sales,
+            *[partial(self.load_master, name) for name in MASTERS],
+        )
+        findings = _together(
+            self.validate,
+            self.stage_sales,
+            *[partial(self.stage_master, name) for name in MASTERS],
+            self.build_calendar,
+        )[0]
+        outcomes = _together(self.account_rows, self.build_fact, self.log_constraints)[0]
+        orphans = _together(self.check_orphans, self.build_customers)[0]
+        if outcomes:
+            _check_accounts(self.metrics, outcomes)
+        self.layers.publish(self.run)
+        self.metrics.append_to(f"{self.layers.root}/metrics")
+        return RunResult(
+            self.run, self.metrics, findings, orphans,
+            {outcome: rows for outcome, (rows, _) in outcomes.items()},
+        )
+
+    def table(self, name: str) -> DataFrame:
+        return self.layers.read(name, self.run)
 
-    def write(table: str, df: DataFrame, by_month: str | None = None) -> DataFrame:
-        with metrics.table(table) as seen:
-            seen.rows = layers.write(run, table, df, by_month)
-        return layers.read(table, run)
+    def write(self, step: int, table: str, df: DataFrame, by_month: str | None = None) -> None:
+        with self.metrics.table(step, table) as written:
+            written.rows = self.layers.write(self.run, table, df, by_month)
 
     def write_keyed(
-        table: str, df: DataFrame, key: str, order: Sequence[str] = (),
+        self, step: int, table: str, df: DataFrame, key: str, order: Sequence[str] = (),
         by_month: str | None = None,
-    ) -> DataFrame:
-        return write(table, with_dense_key(df, key, run.stage_path(table), order), by_month)
-
-    with metrics.step(1, "masters"):
-        def load(name: str) -> DataFrame:
-            table, df = f"raw.{name}", raw[name]
-            if previous is not None and df.isEmpty():
-                df = layers.read(table, previous)  # an empty list keeps the last load
-            return write(table, df)
-
-        lists = _together(load, MASTERS)
-
-    with metrics.step(2, "sales"):
-        sales = write("raw.transactions", raw["transactions"])
-
-    with metrics.step(3, "staging"):
-        typed = {name: masters.STAGERS[name](lists[name]) for name in MASTERS}
-        split = split_sales(sales, run.stage_path("repeated_lines"))
-
-        def stage(name: str) -> DataFrame:
-            if name == "transactions":
-                ids = F.monotonically_increasing_id() + 1
-                return write("staging.transactions", split.kept.withColumn("transaction_id", ids))
-            if name == "transactions_rejected":
-                return write("staging.transactions_rejected", split.rejected)
-            table = f"staging.{name}"
-            return write(table, constraints.enforce(
-                typed[name], table, masters.master_checks(name), [masters.PRIMARY_KEYS[name]],
-                config.constraint_policy, run.stage_path(table)))
-
-        staged = _together(stage, ["transactions", "transactions_rejected", *MASTERS])
-        kept, rejected = staged["transactions"], staged["transactions_rejected"]
-        broken = [_master_findings(name, typed[name]) for name in MASTERS]
-        write("audit.constraint_log", reduce(
-            DataFrame.unionByName, broken, line_findings(rejected)))
-
-    with metrics.step(4, "validation"):
-        checked = validation_log(
-            sales, lists["products"], lists["staff"], config.receipt_repeat_limit)
-        audit = write_keyed("audit.validation_log", checked, "log_id")
-        findings = {r["check_name"]: r["findings"] for r in findings_per_check(audit).collect()}
-        quality_gate("audit findings", findings, config.gate_policy)
-
-    with metrics.step(5, "dimensions"):
-        def dimension(name: str) -> DataFrame:
-            if name != "date":
-                key, order, columns = DIMENSIONS[name]
-                return write_keyed(
-                    f"marts.dim_{name}", staged[name].select(*columns), key, [order])
-            spine = build_dim_date(date_spine(spark, config.spine_start, config.spine_end))
-            if previous is not None:
-                spine = append_dates(layers.read("marts.dim_date", previous), spine)
-            return write("marts.dim_date", spine)
-
-        dims = _together(dimension, [*DIMENSIONS, "date"])
-
-    with metrics.step(6, "fact"):
-        star = Dimensions(dims["stores"], dims["staff"], dims["products"], dims["date"])
-        flagged = flagged_receipts(audit)
-        fact = write_keyed(
-            "marts.fact_transactions", build_fact(kept, star, flagged), "transaction_key",
-            by_month="transaction_date" if config.partition_fact_by_month else None,
+    ) -> None:
+        with self.metrics.table(step, table) as written:
+            keyed = with_dense_key(df, key, self.run.stage_path(table), order)
+            written.rows = self.layers.write(self.run, table, keyed, by_month)
+
+    @cached_property
+    def dims(self) -> Dimensions:
+        return Dimensions(*[
+            self.table(f"marts.dim_{name}") for name in ("stores", "staff", "products", "date")
+        ])
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return flagged_receipts(self.table("audit.validation_log"))
+
+    def load_master(self, name: str) -> None:
+        table, df = f"raw.{name}", self.raw[name]
+        if self.previous is not None and df.isEmpty():
+            df = self.layers.read(table, self.previous)  # an empty list keeps the last load
+        self.write(1, table, df)
+
+    def load_sales(self) -> None:
+        self.write(2, "raw.transactions", self.raw["transactions"])
+
+    def stage_master(self, name: str) -> None:
+        """The typed master and, right after it, its dimension."""
+        table = f"staging.{name}"
+        typed = constraints.enforce(
+            masters.STAGERS[name](self.table(f"raw.{name}")), table, masters.master_checks(name),
+            [masters.PRIMARY_KEYS[name]], self.config.constraint_policy,
+            self.run.stage_path(table))
+        self.write(3, table, typed)
+        key, order, columns = DIMENSIONS[name]
+        self.write_keyed(
+            5, f"marts.dim_{name}", self.table(table).select(*columns), key, [order])
+
+    def stage_sales(self) -> None:
+        split = split_sales(
+            self.table("raw.transactions"), self.run.stage_path("repeated_lines"))
+        ids = F.monotonically_increasing_id() + 1
+        kept = split.kept.withColumn("transaction_id", ids)
+        _together(
+            partial(self.write, 3, "staging.transactions", kept),
+            partial(self.write, 3, "staging.transactions_rejected", split.rejected),
         )
 
-    with metrics.step(7, "customers"):
-        write_keyed("marts.dim_customers", customer_visits(fact), "customer_key",
-                    ["customer_phone"])
+    def log_constraints(self) -> None:
+        broken = [
+            _master_findings(name, masters.STAGERS[name](self.table(f"raw.{name}")))
+            for name in MASTERS
+        ]
+        lines = line_findings(self.table("staging.transactions_rejected"))
+        self.write(3, "audit.constraint_log", reduce(DataFrame.unionByName, broken, lines))
 
-    with metrics.step(8, "integrity"):
-        by_key = {"store_key": dims["stores"], "staff_key": dims["staff"],
-                  "product_key": dims["products"], "date_key": dims["date"]}
-        orphans = {r["check_name"]: r["orphan_count"]
-                   for r in orphan_counts(fact, by_key).collect()}
-        quality_gate("orphans", orphans, config.gate_policy)
-        outcomes = {}
-        if config.account_rows:
-            accounts = row_outcomes(kept, rejected, flagged, star).collect()
-            outcomes = {r["outcome"]: r["source_rows"] for r in accounts}
-            _check_accounts(metrics, outcomes, sum(r["fact_rows"] for r in accounts))
+    def validate(self) -> dict[str, int]:
+        checked = validation_log(
+            self.table("raw.transactions"), self.table("raw.products"), self.table("raw.staff"),
+            self.config.receipt_repeat_limit)
+        self.write_keyed(4, "audit.validation_log", checked, "log_id")
+        per_check = findings_per_check(self.table("audit.validation_log")).collect()
+        findings = {r["check_name"]: r["findings"] for r in per_check}
+        quality_gate("audit findings", findings, self.config.gate_policy)
+        return findings
+
+    def build_calendar(self) -> None:
+        config = self.config
+        dates = build_dim_date(date_spine(self.spark, config.spine_start, config.spine_end))
+        if self.previous is not None:
+            dates = append_dates(self.layers.read("marts.dim_date", self.previous), dates)
+        self.write(5, "marts.dim_date", dates)
+
+    def build_fact(self) -> None:
+        self.write_keyed(
+            6, "marts.fact_transactions",
+            build_fact(self.table("staging.transactions"), self.dims, self.flagged),
+            "transaction_key",
+            by_month="transaction_date" if self.config.partition_fact_by_month else None,
+        )
 
-    layers.publish(run)
-    metrics.append_to(f"{layers.root}/metrics")
-    return RunResult(run, metrics, findings, orphans, outcomes)
+    def build_customers(self) -> None:
+        self.write_keyed(
+            7, "marts.dim_customers", customer_visits(self.table("marts.fact_transactions")),
+            "customer_key", ["customer_phone"])
+
+    def check_orphans(self) -> dict[str, int]:
+        counts = orphan_counts(self.table("marts.fact_transactions"), {
+            "store_key": self.dims.stores, "staff_key": self.dims.staff,
+            "product_key": self.dims.products, "date_key": self.dims.dates,
+        }).collect()
+        orphans = {r["check_name"]: r["orphan_count"] for r in counts}
+        quality_gate("orphans", orphans, self.config.gate_policy)
+        return orphans
+
+    def account_rows(self) -> dict[str, tuple[int, int]]:
+        """(sales lines, promised fact rows) per outcome."""
+        if not self.config.account_rows:
+            return {}
+        rows = row_outcomes(
+            self.table("staging.transactions"), self.table("staging.transactions_rejected"),
+            self.flagged, self.dims,
+        ).collect()
+        return {r["outcome"]: (r["source_rows"], r["fact_rows"]) for r in rows}
 
 
 class RowAccountError(RuntimeError):
     """Sales lines were lost or invented on the way to the fact."""
 
 
-def _check_accounts(metrics: RunMetrics, outcomes: Mapping[str, int], expected_fact: int) -> None:
+def _check_accounts(metrics: RunMetrics, outcomes: Mapping[str, tuple[int, int]]) -> None:
     """Every raw line has one outcome, and the fact holds what the outcomes promise."""
     raw_rows = metrics.rows_of("raw.transactions")
     fact_rows = metrics.rows_of("marts.fact_transactions")
-    if sum(outcomes.values()) != raw_rows:
+    accounted = sum(rows for rows, _ in outcomes.values())
+    promised = sum(rows for _, rows in outcomes.values())
+    if accounted != raw_rows:
         raise RowAccountError(f"outcomes {dict(outcomes)} do not sum to {raw_rows} raw lines")
-    if expected_fact != fact_rows:
-        raise RowAccountError(f"{expected_fact} fact rows expected, {fact_rows} written")
+    if promised != fact_rows:
+        raise RowAccountError(f"{promised} fact rows expected, {fact_rows} written")
 
 
 def _master_findings(name: str, typed: DataFrame) -> DataFrame:
@@ -197,7 +258,7 @@ def _master_findings(name: str, typed: DataFrame) -> DataFrame:
     )
 
 
-def _together(job: Callable[[str], DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
-    """Run one job per name side by side: small tables fill the cluster beside a big one."""
-    with ThreadPoolExecutor(len(names)) as pool:
-        return dict(zip(names, pool.map(job, names)))
+def _together(*jobs: Callable[[], object]) -> list:
+    """The results of jobs that run side by side; the first failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]
