@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,11 @@ def build_session(app_name: str = "tillstar", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder of the session.
 
@@ -38,6 +44,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
