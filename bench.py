@@ -51,9 +51,10 @@ def main() -> None:
         name: star_tables.raw_frame(spark, folder, f"raw_{name}")
         for name in ("transactions", "products", "staff", "managers", "stores")
     }
+    first_day, last_day = star_tables.sales_years(spark, folder)
     config = WarehouseConfig(
-        spine_start=star_tables.SPINE_START,
-        spine_end=star_tables.SPINE_END,
+        spine_start=first_day,
+        spine_end=last_day,
         constraint_policy="report",
     )
     result = run_pipeline(spark, raw, scratch_path(spark, "bench"), config)

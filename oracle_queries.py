@@ -128,7 +128,10 @@ select row_number() over (order by d) as date_key, cast(d as date) as full_date,
  rpad(dayname(d), 9, ' ') as day_of_week, day(d) as day_num, month(d) as month_num,
  rpad(monthname(d), 9, ' ') as month_name, quarter(d) as quarter, year(d) as year,
  dayofweek(d) in (0, 6) as is_weekend
-from generate_series(timestamp '1995-01-01', timestamp '2000-12-31', interval 1 day) as g(d)
+from (select unnest(generate_series(date_trunc('year', first), date_trunc('year', last)
+   + interval 1 year - interval 1 day, interval 1 day)) as d
+  from (select cast(min(o_orderdate) as timestamp) as first,
+    cast(max(o_orderdate) as timestamp) as last from orders))
 """,
     "fact": f"""
 select t.receipt_no, t.transaction_date, t.store_id, t.staff_name,

@@ -125,3 +125,12 @@ def test_repeated_line_keeps_one_row_and_counts_the_rest(spark, text_frame):
     findings = [r for r in line_findings(out.rejected).collect()
                 if r["check_name"] == "receipt_product_unique"]
     assert [(r["raw_value"], r["copies"]) for r in findings] == [("R1|Rice 5kg", 3)]
+
+
+def test_rows_with_a_null_key_are_kept(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(None, "p", 1), (None, "p", 2), ("r", "p", 3), ("r", "p", 4)],
+        "receipt string, product string, n int")
+    split = c.first_per_key(rows, ["receipt", "product"], ["n"], str(tmp_path / "repeated"))
+    assert sorted(r["n"] for r in split.kept.collect()) == [1, 2, 3]
+    assert [(r["n"], r["copies"]) for r in split.surplus.collect()] == [(4, 1)]

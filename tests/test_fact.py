@@ -11,10 +11,10 @@ from tillstar.operators.dimensions import (
     build_dim_date,
     build_dimension,
     date_spine,
-    spine_of_complete_years,
+    spine_of_years,
 )
 from tillstar.operators.fact import Dimensions, build_fact
-from tillstar.operators.keys import with_dense_key
+from tillstar.operators.keys import read_numbered, with_dense_key
 from tillstar.operators.reports import (
     fact_rows_by_store,
     sales_by_category,
@@ -184,13 +184,15 @@ def test_calendar_keeps_known_days(spark):
     assert append_dates(first, first).count() == 3
 
 
-def test_spine_of_complete_years(spark):
+def test_spine_of_years(spark):
     sales = spark.createDataFrame(
         [(datetime(2023, 5, 1),), (datetime(2025, 2, 1),)], "t timestamp_ntz")
-    rows = spine_of_complete_years(sales, "t").collect()
-    assert (rows[0]["full_date"], rows[-1]["full_date"]) == (date(2023, 1, 1), date(2024, 12, 31))
+    rows = spine_of_years(sales, "t").collect()
+    assert (rows[0]["full_date"], rows[-1]["full_date"]) == (date(2023, 1, 1), date(2025, 12, 31))
+    assert [r["date_key"] for r in rows] == list(range(1, len(rows) + 1))
     within = sales.filter("t > '2025-01-01'")
-    assert spine_of_complete_years(within, "t").count() == 0
+    assert spine_of_years(within, "t").count() == 365
+    assert spine_of_years(sales.filter("false"), "t").count() == 0
 
 
 def test_reports(fact, dims):
@@ -203,3 +205,26 @@ def test_reports(fact, dims):
         ("Food", 6, 12, Decimal("111.00")), ("Home", 1, 2, Decimal("8.00"))}
     assert {tuple(r)[:5] for r in sales_by_store_month(fact, dims.dates).collect()} == {
         ("S001", 2026, 3, 5, 10), ("S002", 2026, 3, 2, 4)}
+
+
+def test_dense_keys_with_misleading_file_names(spark, tmp_path):
+    """The random id of a written file may look like a part number anywhere."""
+    path = str(tmp_path / "rows")
+    spark.range(20).repartition(2).sortWithinPartitions("id").write.option(
+        "maxRecordsPerFile", 3).parquet(path)
+    ids = ("c1-2-3-4-c83913586154", "a-c7-b-c8-c9", "0-c99999999999-1-2-3")
+    for n, file in enumerate(sorted((tmp_path / "rows").glob("part-*.parquet"))):
+        task, part = file.name[:10], file.name[file.name.rindex("-c"):]
+        file.rename(file.with_name(f"{task}-{ids[n % 3]}{part}"))
+    for crc in (tmp_path / "rows").glob(".*.crc"):
+        crc.unlink()
+    keys = [r["k"] for r in read_numbered(spark, path, "k").collect()]
+    assert sorted(keys) == list(range(1, 21))
+
+
+def test_dense_keys_refuse_other_files(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    file = next((tmp_path / "rows").glob("part-*.parquet"))
+    file.rename(file.with_name("other.parquet"))
+    with pytest.raises(Exception, match="not a written part file"):
+        read_numbered(spark, str(tmp_path / "rows"), "k").collect()

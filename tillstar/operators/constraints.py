@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,9 +117,13 @@ def first_per_key(
     they are. The rest, every repeated key and any digest collision, is decided
     on the true keys: equal rows collapse into one with ``copies`` before the
     shuffle and the first row is an aggregate, not a window, so a key holding a
-    third of all rows never meets in one task.
+    third of all rows never meets in one task. A key with a NULL is no key, as in
+    ``repeated_keys``: its rows are kept.
     """
     digest = F.xxhash64(*keys)
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    unkeyed = df.filter(~keyed).select(*keys, *order)
+    df = df.filter(keyed)
     (
         df.groupBy(digest.alias("key_digest")).agg(F.count(F.lit(1)).alias("key_rows"))
         .filter(F.col("key_rows") > 1).select("key_digest")
@@ -138,6 +143,7 @@ def first_per_key(
     kept = (
         df.join(repeated, same, "left_anti").select(*keys, *order)
         .unionByName(winners.select(*keys, "first_row.*"))
+        .unionByName(unkeyed)
     )
     is_first = first.eqNullSafe(F.col("first_row")).cast("bigint")
     surplus = (

@@ -38,12 +38,12 @@ def date_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
     )
 
 
-def spine_of_complete_years(sales: DataFrame, stamp: str) -> DataFrame:
-    """Every day from the first year in ``sales`` up to the last year that has ended."""
+def spine_of_years(sales: DataFrame, stamp: str) -> DataFrame:
+    """Every day of the years in ``sales``, from the first to the last; empty without sales."""
     bounds = sales.agg(
         F.trunc(F.min(stamp), "year").alias("first_day"),
-        F.date_sub(F.trunc(F.max(stamp), "year"), 1).alias("last_day"),
-    ).filter(F.col("first_day") <= F.col("last_day"))
+        F.date_sub(F.add_months(F.trunc(F.max(stamp), "year"), 12), 1).alias("last_day"),
+    ).filter("first_day is not null")
     days = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
     return bounds.select(F.posexplode(days).alias("day", "full_date")).select(
         (F.col("day") + 1).cast("bigint").alias("date_key"), "full_date"

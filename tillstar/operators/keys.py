@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Names of written files: the task, a random id, the part of the task, suffixes.
+FILE_NAME = r"^part-\d+-[^.]*-c\d+\.[a-z0-9.]+$"
+
 
 def write_ordered(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     """Write ``df`` in global ``order`` (file by file), or as it is without one.
@@ -26,25 +29,33 @@ def write_ordered(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
 
 
 def read_numbered(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The rows of ``path`` with a dense key, in the order of the files."""
+    """The rows of ``path`` with a dense key, in the order of the files.
+
+    A file name is ``part-<task>-<id>-c<part>.<suffix>``; the id is random and may
+    hold anything, so only the anchored ends of the name are read. The number of
+    a task's part tells its files apart. A name of another form stops the load.
+    """
     schema = spark.read.parquet(path).columns
-    name = F.col("_metadata.file_name")
     rows = spark.read.parquet(path).select(
         "*",
-        F.regexp_extract(name, r"part-(\d+)", 1).cast("int").alias("file_task"),
-        F.regexp_extract(name, r"-c(\d+)", 1).cast("int").alias("file_part"),
+        F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.row_index").alias("file_row"),
     )
-    sizes = rows.groupBy("file_task", "file_part").agg(F.count(F.lit(1)).alias("file_rows"))
-    # One row per written file, a list the driver holds anyway to plan the scan:
-    # small enough for one sort and for a broadcast whatever the row count.
+    name = F.col("file_name")
+    number = lambda pattern: F.when(
+        name.rlike(FILE_NAME), F.regexp_extract(name, pattern, 1).cast("bigint")
+    ).otherwise(F.raise_error(F.concat(F.lit("not a written part file: "), name)).cast("bigint"))
+    sizes = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("file_rows"))
+    # One row per written file, a list the driver holds anyway to plan the scan.
+    # The planner broadcasts it only while its size allows.
     before = Window.orderBy("file_task", "file_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "file_task", "file_part",
-        F.coalesce(F.sum("file_rows").over(before), F.lit(0)).alias("rows_before"),
+        "file_name", "file_rows",
+        number(r"^part-(\d+)-").alias("file_task"), number(r"-c(\d+)\.[a-z0-9.]+$").alias("file_part"),
+    ).select(
+        "file_name", F.coalesce(F.sum("file_rows").over(before), F.lit(0)).alias("rows_before"),
     )
-    numbered = rows.join(F.broadcast(offsets), ["file_task", "file_part"])
-    return numbered.select(
+    return rows.join(offsets, "file_name").select(
         (F.col("rows_before") + F.col("file_row") + 1).alias(key), *schema
     )
 

@@ -87,8 +87,8 @@ class RetailTables:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return dimensions.build_dim_date(dimensions.date_spine(
-            self.spark, star_tables.SPINE_START, star_tables.SPINE_END))
+        return dimensions.build_dim_date(
+            dimensions.spine_of_years(self.table("orders"), "o_orderdate"))
 
     @cached_property
     def dims(self) -> fact.Dimensions:
@@ -200,10 +200,10 @@ def source_row_counts(t: RetailTables) -> DataFrame:
 
 @query
 def dim_date_upsert(t: RetailTables) -> DataFrame:
-    """A calendar that ends three years before the last sale, extended to all complete years."""
+    """A calendar that ends three years before the last sale, extended to all years of the orders."""
     orders = t.table("orders")
     wanted = dimensions.build_dim_date(
-        dimensions.spine_of_complete_years(orders, "o_orderdate"))
+        dimensions.spine_of_years(orders, "o_orderdate"))
     cut = orders.agg(F.add_months(F.trunc(F.max("o_orderdate"), "year"), -36)).scalar()
     return dimensions.append_dates(wanted.filter(F.col("full_date") < cut), wanted)
 
@@ -404,9 +404,9 @@ def dim_products(t: RetailTables) -> DataFrame:
 
 @query
 def dim_date(t: RetailTables) -> DataFrame:
-    """A calendar of the complete years of the orders."""
+    """A calendar of the years of the orders."""
     return dimensions.build_dim_date(
-        dimensions.spine_of_complete_years(t.table("orders"), "o_orderdate"))
+        dimensions.spine_of_years(t.table("orders"), "o_orderdate"))
 
 
 @query

@@ -131,7 +131,10 @@ class _Refresh:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return flagged_receipts(self.table("audit.validation_log"))
+        """Stored, so that its size is known and a hot receipt's lines can be split in the join."""
+        path = self.run.stage_path("flagged_receipts")
+        flagged_receipts(self.table("audit.validation_log")).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def load_master(self, name: str) -> None:
         table, df = f"raw.{name}", self.raw[name]

@@ -12,9 +12,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-SPINE_START = date(1995, 1, 1)
-SPINE_END = date(2000, 12, 31)
-
 RAW_SQL = {
     "raw_stores": """
 select '  S' || lpad(cast(n_nationkey as string), 3, '0') as store_id,
@@ -98,6 +95,13 @@ def raw_frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
     })
 
 
+def sales_years(spark: SparkSession, folder: str) -> tuple[date, date]:
+    """The first day of the first year with an order and the last day of the last one."""
+    first, last = read_table(spark, folder, "orders").selectExpr(
+        "min(year(o_orderdate))", "max(year(o_orderdate))").head()
+    return date(first, 1, 1), date(last, 12, 31)
+
+
 def raw_sales_stream(spark: SparkSession, folder: str) -> DataFrame:
     """``raw_transactions`` with the order lines arriving as a stream of files."""
     sql = RAW_SQL["raw_transactions"]
