@@ -11,7 +11,7 @@ below it are skipped. The shards' answers, k rows a query each, are merged by
 score.
 
 A query is a text of the corpus; of all its words those with the highest
-frequency * idf, QUERY_TERMS of them, are its terms; words that no other text
+(1 + ln frequency) * idf, QUERY_TERMS of them, are its terms; words that no other text
 has come last, since they find nothing else.
 """
 
@@ -35,7 +35,7 @@ TOP_K = 10
 QUERY_TERMS = 8
 #: Queries are the rows whose id is divisible by this.
 EVERY = 50
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 48 << 20
 QUERY_BLOCK = 50_000
 BLOCK = 64
 DIGITS = 6
@@ -168,7 +168,7 @@ def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int = QUERY_TERMS)
     best = Window.partitionBy("query_id").orderBy(
         F.col("df") == 1, F.col("weight").desc(), "term")
     terms = asked.join(known, "term").withColumn(
-        "weight", F.round(F.col("tf") * idf, DIGITS)
+        "weight", F.round((1 + F.log("tf")) * idf, DIGITS)
     ).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= n_terms)
     return stored(terms.select("query_id", "term", "df"), "query_terms"), total, float(length)
 

@@ -124,7 +124,7 @@ tf as (select rid, doc_id, term, count(*) as tf, any_value(size) as size from (
 df as (select term, count(*) as df, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5))
    as idf from tf, n group by term),
 asked as (select doc_id as query_id, term from (select doc_id, term, row_number() over (
-    partition by doc_id order by df = 1, round(sum(tf) * any_value(idf), {digits}) desc, term)
+    partition by doc_id order by df = 1, round((1 + ln(sum(tf))) * any_value(idf), {digits}) desc, term)
     as place from tf join df using (term) where doc_id % {search.EVERY} = 0
    group by doc_id, term, df) where place <= {search.QUERY_TERMS}),
 scored as (select query_id, rid, any_value(doc_id) as doc_id, round(sum(
