@@ -175,8 +175,9 @@ def keep_one(docs: DataFrame, groups: int = GROUPS) -> DataFrame:
             F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("best")
         ).select(F.col("best.doc_id").alias("_id"), F.col("best.text_key").alias("_key")),
         "kept")
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    kept = keyed.join(
-        best, (F.col("_text_key") == F.col("_key")) & keyed["doc_id"].eqNullSafe(F.col("_id")),
+    rows = docs.select(
+        F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_key"))
+    kept = rows.join(
+        best, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")),
         "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    return kept.dropDuplicates(["doc_id", "text_key"]).select("row.*")
