@@ -96,9 +96,9 @@ def test_fact_rows(fact):
     assert by_receipt["R1"]["date_key"] == 61
 
 
-def test_every_line_has_one_outcome(spark, sales, dims, flagged, fact):
+def test_every_line_has_one_outcome(spark, sales, dims, flagged, fact, tmp_path):
     rejected = spark.createDataFrame([(3,), (1,)], "copies bigint")
-    rows = integrity.row_outcomes(sales, rejected, flagged, dims).collect()
+    rows = integrity.row_outcomes(sales, rejected, flagged, dims, str(tmp_path)).collect()
     assert {r["outcome"]: (r["source_rows"], r["fact_rows"]) for r in rows} == {
         "quarantined": (4, 0), "flagged_receipt": (1, 0), "no_product": (1, 0),
         "no_store": (1, 0), "no_staff": (1, 0), "no_date": (1, 0), "in_fact": (5, 7)}

@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -83,3 +84,50 @@ def test_master_text_is_kept(spark, tmp_path):
     row = landed.read_master(spark, str(tmp_path / "staff"), "staff").head()
     assert (row["staff_id"], row["phone_number"], row["role"]) == ("007", "0244", "")
     assert "shoe_size" not in row.asDict()
+
+
+def test_master_with_another_header_stops_the_load(spark, tmp_path):
+    land(tmp_path, "stores", "store_id,store_name", "S001,Kumasi")
+    land(tmp_path, "stores", "store_name,store_id", "Accra,S002", name="part-1.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        landed.read_master(spark, str(tmp_path / "stores"), "stores").collect()
+
+
+def test_master_without_a_header_is_empty(spark, tmp_path):
+    land(tmp_path, "stores")
+    assert landed.read_master(spark, str(tmp_path / "stores"), "stores").count() == 0
+
+
+def test_quotes_and_line_breaks_in_cells(spark, tmp_path):
+    land(tmp_path, "SalesLog_S001", "Receipt No.,Product Sold,Quantity",
+         'R1,"Pipe 5"" x, long",2', 'R2,"two\nlines",1')
+    rows = {r["receipt_no"]: r for r in landed.read_sales(
+        spark, str(tmp_path), sources("S001")).collect()}
+    assert set(rows) == {"R1", "R2"}
+    assert (rows["R1"]["product_sold"], rows["R1"]["quantity"]) == ('Pipe 5" x, long', "2")
+    assert (rows["R2"]["product_sold"], rows["R2"]["quantity"]) == ("two\nlines", "1")
+
+
+@pytest.mark.parametrize("sheet", ["Sales Log 1", "Sales+Log", "Sales%20Log", "Verkäufe"])
+def test_any_sheet_name_is_stamped(spark, tmp_path, sheet):
+    land(tmp_path, sheet, "Receipt No.,Quantity", "R1,1", "R2,2")
+    sales = landed.read_sales(spark, str(tmp_path), [Source("S001", sheet)])
+    assert {(r["store_id"], r["source_sheet"], r["receipt_no"]) for r in sales.collect()} == {
+        ("S001", sheet, "R1"), ("S001", sheet, "R2")}
+
+
+def test_repeated_header_cells_are_compared_too(spark, tmp_path):
+    land(tmp_path, "SalesLog_S001", "Quantity,Quantity,Receipt No.", "1,2,R1")
+    land(tmp_path, "SalesLog_S001", "Receipt No.,Quantity,Quantity", "R2,1,2", name="part-1.csv")
+    with pytest.raises(ValueError, match="another header"):
+        landed.read_sales(spark, str(tmp_path), sources("S001"))
+
+
+def test_compressed_files_are_read_and_other_types_stop_the_load(spark, tmp_path):
+    (tmp_path / "SalesLog_S001").mkdir()
+    with gzip.open(tmp_path / "SalesLog_S001" / "part-0.csv.gz", "wt") as out:
+        out.write("Receipt No.,Quantity\nR1,1\n")
+    assert landed.read_sales(spark, str(tmp_path), sources("S001")).count() == 1
+    land(tmp_path, "SalesLog_S001", "Receipt No.", "R2", name="part-1.tsv")
+    with pytest.raises(ValueError, match="another type"):
+        landed.read_sales(spark, str(tmp_path), sources("S001"))

@@ -1,5 +1,4 @@
-from datetime import timedelta
-
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SALES, sale
@@ -27,8 +26,8 @@ def test_growing_files_add_each_line_once(spark, tmp_path):
     landing, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     sources = [Source("S001", "SalesLog_S001"), Source("S002", "SalesLog_S002")]
 
-    def take_in(horizon=None):
-        ingest_sales(stream_sales(spark, str(landing), HEADER, sources), out, mark, horizon)
+    def take_in():
+        ingest_sales(stream_sales(spark, str(landing), HEADER, sources), out, mark)
         kept = spark.read.parquet(f"{out}/sales").select("store_id", "receipt_no", "product_sold")
         return sorted(tuple(r) for r in kept.collect())
 
@@ -41,11 +40,25 @@ def test_growing_files_add_each_line_once(spark, tmp_path):
     assert take_in() == first                                  # delivered again
     land(landing, "SalesLog_S001", "d2.csv", row("R1", "Oil", day=6), row("R4", day=6),
          row("R3", day=6))
-    assert take_in(timedelta(days=7)) == sorted(
+    assert take_in() == sorted(
         [*first, ("S001", "R1", "Oil"), ("S001", "R4", "Rice")])
     rejected = spark.read.parquet(f"{out}/rejected")
     assert {(r["failed_checks"], r["copies"]) for r in rejected.collect()} == {
         ("receipt_product_unique", 1), ("quantity_range", 1)}
+    arrived = 4 + 3 + 3
+    kept = spark.read.parquet(f"{out}/sales").count()
+    assert kept + rejected.agg(F.sum("copies")).head()[0] == arrived
+
+
+def test_stream_stops_at_a_folder_without_a_source(spark, tmp_path):
+    land(tmp_path / "in", "SalesLog S9", "d1.csv", row("R1"))
+    known = [Source("S009", "SalesLog S9")]
+    arriving = stream_sales(spark, str(tmp_path / "in"), HEADER, known)
+    ingest_sales(arriving, str(tmp_path / "out"), str(tmp_path / "mark"))
+    assert spark.read.parquet(str(tmp_path / "out" / "sales")).head()["store_id"] == "S009"
+    arriving = stream_sales(spark, str(tmp_path / "in"), HEADER, [Source("S1", "SalesLog S1")])
+    with pytest.raises(Exception, match="no source is registered"):
+        ingest_sales(arriving, str(tmp_path / "out2"), str(tmp_path / "mark2"))
 
 
 def test_one_batch_equals_the_full_refresh(spark, tmp_path, text_frame):

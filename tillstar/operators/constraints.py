@@ -117,29 +117,26 @@ def first_per_key(
     they are. The rest, every repeated key and any digest collision, is decided
     on the true keys: equal rows collapse into one with ``copies`` before the
     shuffle and the first row is an aggregate, not a window, so a key holding a
-    third of all rows never meets in one task. A key with a NULL is no key, as in
-    ``repeated_keys``: its rows are kept.
+    third of all rows never meets in one task. These lines and the first ones are
+    written under ``path`` too: ``df`` is read three times in all, and the join of
+    written tables can split a key with many different lines. A key with a NULL is
+    no key, as in ``repeated_keys``: its rows are kept.
     """
     digest = F.xxhash64(*keys)
     keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
     unkeyed = df.filter(~keyed).select(*keys, *order)
     df = df.filter(keyed)
-    (
+    repeated = _written(
         df.groupBy(digest.alias("key_digest")).agg(F.count(F.lit(1)).alias("key_rows"))
-        .filter(F.col("key_rows") > 1).select("key_digest")
-        .write.mode("overwrite").parquet(path)
-    )
-    repeated = df.sparkSession.read.parquet(path)
+        .filter(F.col("key_rows") > 1).select("key_digest"), f"{path}/digests")
     same = digest == F.col("key_digest")
 
-    lines = (
+    lines = _written(
         df.join(repeated, same, "left_semi")
-        .groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("copies"))
-    )
+        .groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("copies")), f"{path}/lines")
     first = F.struct(*order)
-    winners = lines.groupBy(*keys).agg(
-        F.min(first).alias("first_row"), F.sum("copies").alias("key_rows")
-    )
+    winners = _written(lines.groupBy(*keys).agg(
+        F.min(first).alias("first_row"), F.sum("copies").alias("key_rows")), f"{path}/first_lines")
     kept = (
         df.join(repeated, same, "left_anti").select(*keys, *order)
         .unionByName(winners.select(*keys, "first_row.*"))
@@ -154,6 +151,11 @@ def first_per_key(
     return UniqueSplit(kept, surplus)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def violation_counts(
     df: DataFrame, checks: Sequence[RowCheck], unique: Sequence[str] = ()
 ) -> DataFrame:

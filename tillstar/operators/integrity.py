@@ -61,24 +61,30 @@ def row_outcomes(
     rejected: DataFrame,
     flagged: DataFrame,
     dims: Dimensions,
+    path: str,
 ) -> DataFrame:
     """What became of every raw sales line: exactly one outcome each.
 
     ``source_rows`` sums to the raw rows; ``fact_rows`` sums to the fact, and
     exceeds the source rows of ``in_fact`` by the fan-out of repeated names.
     Dimensions are reduced to one counted row per matching key, so no join here
-    can multiply a line.
+    can multiply a line. These lookups are written under ``path``: their sizes are
+    known, and a hot product or receipt can be split in the join.
     """
-    products = dims.products.groupBy(norm_key("product_name").alias("p_name")).agg(
-        F.count(F.lit(1)).alias("p_rows"))
-    stores = dims.stores.groupBy(trimmed("store_id").alias("s_id")).agg(
-        F.count(F.lit(1)).alias("s_rows"))
-    staff = dims.staff.groupBy(
+    def lookup(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    products = lookup("products", dims.products.groupBy(
+        norm_key("product_name").alias("p_name")).agg(F.count(F.lit(1)).alias("p_rows")))
+    stores = lookup("stores", dims.stores.groupBy(
+        trimmed("store_id").alias("s_id")).agg(F.count(F.lit(1)).alias("s_rows")))
+    staff = lookup("staff", dims.staff.groupBy(
         norm_key("full_name").alias("e_name"), trimmed("store_id").alias("e_store")
-    ).agg(F.count(F.lit(1)).alias("e_rows"))
-    dates = dims.dates.groupBy(F.col("full_date").alias("d_date")).agg(
-        F.count(F.lit(1)).alias("d_rows"))
-    marks = flagged.select(F.col("receipt_no").alias("f_receipt")).distinct()
+    ).agg(F.count(F.lit(1)).alias("e_rows")))
+    dates = lookup("dates", dims.dates.groupBy(
+        F.col("full_date").alias("d_date")).agg(F.count(F.lit(1)).alias("d_rows")))
+    marks = lookup("flagged", flagged.select(F.col("receipt_no").alias("f_receipt")).distinct())
 
     same_store = trimmed("store_id")
     traced = (

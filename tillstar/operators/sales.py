@@ -54,10 +54,12 @@ def line_checks() -> list[c.RowCheck]:
 
 @dataclass(frozen=True)
 class SalesSplit:
-    """``kept`` is typed; ``rejected`` is raw text with ``failed_checks`` and ``copies``."""
+    """``kept`` is typed, ``lines`` the same as raw text; ``rejected`` is raw text with
+    ``failed_checks`` and ``copies``."""
 
     kept: DataFrame
     rejected: DataFrame
+    lines: DataFrame
 
 
 def split_sales(raw: DataFrame, path: str) -> SalesSplit:
@@ -79,7 +81,7 @@ def split_sales(raw: DataFrame, path: str) -> SalesSplit:
         *RAW_COLUMNS, "failed_checks", F.lit(1).cast("bigint").alias("copies")
     )
     surplus = lines.surplus.withColumn("failed_checks", F.lit(UNIQUE_LINE))
-    return SalesSplit(typed_sales(lines.kept), broken.unionByName(surplus))
+    return SalesSplit(typed_sales(lines.kept), broken.unionByName(surplus), lines.kept)
 
 
 def line_findings(rejected: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The registered queries: each operator over the star-schema test tables.
 
-A query composes its whole plan from the given tables. Only the surrogate keys
-stage rows on the way, in the shared scratch folder.
+A query starts from the given tables. Repeated lines, lookups of hot keys,
+surrogate keys and streams are written to the shared scratch folder on the way,
+so those queries run jobs while they are built.
 """
 
 from __future__ import annotations
@@ -519,7 +520,8 @@ def fk_orphans_injected(t: RetailTables) -> DataFrame:
 
 @query
 def row_outcomes(t: RetailTables) -> DataFrame:
-    return integrity.row_outcomes(t.split.kept, t.split.rejected, t.flagged, t.keyless_dims)
+    return integrity.row_outcomes(t.split.kept, t.split.rejected, t.flagged, t.keyless_dims,
+                                  scratch_path(t.spark, "outcome_lookups"))
 
 
 # Reports

@@ -97,6 +97,7 @@ class _Refresh:
             *[partial(self.stage_master, name) for name in MASTERS],
             self.build_calendar,
         )[0]
+        _ = self.flagged  # written once, before the steps that read it side by side
         outcomes = _together(self.account_rows, self.build_fact, self.log_constraints)[0]
         orphans = _together(self.check_orphans, self.build_customers)[0]
         if outcomes:
@@ -220,7 +221,7 @@ class _Refresh:
             return {}
         rows = row_outcomes(
             self.table("staging.transactions"), self.table("staging.transactions_rejected"),
-            self.flagged, self.dims,
+            self.flagged, self.dims, self.run.stage_path("outcome_lookups"),
         ).collect()
         return {r["outcome"]: (r["source_rows"], r["fact_rows"]) for r in rows}
 

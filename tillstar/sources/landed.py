@@ -1,12 +1,15 @@
 """Landed sheets: per-store sales files and master lists as all-text tables.
 
-Sales lie in one folder per source, ``<root>/<sheet_name>/``. All files of one
-source share a header, as the sheet they come from has only one; sources may
-differ from each other.
+Sales lie in one folder per source, ``<root>/<sheet_name>/``, as ``.csv`` or
+``.csv.gz``. All files of one source share a header, as the sheet they come from
+has only one; sources may differ from each other. Cells are quoted as
+spreadsheets export them: quotes are doubled, and a cell may hold line breaks.
+A file is therefore one task, so large sources are to be landed as many files.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -18,7 +21,13 @@ from pyspark.sql import types as T
 
 from tillstar import fixed_values as fixed
 
+log = logging.getLogger("tillstar")
+
 HEADER_READERS = 16
+FILE_ENDINGS = (".csv", ".csv.gz")
+CSV_OPTIONS = {
+    "escape": '"', "multiLine": True, "pathGlobFilter": "*.{csv,csv.gz}",
+}
 
 SALES_COLUMNS = ("timestamp", "store_id", "staff_name", "receipt_no", "customer_phone",
                  "product_sold", "quantity", "payment_method", "source_sheet")
@@ -61,13 +70,18 @@ def fill_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def stamp_source(df: DataFrame, registry: DataFrame, path: str = "source_path") -> DataFrame:
     """Store id and sheet name from the registry, by the folder a row was read from.
 
-    A store id in the sheet itself is ignored. The registry has one row per source.
+    ``path`` is a file's path as Spark reports it, with encoded blanks and the
+    like. A store id in the sheet itself is ignored. The registry has one row per
+    source; a row from a folder that it lacks stops the load.
     """
-    folder = F.element_at(F.split(path, "/"), -2)
+    encoded = F.element_at(F.split(path, "/"), -2)
+    folder = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
     names = registry.select(F.col("store_id"), F.col("sheet_name").alias("source_sheet"))
+    unknown = F.raise_error(F.concat(F.lit("no source is registered for folder "), "source_sheet"))
     return (
         df.drop("store_id").withColumn("source_sheet", folder)
-        .join(names, "source_sheet").drop(path)
+        .join(names, "source_sheet", "left")
+        .withColumn("store_id", F.coalesce("store_id", unknown.cast("string"))).drop(path)
     )
 
 
@@ -79,20 +93,33 @@ def source_row_counts(sales: DataFrame, registry: DataFrame) -> DataFrame:
     ).select("store_id", "sheet_name", F.coalesce("loaded", F.lit(0)).alias("row_count"))
 
 
-def _first_files(spark: SparkSession, root: str) -> dict[str, str]:
-    """One file per source folder. Only the listing is read, never the content."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-        .load(f"{root}/*").select("path")
-    )
-    folder = F.element_at(F.split("path", "/"), -2)
-    first = files.groupBy(folder.alias("folder")).agg(F.min("path").alias("path"))
-    return {r["folder"]: r["path"] for r in first.collect()}
+def _first_files(
+    spark: SparkSession, paths: str | list[str], known: set[str] | None = None
+) -> dict[str, str]:
+    """One file per folder. Only the listing is read, never the content.
+
+    A file of another type in one of the ``known`` folders (None: any) stops the
+    load, since its lines would be missing without a word.
+    """
+    files = spark.read.format("binaryFile").load(paths).select(
+        "path", F.element_at(F.split("path", "/"), -2).alias("folder"), "length")
+    read = F.lit(False)
+    for ending in FILE_ENDINGS:
+        read = read | F.endswith("path", F.lit(ending))
+    found = files.groupBy("folder").agg(
+        F.coalesce(F.min(F.when(read & (F.col("length") > 0), F.col("path"))),
+                   F.min(F.when(read, F.col("path")))).alias("path"),
+        F.min(F.when(~read, F.col("path"))).alias("unread")).collect()
+    found = [r for r in found if known is None or r["folder"] in known]
+    unread = [r["unread"] for r in found if r["unread"]]
+    if unread:
+        raise ValueError(f"files of another type than {FILE_ENDINGS}: {sorted(unread)[:5]}")
+    return {r["folder"]: r["path"] for r in found}
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """The first line of a file as cells; None for an empty file."""
-    first = spark.read.csv(path, header=False).head(1)
+    """The first record of a file as cells; None for an empty file."""
+    first = spark.read.options(**CSV_OPTIONS).csv(path, header=False).head(1)
     return tuple(cell or "" for cell in first[0]) if first else None
 
 
@@ -106,7 +133,9 @@ def read_sales(spark: SparkSession, root: str, sources: Sequence[Source]) -> Dat
     source, no data.
     """
     known = {s.sheet_name for s in sources}
-    files = {f: p for f, p in _first_files(spark, root).items() if f in known}
+    files = _first_files(spark, f"{root}/*", known)
+    for name in sorted(known - files.keys()):
+        log.warning("source %s delivered no file", name)
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = dict(zip(files, pool.map(lambda p: _header(spark, p), files.values())))
     groups: dict[tuple[str, ...], list[str]] = {}
@@ -116,7 +145,7 @@ def read_sales(spark: SparkSession, root: str, sources: Sequence[Source]) -> Dat
 
     wanted = [*fixed.SALES_SHEET_COLUMNS, "source_path"]
     parts = [
-        fill_missing(_read_group(spark, root, header, folders), wanted)
+        fill_missing(_read_group(spark, [f"{root}/{f}" for f in folders], header), wanted)
         for header, folders in groups.items()
     ]
     if not parts:
@@ -127,18 +156,19 @@ def read_sales(spark: SparkSession, root: str, sources: Sequence[Source]) -> Dat
 
 
 def _read_group(
-    spark: SparkSession, root: str, header: tuple[str, ...], folders: Sequence[str]
+    spark: SparkSession, folders: list[str], header: tuple[str, ...],
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    names = normalise_headers(header)
-    # A repeated or empty header cannot name a column, hence cannot be compared.
+    """The rows of all files of ``folders`` under ``names``, stopping at another header."""
+    names = names or normalise_headers(header)
+    # A repeated or empty header cannot name a column, so the reader cannot compare it.
     nameable = all(header) and len({h.lower() for h in header}) == len(header)
     cells = list(header) if nameable else [f"cell_{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cells])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True).option("enforceSchema", not nameable)
-        .csv([f"{root}/{f}/*.csv" for f in folders])
-    )
+    reader = spark.read.options(**CSV_OPTIONS).schema(schema)
+    if not nameable:
+        _compare_headers(reader.csv(folders), header)
+    rows = reader.options(header=True, enforceSchema=not nameable).csv(folders)
     position = {name: i for i, name in enumerate(names)}  # a repeated header: the last wins
     return rows.select(
         *[rows[f"`{cells[i]}`"].alias(name) for name, i in position.items()],
@@ -146,6 +176,16 @@ def _read_group(
     )
 
 
+def _compare_headers(rows: DataFrame, header: tuple[str, ...]) -> None:
+    """Stop unless every file has a record that equals ``header``; one scan of these files."""
+    equal = F.array(*[F.coalesce(rows[c], F.lit("")) for c in rows.columns]) == F.array(
+        *[F.lit(h) for h in header])
+    differing = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.max(equal).alias("has_header")).filter(~F.col("has_header")).head(1)
+    if differing:
+        raise ValueError(f"another header than {header} in {differing[0]['path']}")
+
+
 def read_sales_json(spark: SparkSession, root: str, sources: Sequence[Source]) -> DataFrame:
     """Sales landed as JSON lines under normalised names, one folder per source."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in fixed.SALES_SHEET_COLUMNS])
@@ -156,8 +196,18 @@ def read_sales_json(spark: SparkSession, root: str, sources: Sequence[Source]) -
 
 
 def read_master(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A master list by its header names; cells stay the text they were."""
-    return fill_missing(spark.read.csv(path, header=True), fixed.MASTER_COLUMNS[name])
+    """A master list by its header names; cells stay the text they were.
+
+    A file whose header differs from that of the others stops the load. A list
+    without a file or a header is empty.
+    """
+    columns = fixed.MASTER_COLUMNS[name]
+    first = next(iter(_first_files(spark, path).values()), None)
+    header = _header(spark, first) if first else None
+    if header is None:
+        empty = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        return spark.createDataFrame([], empty)
+    return fill_missing(_read_group(spark, [path], header, list(header)), columns)
 
 
 def read_masters(spark: SparkSession, root: str) -> Mapping[str, DataFrame]:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,19 +64,19 @@ class Layers:
     ) -> int:
         """Write ``df`` in the schema of ``table``; gives the rows written.
 
-        Rows are counted while they are written. ``by_month`` names a timestamp
+        Rows are counted in the written files' footers, so a task repeated after
+        a lost executor is not counted twice. ``by_month`` names a timestamp
         column to partition by month; the rebalance splits months that are too
         big for one task and packs small ones.
         """
-        seen = Observation()
-        shaped = conform(df, table).observe(seen, F.count(F.lit(1)).alias("rows"))
+        shaped = conform(df, table)
         if by_month:
             shaped = shaped.withColumn(MONTH, F.date_format(by_month, "yyyy-MM"))
             shaped.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(
                 run.path(table))
         else:
             shaped.write.mode("overwrite").parquet(run.path(table))
-        return seen.get["rows"]
+        return self.spark.read.schema(SCHEMAS[table]).parquet(run.path(table)).count()
 
     def read(self, table: str, run: Run | None = None) -> DataFrame:
         """A table of ``run``, or of the published run."""

@@ -2,22 +2,22 @@
 
 Every micro-batch goes through the same operators as the full refresh and is
 written to a folder named by its batch id, so a batch repeated after a failure
-replaces itself. Lines already taken in by an earlier batch are dropped.
+replaces itself. Lines already taken in by an earlier batch are rejects of the
+unique key, so that kept lines and the copies of rejects add up to what arrived.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.operators.fact import Dimensions, build_fact
-from tillstar.operators.sales import LINE_KEY, split_sales
+from tillstar.operators.sales import LINE_KEY, UNIQUE_LINE, split_sales, typed_sales
 from tillstar.sources.landed import (
+    CSV_OPTIONS,
     SALES_COLUMNS,
     Source,
     fill_missing,
@@ -42,7 +42,8 @@ def stream_sales(
     file with another one.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+    reader = spark.readStream.options(
+        **CSV_OPTIONS, header=True, enforceSchema=False).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.csv(f"{root}/*")
@@ -55,38 +56,30 @@ def stream_sales(
     return stamp_source(filled, registry_frame(spark, sources)).select(*SALES_COLUMNS)
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """What earlier batches wrote under ``path``."""
-    if batch_id == 0:
-        return None
-    try:
-        return spark.read.parquet(path).filter(F.col(BATCH) < batch_id)
-    except AnalysisException:
-        return None  # the earlier batches had no files at all
-
-
-def ingest_sales(
-    raw: DataFrame, out: str, checkpoint: str, horizon: timedelta | None = None
-) -> None:
+def ingest_sales(raw: DataFrame, out: str, checkpoint: str) -> None:
     """Take in everything that has arrived; typed lines and rejects go under ``out``.
 
-    A line is known if an earlier batch kept the same (receipt, product). With a
-    ``horizon`` only stored lines not older than the batch's first line by more
-    than that are looked up, which bounds the lookup as the store grows.
+    A line is known if an earlier batch kept the same (receipt, product); only
+    these two columns of the stored lines are read. A store that cannot be read
+    stops the batch.
     """
+    key = T.StructType([
+        *[T.StructField(c, T.StringType()) for c in LINE_KEY], T.StructField(BATCH, T.LongType())])
+
     def take_in(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         split = split_sales(batch, f"{out}/repeated/{BATCH}={batch_id}")
-        fresh = split.kept
-        known = _earlier(spark, f"{out}/sales", batch_id)
-        if known is not None:
-            if horizon is not None:
-                oldest = fresh.agg(F.min("transaction_date")).head()[0]
-                if oldest is not None:
-                    known = known.filter(F.col("transaction_date") >= F.lit(oldest - horizon))
-            fresh = fresh.join(known.select(*LINE_KEY), list(LINE_KEY), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/sales/{BATCH}={batch_id}")
-        split.rejected.write.mode("overwrite").parquet(f"{out}/rejected/{BATCH}={batch_id}")
+        fresh, rejected = split.lines, split.rejected
+        if batch_id > 0:
+            stored = spark.read.schema(key).parquet(f"{out}/sales")
+            known = stored.filter(F.col(BATCH) < batch_id).select(*LINE_KEY)
+            again = fresh.join(known, list(LINE_KEY), "left_semi")
+            rejected = rejected.unionByName(again.select(
+                "*", F.lit(UNIQUE_LINE).alias("failed_checks"),
+                F.lit(1).cast("bigint").alias("copies")))
+            fresh = fresh.join(known, list(LINE_KEY), "left_anti")
+        typed_sales(fresh).write.mode("overwrite").parquet(f"{out}/sales/{BATCH}={batch_id}")
+        rejected.write.mode("overwrite").parquet(f"{out}/rejected/{BATCH}={batch_id}")
 
     _run(raw.writeStream.foreachBatch(take_in), checkpoint)
 
