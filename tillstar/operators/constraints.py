@@ -117,9 +117,8 @@ def first_per_key(
     they are. The rest, every repeated key and any digest collision, is decided
     on the true keys: equal rows collapse into one with ``copies`` before the
     shuffle and the first row is an aggregate, not a window, so a key holding a
-    third of all rows never meets in one task. These lines and the first ones are
-    written under ``path`` too: ``df`` is read three times in all, and the join of
-    written tables can split a key with many different lines. A key with a NULL is
+    third of all rows never meets in one task. These lines are
+    written under ``path`` too, so ``df`` is read three times in all. A key with a NULL is
     no key, as in ``repeated_keys``: its rows are kept.
     """
     digest = F.xxhash64(*keys)
@@ -135,8 +134,9 @@ def first_per_key(
         df.join(repeated, same, "left_semi")
         .groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("copies")), f"{path}/lines")
     first = F.struct(*order)
-    winners = _written(lines.groupBy(*keys).agg(
-        F.min(first).alias("first_row"), F.sum("copies").alias("key_rows")), f"{path}/first_lines")
+    winners = lines.groupBy(*keys).agg(
+        F.min(first).alias("first_row"), F.sum("copies").alias("key_rows")
+    )
     kept = (
         df.join(repeated, same, "left_anti").select(*keys, *order)
         .unionByName(winners.select(*keys, "first_row.*"))
