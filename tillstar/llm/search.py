@@ -5,10 +5,13 @@ BM25, the number of documents, the mean length and the document frequencies, are
 those of the whole corpus, so scores of different shards compare. One task per
 shard and block of queries builds the postings of the terms that its queries use,
 with the largest score of each block of BLOCK documents, and answers every query:
-terms wait at their next document, the first term at which the sum of the largest
-scores could reach the k-th score is the pivot, and blocks whose bounds stay
-below it are skipped. The shards' answers, k rows a query each, are merged by
-score.
+a block of documents can be the pivot only if the largest scores of the query's
+terms in it add up to the k-th score, all other blocks are skipped unread.
+
+A k-th score known early skips more. It starts as the best k-th score of a single
+term, and shards are searched in three waves: each wave starts from the k-th
+scores that the shards before it found, and its shards answer with rows that reach
+them only. The answers are merged by score.
 
 A query is a text of the corpus; of all its words those with the highest
 frequency * idf, QUERY_TERMS of them, are its terms; words that no other text
@@ -17,13 +20,12 @@ has come last, since they find nothing else.
 
 from __future__ import annotations
 
-import heapq
 import math
-import re
-from bisect import bisect_left
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,92 +37,122 @@ TOP_K = 10
 QUERY_TERMS = 8
 #: Queries are the rows whose id is divisible by this.
 EVERY = 50
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 48 << 20
 QUERY_BLOCK = 50_000
 BLOCK = 64
+#: Blocks in the first run that a query scores; each further run is twice as long.
+RUN = 16
 DIGITS = 6
 #: A score may differ from its bound by rounding only; ties are judged after rounding.
 SLACK = 10.0**-DIGITS
 
-_WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _SPLIT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BYTES = bytes(
+    b if b >= 128 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
 
 
 def words_of(text: Column) -> Column:
     """Words of a text: runs of ASCII letters, digits and characters beyond ASCII, a-z for A-Z."""
-    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(lowered, _SPLIT), lambda w: w != "")
+    lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return F.array_remove(F.split(lowered, _SPLIT), "")
 
 
-_LOWER = {k: k + 32 for k in range(65, 91)}
+def split_bytes(text: str) -> list[bytes]:
+    """The words of ``words_of`` in UTF-8."""
+    return text.encode().translate(_BYTES).split()
 
 
 def split_words(text: str) -> list[str]:
-    return _WORD.findall(text.translate(_LOWER))
+    return [w.decode() for w in split_bytes(text)]
 
 
 class Postings:
     """A term's documents in a shard, their scores, and the largest score of each block."""
 
-    __slots__ = ("best", "block_best", "docs", "scores")
-
-    def __init__(self, docs: list[int], scores: list[float]) -> None:
-        self.docs, self.scores = docs, scores
-        self.best = max(scores)
-        self.block_best: dict[int, float] = {}
-        for doc, score in zip(docs, scores, strict=True):
-            block = doc // BLOCK
-            if score > self.block_best.get(block, 0.0):
-                self.block_best[block] = score
-
-
-def search(lists: list[Postings], order: list, k: int) -> list[tuple[float, int]]:
+    __slots__ = ("block_best", "blocks", "docs", "kth", "scores", "starts")
+
+    def __init__(self, docs: Iterable[int], scores: Iterable[float], k: int = TOP_K) -> None:
+        self.docs, self.scores = np.asarray(docs, np.int64), np.asarray(scores, float)
+        self.blocks, first = np.unique(self.docs // BLOCK, return_index=True)
+        self.block_best = np.maximum.reduceat(self.scores, first)
+        self.starts = np.append(first, len(self.docs))
+        n = len(self.scores)
+        #: k documents have this score by this term alone.
+        self.kth = np.partition(self.scores, n - k)[n - k] if n >= k else -math.inf
+
+    def within(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the run's blocks, side by side, and scores of the documents in them."""
+        at = np.minimum(np.searchsorted(self.blocks, run), len(self.blocks) - 1)
+        hit = np.flatnonzero(self.blocks[at] == run)
+        low, high = self.starts[at[hit]], self.starts[at[hit] + 1]
+        n = high - low
+        rows = np.repeat(high - np.cumsum(n), n) + np.arange(n.sum())
+        return np.repeat(hit * BLOCK, n) + self.docs[rows] % BLOCK, self.scores[rows]
+
+
+def search(
+    lists: list[Postings], order: list, k: int, least: float = -math.inf
+) -> list[tuple[float, int]]:
     """The best k (score, document) of the lists: by rounded score, then by ``order``.
 
     ``order`` ranks documents for ties; a document enters on a tie if it ranks
-    before the last one kept.
+    before the last one kept. Scores below ``least`` are not wanted. The lists are
+    those of one ``k``.
     """
-    heap: list[tuple[float, int, int]] = []  # (score, -rank, doc), worst first
-    at = [0] * len(lists)
-    live = list(range(len(lists)))
-    while live:
-        live = [t for t in live if at[t] < len(lists[t].docs)]
-        live.sort(key=lambda t: lists[t].docs[at[t]])
-        least = heap[0][0] if len(heap) == k else -math.inf
-        bound, pivot = 0.0, None
-        for n, t in enumerate(live):
-            bound += lists[t].best
-            if bound + SLACK >= least:
-                pivot = n
-                break
-        if pivot is None:
-            break
-        doc = lists[live[pivot]].docs[at[live[pivot]]]
-        while pivot + 1 < len(live) and lists[live[pivot + 1]].docs[at[live[pivot + 1]]] == doc:
-            pivot += 1
-        ahead = live[:pivot + 1]
-        block = doc // BLOCK
-        if sum(lists[t].block_best.get(block, 0.0) for t in ahead) + SLACK < least:
-            # No document of this block up to the next list's place can enter.
-            target = (block + 1) * BLOCK
-            if pivot + 1 < len(live):
-                target = min(target, lists[live[pivot + 1]].docs[at[live[pivot + 1]]])
-            for t in ahead:
-                at[t] = bisect_left(lists[t].docs, max(target, doc + 1), at[t])
-            continue
-        if lists[ahead[0]].docs[at[ahead[0]]] == doc:
-            total = round(math.fsum(lists[t].scores[at[t]] for t in ahead), DIGITS)
-            entry = (total, -order[doc], doc)
-            if len(heap) < k:
-                heapq.heappush(heap, entry)
-            elif entry > heap[0]:
-                heapq.heapreplace(heap, entry)
-            for t in ahead:
-                at[t] += 1
-        else:
-            for t in ahead[:pivot + 1]:
-                at[t] = bisect_left(lists[t].docs, doc, at[t])
-    return sorted(((s, d) for s, _, d in heap), reverse=True)
+    order, floor = np.asarray(order), least
+    bounds = np.full(-(-len(order) // BLOCK), -math.inf)
+    for one in lists:
+        bounds[one.blocks] = np.maximum(bounds[one.blocks], 0.0) + one.block_best
+        least = max(least, one.kth)
+    waiting = np.flatnonzero((bounds > -math.inf) & (bounds + SLACK >= least))
+    waiting = waiting[np.argsort(-bounds[waiting], kind="stable")]
+    scores, docs = np.empty(0), np.empty(0, np.int64)
+    length = RUN
+    while len(waiting) and bounds[waiting[0]] + SLACK >= least:
+        run, waiting = waiting[:length], waiting[length:]
+        run = np.sort(run[bounds[run] + SLACK >= least])
+        length *= 2
+        totals, seen = np.zeros(len(run) * BLOCK), np.zeros(len(run) * BLOCK, bool)
+        for one in lists:
+            places, added = one.within(run)
+            totals[places] += added
+            seen[places] = True
+        new = np.flatnonzero(seen & (totals + SLACK >= least))
+        scores = np.append(scores, np.round(totals[new], DIGITS))
+        docs = np.append(docs, run[new // BLOCK] * BLOCK + new % BLOCK)
+        best = np.lexsort((order[docs], -scores))[:k]
+        scores, docs = scores[best], docs[best]
+        if len(scores) == k:
+            least = max(least, scores[-1])
+    wanted = scores >= floor
+    return sorted(zip(scores[wanted].tolist(), docs[wanted].tolist(), strict=True), reverse=True)
+
+
+def index_of(
+    texts: Iterable[str], numbers: dict[bytes, int], idf: np.ndarray, mean_length: float, k: int
+) -> dict[int, Postings]:
+    """The postings of the numbered terms in the texts."""
+    terms, counts, per_doc, lengths = array("q"), array("q"), array("q"), array("q")
+    for text in texts:
+        words = split_bytes(text)
+        found = Counter(map(numbers.get, words))
+        found.pop(None, None)
+        terms.extend(found.keys())
+        counts.extend(found.values())
+        per_doc.append(len(found))
+        lengths.append(len(words))
+    if not terms:
+        return {}
+    terms, tf = np.asarray(terms), np.asarray(counts)
+    docs = np.repeat(np.arange(len(per_doc)), np.asarray(per_doc))
+    norm = K1 * (1 - B + B * np.asarray(lengths) / mean_length)
+    scores = idf[terms] * tf * (K1 + 1) / (tf + norm[docs])
+    by_term = np.argsort(terms, kind="stable")
+    present, first = np.unique(terms[by_term], return_index=True)
+    return {
+        int(t): Postings(docs[rows], scores[rows], k)
+        for t, rows in zip(present, np.split(by_term, first[1:]), strict=True)}
 
 
 def _shard_answers(k: int, n_docs: int, mean_length: float):
@@ -130,24 +162,20 @@ def _shard_answers(k: int, n_docs: int, mean_length: float):
             return pd.DataFrame({c: [] for c in columns})
         docs = docs.sort_values(["doc_id"], kind="stable", na_position="last")
         ids = docs["doc_id"].tolist()
-        frequency = dict(zip(queries["term"], queries["df"], strict=True))
-        found: dict[str, tuple[list[int], list[float]]] = {}
-        for number, text in enumerate(docs["text"]):
-            words = split_words(text)
-            norm = K1 * (1 - B + B * len(words) / mean_length)
-            counts = Counter(words)
-            for term in counts.keys() & frequency.keys():
-                tf = counts[term]
-                idf = math.log(1 + (n_docs - frequency[term] + 0.5) / (frequency[term] + 0.5))
-                numbers, scores = found.setdefault(term, ([], []))
-                numbers.append(number)
-                scores.append(idf * tf * (K1 + 1) / (tf + norm))
-        index = {term: Postings(*lists) for term, lists in found.items()}
-        ranks = list(range(len(ids)))
+        # Scores are added up by term, in every shard in the same order.
+        queries = queries.sort_values(["query_id", "term"])
+        terms = queries.drop_duplicates("term")
+        numbers = {t.encode(): n for n, t in enumerate(terms["term"])}
+        df = terms["df"].to_numpy()
+        idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
+        index = index_of(docs["text"], numbers, idf, mean_length, k)
+        order = np.arange(len(ids))
         out = []
-        for query_id, terms in queries.groupby("query_id", sort=False)["term"]:
-            lists = [index[t] for t in terms if t in index]
-            out += [(query_id, ids[d], s) for s, d in search(lists, ranks, k)]
+        for query_id, asked in queries.groupby("query_id", sort=False):
+            found = [numbers[t.encode()] for t in asked["term"]]
+            lists = [index[t] for t in found if t in index]
+            out += [(query_id, ids[d], s)
+                    for s, d in search(lists, order, k, asked["least"].iat[0])]
         return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
     return answer
@@ -157,13 +185,18 @@ def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int = QUERY_TERMS)
     """(query_id, term, df) of all queries, the number of documents and their mean length."""
     texts = docs.select("doc_id", words_of(F.coalesce("text", F.lit(""))).alias("words"))
     total = docs.count()
-    length = texts.agg(F.avg(F.size("words"))).head()[0] or 1.0
     asked = stored(
         texts.filter(F.col("doc_id") % every == 0).select("doc_id", F.explode("words").alias("term"))
         .groupBy(F.col("doc_id").alias("query_id"), "term").agg(F.count(F.lit(1)).alias("tf")),
         "query_words")
-    known = texts.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"))
+    # A text's length goes with its first word.
+    known = stored(
+        texts.select(F.size("words").alias("length"), F.posexplode(F.array_distinct("words")))
+        .groupBy(F.col("col").alias("term")).agg(
+            F.count(F.lit(1)).alias("df"),
+            F.sum(F.when(F.col("pos") == 0, F.col("length")).otherwise(0)).alias("length")),
+        "document_frequencies")
+    length = (known.agg(F.sum("length")).head()[0] or 0) / max(total, 1) or 1.0
     idf = F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
     best = Window.partitionBy("query_id").orderBy(
         F.col("df") == 1, F.col("weight").desc(), "term")
@@ -186,18 +219,29 @@ def top_k(docs: DataFrame, k: int = TOP_K, every: int = EVERY) -> DataFrame:
     shards = max(1, -(-size // SHARD_BYTES))
     queries = terms.select("query_id").distinct().count()
     blocks = max(1, -(-queries // QUERY_BLOCK))
-    every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    of_docs = docs.filter("text is not null").select(
-        "doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard"),
-        every_of(blocks).alias("block"))
-    of_queries = terms.select(
-        "*", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
-        every_of(shards).alias("shard")).withColumn("shard", F.col("shard").cast("bigint"))
-    answers = of_docs.groupBy("shard", "block").cogroup(
-        of_queries.groupBy("shard", "block")
-    ).applyInPandas(
-        _shard_answers(k, total, mean_length), "query_id bigint, doc_id bigint, score double")
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     place = Window.partitionBy("query_id").orderBy(
         F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-    return answers.withColumn("rank", F.row_number().over(place)).filter(
-        F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    asked, best = terms.withColumn("least", F.lit(-math.inf)), None
+    cuts = sorted({math.ceil(shards ** (n / 3)) for n in (1, 2)} | {shards})
+    for low, high in zip([0, *cuts], cuts):
+        of_docs = docs.filter("text is not null").select(
+            "doc_id", "text", shard.alias("shard"), _each(0, blocks).alias("block")
+        ).filter((F.col("shard") >= low) & (F.col("shard") < high))
+        of_queries = asked.select("*", block.alias("block"), _each(low, high).alias("shard"))
+        answers = of_docs.groupBy("shard", "block").cogroup(
+            of_queries.groupBy("shard", "block")
+        ).applyInPandas(
+            _shard_answers(k, total, mean_length), "query_id bigint, doc_id bigint, score double")
+        best = (answers if best is None else best.drop("rank").unionByName(answers)).withColumn(
+            "rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+        if high < shards:
+            best = stored(best, "best_so_far")
+            least = best.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+            asked = terms.join(least, "query_id", "left").fillna(-math.inf, ["least"])
+    return best.select("query_id", "rank", "doc_id", "score")
+
+
+def _each(low: int, high: int) -> Column:
+    return F.explode(F.sequence(F.lit(low).cast("bigint"), F.lit(high - 1).cast("bigint")))
