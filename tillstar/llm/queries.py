@@ -88,7 +88,8 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_search(spark: SparkSession, folder: str) -> DataFrame:
-    return search.top_k(table(spark, folder, "documents"))
+    """The whole text of each query, all its distinct words."""
+    return search.top_k(table(spark, folder, "documents"), n_terms=None)
 
 
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,9 +13,10 @@ term, and shards are searched in three waves: each wave starts from the k-th
 scores that the shards before it found, and its shards answer with rows that reach
 them only. The answers are merged by score.
 
-A query is a text of the corpus; of all its words those with the highest
-frequency * idf, QUERY_TERMS of them, are its terms; words that no other text
-has come last, since they find nothing else.
+A query is a text of the corpus. With ``n_terms`` None all its distinct words are
+its terms, each counted once however often the query has it; this is what the
+registered query asks. With a number only those with the highest frequency * idf
+are, words that no other text has last: a smaller query with other answers.
 """
 
 from __future__ import annotations
@@ -39,10 +40,14 @@ QUERY_TERMS = 8
 EVERY = 50
 SHARD_BYTES = 48 << 20
 QUERY_BLOCK = 50_000
+#: Terms of all queries of a block; queries of whole texts make smaller blocks.
+TERM_BLOCK = 4_000_000
 BLOCK = 64
 #: Blocks in the first run that a query scores; each further run is twice as long.
 RUN = 16
 DIGITS = 6
+#: From so many lists on a query adds up whole lists: their bounds skip next to no block.
+WIDE = 32
 #: A score may differ from its bound by rounding only; ties are judged after rounding.
 SLACK = 10.0**-DIGITS
 
@@ -70,14 +75,20 @@ def split_words(text: str) -> list[str]:
 class Postings:
     """A term's documents in a shard, their scores, and the largest score of each block."""
 
-    __slots__ = ("block_best", "blocks", "docs", "kth", "scores", "starts")
+    __slots__ = ("block_best", "blocks", "docs", "k", "kth", "scores", "starts")
 
     def __init__(self, docs: Iterable[int], scores: Iterable[float], k: int = TOP_K) -> None:
-        self.docs, self.scores = np.asarray(docs, np.int64), np.asarray(scores, float)
+        self.docs, self.scores = np.asarray(docs, np.int32), np.asarray(scores, float)
+        self.k, self.blocks = k, None
+
+    def in_blocks(self) -> None:
+        """Find the blocks when a query first needs them."""
+        if self.blocks is not None:
+            return
         self.blocks, first = np.unique(self.docs // BLOCK, return_index=True)
         self.block_best = np.maximum.reduceat(self.scores, first)
         self.starts = np.append(first, len(self.docs))
-        n = len(self.scores)
+        n, k = len(self.scores), self.k
         #: k documents have this score by this term alone.
         self.kth = np.partition(self.scores, n - k)[n - k] if n >= k else -math.inf
 
@@ -101,8 +112,11 @@ def search(
     those of one ``k``.
     """
     order, floor = np.asarray(order), least
+    if len(lists) >= WIDE:
+        return _search_all(lists, order, k, floor)
     bounds = np.full(-(-len(order) // BLOCK), -math.inf)
     for one in lists:
+        one.in_blocks()
         bounds[one.blocks] = np.maximum(bounds[one.blocks], 0.0) + one.block_best
         least = max(least, one.kth)
     waiting = np.flatnonzero((bounds > -math.inf) & (bounds + SLACK >= least))
@@ -129,11 +143,29 @@ def search(
     return sorted(zip(scores[wanted].tolist(), docs[wanted].tolist(), strict=True), reverse=True)
 
 
+def _search_all(
+    lists: list[Postings], order: np.ndarray, k: int, floor: float
+) -> list[tuple[float, int]]:
+    """``search`` by the scores of all documents of the lists."""
+    totals, seen = np.zeros(len(order)), np.zeros(len(order), bool)
+    for one in lists:
+        totals[one.docs] += one.scores
+        seen[one.docs] = True
+    docs = np.flatnonzero(seen & (totals + SLACK >= floor))
+    if len(docs) > k:
+        kth = np.partition(totals[docs], len(docs) - k)[len(docs) - k]
+        docs = docs[totals[docs] + SLACK >= kth]
+    scores = np.round(totals[docs], DIGITS)
+    best = np.lexsort((order[docs], -scores))[:k]
+    best = best[scores[best] >= floor]
+    return sorted(zip(scores[best].tolist(), docs[best].tolist(), strict=True), reverse=True)
+
+
 def index_of(
     texts: Iterable[str], numbers: dict[bytes, int], idf: np.ndarray, mean_length: float, k: int
 ) -> dict[int, Postings]:
     """The postings of the numbered terms in the texts."""
-    terms, counts, per_doc, lengths = array("q"), array("q"), array("q"), array("q")
+    terms, counts, per_doc, lengths = array("i"), array("i"), array("q"), array("q")
     for text in texts:
         words = split_bytes(text)
         found = Counter(map(numbers.get, words))
@@ -144,15 +176,21 @@ def index_of(
         lengths.append(len(words))
     if not terms:
         return {}
+    # Whole texts ask nearly every word, so arrays are narrow and lists are slices of one.
     terms, tf = np.asarray(terms), np.asarray(counts)
-    docs = np.repeat(np.arange(len(per_doc)), np.asarray(per_doc))
+    docs = np.repeat(np.arange(len(per_doc), dtype=np.int32), np.asarray(per_doc))
     norm = K1 * (1 - B + B * np.asarray(lengths) / mean_length)
-    scores = idf[terms] * tf * (K1 + 1) / (tf + norm[docs])
+    scores = idf[terms] * tf * (K1 + 1)
+    scores /= tf + norm[docs]
+    del tf, counts
     by_term = np.argsort(terms, kind="stable")
-    present, first = np.unique(terms[by_term], return_index=True)
+    terms, docs, scores = terms[by_term], docs[by_term], scores[by_term]
+    del by_term
+    present, first = np.unique(terms, return_index=True)
+    ends = np.append(first[1:], len(terms))
     return {
-        int(t): Postings(docs[rows], scores[rows], k)
-        for t, rows in zip(present, np.split(by_term, first[1:]), strict=True)}
+        int(t): Postings(docs[low:high], scores[low:high], k)
+        for t, low, high in zip(present, first, ends, strict=True)}
 
 
 def _shard_answers(k: int, n_docs: int, mean_length: float):
@@ -162,27 +200,32 @@ def _shard_answers(k: int, n_docs: int, mean_length: float):
             return pd.DataFrame({c: [] for c in columns})
         docs = docs.sort_values(["doc_id"], kind="stable", na_position="last")
         ids = docs["doc_id"].tolist()
-        # Scores are added up by term, in every shard in the same order.
-        queries = queries.sort_values(["query_id", "term"])
-        terms = queries.drop_duplicates("term")
-        numbers = {t.encode(): n for n, t in enumerate(terms["term"])}
-        df = terms["df"].to_numpy()
+        # Scores are added up in the order of a query's terms, the same in every shard.
+        numbers, df, asked = {}, array("q"), []
+        for terms, counts in zip(queries["terms"], queries["dfs"], strict=True):
+            found = array("i")
+            for term, count in zip(terms, counts, strict=True):
+                number = numbers.setdefault(term.encode(), len(df))
+                if number == len(df):
+                    df.append(count)
+                found.append(number)
+            asked.append(found)
+        df = np.asarray(df)
         idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
         index = index_of(docs["text"], numbers, idf, mean_length, k)
         order = np.arange(len(ids))
         out = []
-        for query_id, asked in queries.groupby("query_id", sort=False):
-            found = [numbers[t.encode()] for t in asked["term"]]
+        for query_id, least, found in zip(
+                queries["query_id"], queries["least"], asked, strict=True):
             lists = [index[t] for t in found if t in index]
-            out += [(query_id, ids[d], s)
-                    for s, d in search(lists, order, k, asked["least"].iat[0])]
+            out += [(query_id, ids[d], s) for s, d in search(lists, order, k, least)]
         return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
     return answer
 
 
-def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int = QUERY_TERMS):
-    """(query_id, term, df) of all queries, the number of documents and their mean length."""
+def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int | None = QUERY_TERMS):
+    """(query_id, terms, dfs) of all queries, the number of documents and their mean length."""
     texts = docs.select("doc_id", words_of(F.coalesce("text", F.lit(""))).alias("words"))
     total = docs.count()
     asked = stored(
@@ -200,13 +243,19 @@ def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int = QUERY_TERMS)
     idf = F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
     best = Window.partitionBy("query_id").orderBy(
         F.col("df") == 1, F.col("weight").desc(), "term")
-    terms = asked.join(known, "term").withColumn(
-        "weight", F.round(F.col("tf") * idf, DIGITS)
-    ).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= n_terms)
-    return stored(terms.select("query_id", "term", "df"), "query_terms"), total, float(length)
-
-
-def top_k(docs: DataFrame, k: int = TOP_K, every: int = EVERY) -> DataFrame:
+    terms = asked.join(known, "term")
+    if n_terms is not None:
+        terms = terms.withColumn("weight", F.round(F.col("tf") * idf, DIGITS)).withColumn(
+            "place", F.row_number().over(best)).filter(F.col("place") <= n_terms)
+    by_query = terms.groupBy("query_id").agg(
+        F.array_sort(F.collect_list(F.struct("term", "df"))).alias("asked")
+    ).select("query_id", F.col("asked.term").alias("terms"), F.col("asked.df").alias("dfs"))
+    return stored(by_query, "query_terms"), total, float(length)
+
+
+def top_k(
+    docs: DataFrame, k: int = TOP_K, every: int = EVERY, n_terms: int | None = QUERY_TERMS
+) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents of each query, itself included.
 
     Scores are rounded to DIGITS digits; ties go to the smaller doc_id, NULL ids
@@ -214,11 +263,11 @@ def top_k(docs: DataFrame, k: int = TOP_K, every: int = EVERY) -> DataFrame:
     than k rows; texts without words are never found and ask nothing. Rows that
     share an id are documents of their own, and as queries one.
     """
-    terms, total, mean_length = query_terms(docs, every)
+    terms, total, mean_length = query_terms(docs, every, n_terms)
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    queries = terms.select("query_id").distinct().count()
-    blocks = max(1, -(-queries // QUERY_BLOCK))
+    queries, n_terms = terms.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).head()
+    blocks = max(1, -(-queries // QUERY_BLOCK), -(-(n_terms or 0) // TERM_BLOCK))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     place = Window.partitionBy("query_id").orderBy(
