@@ -1,5 +1,6 @@
 """The registered queries do the whole job: no query is cut, no repeat is left."""
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -46,3 +47,15 @@ def test_wide_queries_equal_block_by_block(monkeypatch):
         monkeypatch.setattr(search, "WIDE", 99)
         assert wide == search.search(lists, list(range(700)), 10, least)
         monkeypatch.setattr(search, "WIDE", 32)
+
+
+def test_single_lines_that_repeat_go(spark, tmp_path):
+    line = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, f"a\n{line}\nb\nc"), (2, f"d\ne\n{line}\nf"), (3, line), (4, f"{line}\ng"),
+            (5, f"h\nh\n{line}"), (6, "i\nj"), (7, None), (8, "")]
+    found = queries.op10_line_dedup(spark, folder_of(spark, tmp_path, rows)).collect()
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert {r.doc_id: (r.n_lines, r.n_deleted, r.text_md5) for r in found} == {
+        1: (4, 0, md5(rows[0][1])), 2: (4, 1, md5("d\ne\nf")), 3: (1, 1, md5("")),
+        4: (2, 1, md5("g")), 5: (3, 2, md5("h")), 6: (2, 0, md5("i\nj")), 7: (0, 0, md5("")),
+        8: (0, 0, md5(""))}

@@ -100,7 +100,8 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
+    """Every line that stands earlier in the corpus goes, whatever lines are around it."""
+    return line_dedup.dedup_lines(table(spark, folder, "documents"), window=1).select(
         F.col("row.doc_id").alias("doc_id"), F.col("n_lines").cast("bigint").alias("n_lines"),
         F.col("n_deleted").cast("bigint").alias("n_deleted"),
         F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
