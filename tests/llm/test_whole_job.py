@@ -5,7 +5,9 @@ import math
 import random
 from collections import Counter
 
-from tillstar.llm import queries, search
+import numpy as np
+
+from tillstar.llm import decontamination, queries, search
 
 
 def folder_of(spark, tmp_path, rows):
@@ -59,3 +61,29 @@ def test_single_lines_that_repeat_go(spark, tmp_path):
         1: (4, 0, md5(rows[0][1])), 2: (4, 1, md5("d\ne\nf")), 3: (1, 1, md5("")),
         4: (2, 1, md5("g")), 5: (3, 2, md5("h")), 6: (2, 0, md5("i\nj")), 7: (0, 0, md5("")),
         8: (0, 0, md5(""))}
+
+
+def test_edited_copies_are_found_beside_exact_ones(spark):
+    draw = random.Random(11)
+    item = [f"i{k}" for k in range(38)]
+    edited = [w if k % 5 else f"x{k}" for k, w in enumerate(item, 1)]
+    texts = [item, item, edited]
+    for share in (0.10, 0.15, 0.21, 0.27, 0.33):
+        for _ in range(12):
+            changed = set(draw.sample(range(38), round(share * 38)))
+            texts.append([f"y{k}" if k in changed else w for k, w in enumerate(item)])
+    fill = lambda n: [f"f{draw.randrange(10**6)}" for _ in range(n)]
+    rows = [(k, " ".join(fill(30) + t + fill(draw.randrange(90)))) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for least in (0, 2):  # with and without exact copies elsewhere
+        items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+        found = {r.doc_id for r in decontamination.contaminated(
+            docs.filter(docs.doc_id >= least), items).collect()}
+        numbers = {w: n for n, w in enumerate({w for _, t in rows for w in t.split()})}
+        coded = lambda words: np.array([numbers[w] for w in words])
+        score = {k: decontamination.align(coded(item), coded(t.split()))[0]
+                 for k, t in rows if k >= least}
+        grams = lambda ws: set(zip(ws, ws[1:], ws[2:], strict=False))
+        assert found == {k for k, s in score.items() if s >= decontamination.THRESHOLD
+                         and grams(item) & grams(rows[k][1].split())}
+        assert 2 in found and len(found) > 40

@@ -1,13 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment of passages.
+"""Benchmark decontamination: n-gram seeds, then local alignment of passages.
 
 Word trigrams of the test items are seeds. The corpus is scanned once; every
 trigram of every document is looked up among the seeds, a join whose small side
-is broadcast only while the planner's size of it allows. Hits, and with them each
-seed's frequency in the whole corpus, are stored. Of each item the rarest half of
-its seeds (all that tie with its median) opens passages: a stretch of a document
-around hits on neighbouring diagonals. Smith-Waterman on words scores every
-passage against its item, so edits, insertions and gaps lower the score only a
-little, and a phrase in common does not reach the threshold.
+is broadcast only while the planner's size of it allows. The hits are stored. Every hit opens a passage, whatever its frequency in the
+corpus, so a copy is a candidate as long as it keeps one trigram: a stretch of a
+document around hits on neighbouring diagonals. A passage that shares too few
+words with its item to reach the threshold is dropped unaligned, which loses
+nothing. Smith-Waterman on words scores the others, so edits, insertions and gaps
+lower the score only a little, and a phrase in common does not reach the threshold.
+A copy with every third word changed in turn keeps no trigram and is not found.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm import text_blocks as tb
@@ -90,28 +91,46 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (MATCH * max(1, len(item))), begin, end
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, text, passages of items) to rows of scored passages."""
-    for batch in batches:
-        found: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "score", "start", "end")}
-        for start, stop, texts in tb.blocks(batch.column(1)):
-            hashes, words = _item_words(texts)
-            ids = batch.column(0).slice(start, stop - start).to_pylist()
-            passages = batch.column(2).slice(start, stop - start).to_pylist()
-            for k, doc_id in enumerate(ids):
-                doc = hashes[words[k]:words[k + 1]]
-                for p in passages[k]:
-                    low, high = max(0, p["low"]), min(len(doc), p["high"])
-                    item, _ = _item_words(pa.array([p["item"]], pa.large_string()))
-                    score, begin, end = align(item, doc[low:high])
-                    for name, value in zip(
-                            found, (doc_id, p["item_id"], score, low + begin, low + end),
-                            strict=True):
-                        found[name].append(value)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found["doc_id"], pa.int64()), pa.array(found["item_id"], pa.int64()),
-             pa.array(found["score"], pa.float64()), pa.array(found["start"], pa.int32()),
-             pa.array(found["end"], pa.int32())], list(found))
+def most_score(item: np.ndarray, passage: np.ndarray) -> float:
+    """No alignment scores more: every word of the item that the passage has, as often as both."""
+    found, counts = np.unique(item, return_counts=True)
+    place = np.minimum(np.searchsorted(found, passage), len(found) - 1)
+    hit = place[found[place] == passage]
+    return np.minimum(counts, np.bincount(hit, minlength=len(found))).sum() / len(item)
+
+
+def _aligned(threshold: float):
+    """Rows (doc_id, text, passages of items) to rows of passages that score ``threshold``."""
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "score", "start", "end")}
+            known: dict[str, np.ndarray] = {}
+            for start, stop, texts in tb.blocks(batch.column(1)):
+                hashes, words = _item_words(texts)
+                ids = batch.column(0).slice(start, stop - start).to_pylist()
+                passages = batch.column(2).slice(start, stop - start).to_pylist()
+                for k, doc_id in enumerate(ids):
+                    doc = hashes[words[k]:words[k + 1]]
+                    for p in passages[k]:
+                        low, high = max(0, p["low"]), min(len(doc), p["high"])
+                        if p["item"] not in known:
+                            known[p["item"]], _ = _item_words(pa.array([p["item"]], pa.large_string()))
+                        item, passage = known[p["item"]], doc[low:high]
+                        if not len(passage) or most_score(item, passage) < threshold:
+                            continue
+                        score, begin, end = align(item, passage)
+                        if score < threshold:
+                            continue
+                        for name, value in zip(
+                                found, (doc_id, p["item_id"], score, low + begin, low + end),
+                                strict=True):
+                            found[name].append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found["doc_id"], pa.int64()), pa.array(found["item_id"], pa.int64()),
+                 pa.array(found["score"], pa.float64()), pa.array(found["start"], pa.int32()),
+                 pa.array(found["end"], pa.int32())], list(found))
+
+    return aligned
 
 
 def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -130,12 +149,7 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
         ).distinct(), "items")
     grams = seeds_of(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"))
     hits = stored(grams.join(seeds.select("seed").distinct(), "seed"), "seed_hits")
-    known = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("found"))
-    ranked = seeds.join(known, "seed", "left").fillna(0, ["found"])
-    by_item = Window.partitionBy("item_id", "item_key")
-    rare = ranked.withColumn("median", F.percentile("found", 0.5).over(by_item)).filter(
-        F.col("found") <= F.col("median")).drop("found", "median")
-    open_at = hits.join(stored(rare, "rare_seeds"), "seed").join(
+    open_at = hits.join(seeds, "seed").join(
         words.select("item_key", "item_words").distinct(), "item_key")
     return open_at.groupBy(
         "doc_id", "text_key", "item_id", "item_key", "item_words",
@@ -165,8 +179,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
         "passages", lambda p: F.struct(
             p["item_id"].alias("item_id"), F.lower(p["item"]).alias("item"),
             p["low"].alias("low"), p["high"].alias("high"))).alias("passages")
-    ).mapInArrow(_aligned, "doc_id bigint, item_id bigint, score double, start int, end int")
-    best = scored.filter(F.col("score") >= threshold).groupBy("doc_id", "item_id").agg(
+    ).mapInArrow(_aligned(threshold), "doc_id bigint, item_id bigint, score double, start int, end int")
+    best = scored.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("score", -F.col("start"), -F.col("end"))).alias("best"))
     return best.select(
         "doc_id", "item_id", F.round("best.score", 6).alias("score"),
