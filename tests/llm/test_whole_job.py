@@ -3,11 +3,11 @@
 import hashlib
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 
-from tillstar.llm import decontamination, queries, search
+from tillstar.llm import decontamination, queries, search, sharding
 
 
 def folder_of(spark, tmp_path, rows):
@@ -87,3 +87,34 @@ def test_edited_copies_are_found_beside_exact_ones(spark):
         assert found == {k for k, s in score.items() if s >= decontamination.THRESHOLD
                          and grams(item) & grams(rows[k][1].split())}
         assert 2 in found and len(found) > 40
+
+
+def test_groups_of_copies_stay_whole_without_other_rows(spark):
+    texts = [f"t{k}" for k in range(400) for _ in range(2 + k % 39)]
+    random.Random(1).shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = sharding.place(docs).collect()
+    shards, sizes = defaultdict(set), Counter(r.shard for r in rows)
+    for r in rows:
+        shards[r.text_crc32].add(r.shard)
+    assert len(rows) == len(texts) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert sum(len(s) > 1 for s in shards.values()) < sharding.SHARDS
+
+
+def test_packing_fills_quotas_and_splits_fewer_hubs_than_shards():
+    draw = random.Random(5)
+    for _ in range(300):
+        shards = draw.randint(1, 8)
+        sizes = {draw.randint(2, 60): draw.randint(1, 30) for _ in range(draw.randint(1, 12))}
+        total = sum(n * c for n, c in sizes.items()) + draw.choice([0, 0, 5, 400])
+        quotas = [total // shards + (s < total % shards) for s in range(shards)]
+        for even in (True, False):
+            pieces = sharding.packed(list(sizes.items()), quotas, even)
+            copies, used, torn = Counter(), Counter(), set()
+            for n, rank, hubs, shard, cnt in pieces:
+                used[shard] += hubs * cnt
+                copies.update({(n, k): cnt for k in range(rank, rank + hubs)})
+                torn |= {(n, rank)} if cnt < n else set()
+            assert copies == {(n, k): n for n, c in sizes.items() for k in range(c)}
+            assert all(used[s] <= q for s, q in enumerate(quotas))
+            assert len(torn) < max(shards, 2) and (shards > 1 or not torn)
