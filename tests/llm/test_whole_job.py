@@ -118,3 +118,12 @@ def test_packing_fills_quotas_and_splits_fewer_hubs_than_shards():
             assert copies == {(n, k): n for n, c in sizes.items() for k in range(c)}
             assert all(used[s] <= q for s, q in enumerate(quotas))
             assert len(torn) < max(shards, 2) and (shards > 1 or not torn)
+
+
+def test_an_edited_copy_with_few_trigrams_left_is_found(spark):
+    item = [f"i{k}" for k in range(38)]
+    edited = " ".join(w if k % 5 else f"x{k}" for k, w in enumerate(item, 1))
+    docs = spark.createDataFrame([(1, " ".join(item)), (2, edited)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    for some, found in ((docs.filter("doc_id = 2"), {2}), (docs, {1, 2})):
+        assert {r.doc_id for r in decontamination.contaminated(some, items).collect()} == found
