@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import (
     decontamination,
+    divergence,
     language_id,
     line_dedup,
     mixing,
@@ -15,7 +16,9 @@ from tillstar.llm import (
     search,
     secret_scan,
     sharding,
+    toxicity,
     url_filter,
+    vector_codes,
 )
 
 
@@ -107,6 +110,19 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.codes(table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,5 +132,6 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_secret_scan, op2_quality, op3_near_duplicates, op4_decontamination, op5_mixing,
-        op6_sharding, op7_url_filter, op8_search, op9_language_id, op10_line_dedup, pipeline)
+        op6_sharding, op7_url_filter, op8_search, op9_language_id, op10_line_dedup, op11_toxicity, op12_source_divergence,
+        op13_vector_codes, pipeline)
 }

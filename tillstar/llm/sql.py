@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillstar.llm import line_dedup, mixing, search, secret_scan
+from tillstar.llm import divergence, line_dedup, mixing, search, secret_scan, vector_codes
 
 
 def _quoted(text: str) -> str:
@@ -152,10 +152,90 @@ select x.doc_id, cast(case when coalesce(x.text, '') = '' then 0
 from documents x left join d on x.doc_id is not distinct from d.doc_id
  and x.text is not distinct from d.text left join gone g using (rid)"""
 
+
+def _divergence() -> str:
+    a, whole = divergence.SMOOTHING, divergence.WHOLE
+    share = lambda n, size: (
+        f"cast(1 + ({whole}::hugeint * ({n} + {a})) // ({size}) as bigint)")
+    return f"""
+with d as (select row_number() over () as rid, coalesce(lang, '') as lang,
+  coalesce(source, '') as source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz') as t from documents),
+w as (select rid, lang, source, unnest(regexp_extract_all(
+  t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from d),
+c as (select lang, source, term, count(*) as n, count(distinct rid) as docs from w group by all),
+kept as (select lang, term, sum(n)::bigint as total from c group by all
+ having sum(docs) >= {divergence.LEAST_DOCUMENTS}),
+g as (select distinct lang, source from d),
+sized as (select lang, count(*) as v, sum(total)::bigint as n from kept group by lang),
+dense as (select lang, source, term, coalesce(n, 0) as n, total
+ from g join kept using (lang) left join c using (lang, source, term)),
+p as (select dense.*, sum(dense.n) over (partition by lang, source) + {a} * v as size,
+  sized.n + {a} * v as lang_size from dense join sized using (lang)),
+q as (select lang, source, term, n, {share("n", "size")} as p,
+  {share("total", "lang_size")} as q from p),
+apart as (select x.lang, x.source, y.source as item, sum(abs(x.p - y.p))::bigint as value
+ from q x join q y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all),
+pairs as (select x.lang, x.source, y.source as item, coalesce(value, 0) as value
+ from g x join g y on x.lang = y.lang and x.source <> y.source
+ left join apart z on x.lang = z.lang and x.source = z.source and y.source = z.item),
+parts as (select lang, source, 'pair' as part, item, value from pairs
+ union all select lang, source, 'term', term, p - q from q where n > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part
+  order by value desc, encode(item)) as rank from parts)
+select lang, source, part, item, value, cast(rank as int) as rank
+from ranked where part = 'pair' or rank <= {divergence.TOP_TERMS}"""
+
+
+def _vector_codes() -> str:
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+    limit = f"{vector_codes.LARGEST}"
+    steps = [f"""
+with v as (select row_number() over () as rid, vec_id, label, list_transform(embedding, lambda x:
+  floor(greatest(-{limit}, least({limit}, x::double * {vector_codes.SCALE})))::bigint) as ints
+ from embeddings where embedding is not null
+ and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+wide as (select coalesce(ceil(max(len(ints)) / {parts})::bigint, 0) as width from v),
+x as (select rid, p.part, list_resize(ints, {parts} * width, 0)
+   [p.part * width + 1:(p.part + 1) * width] as c
+  from v, wide, (select unnest(range({parts})) as part) p),
+b0 as (select part, place - 1 as entry, c from x join (select rid, row_number() over (
+   order by vec_id nulls last, ints) as place from v) using (rid) where place <= {entries})"""]
+
+    def assigned(k: int) -> str:
+        return f"""
+a{k} as materialized (select rid, part, (least_of).entry as entry, (least_of).d as d from (
+ select rid, x.part, min({{'d': coalesce(list_sum(list_transform(list_zip(x.c, b.c),
+  lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 0)::bigint, 'entry': entry}}) as least_of
+ from x join b{k} b on x.part = b.part group by rid, x.part))"""
+
+    for k in range(vector_codes.ROUNDS):
+        steps.append(assigned(k))
+        steps.append(f"""
+m{k} as (select part, entry, list(value order by place) as c from (
+ select part, entry, place, floor(sum(value) / count(*))::bigint as value from (
+  select a.part, a.entry, unnest(x.c) as value, unnest(range(len(x.c))) as place
+  from a{k} a join x using (rid, part)) group by all) group by all),
+b{k + 1} as materialized (select part, entry, coalesce(m.c, b.c) as c
+ from b{k} b left join m{k} m using (part, entry))""")
+    last = vector_codes.ROUNDS
+    steps.append(assigned(last))
+    steps.append(f"""
+digest as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as sha
+ from b{last}),
+coded as (select rid, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' order by part) as code,
+  sum(d)::bigint as error from a{last} group by rid)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+ sha as codebooks_sha256 from v join coded using (rid), digest""")
+    return ",".join(steps)
+
+
 SQL = {
     "op1_secret_scan": _secret_scan(),
     "op5_mixing": _mixing(),
     "op7_url_filter": _URLS,
     "op8_search": _search(),
     "op10_line_dedup": _LINES,
+    "op12_source_divergence": _divergence(),
+    "op13_vector_codes": _vector_codes(),
 }

@@ -22,14 +22,16 @@ WORD_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]]
 _powers: dict[str, np.ndarray] = {}
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
-    """Runs of rows with about BLOCK_BYTES of text: first row, end row, texts (NULL: '')."""
+def blocks(
+    texts: pa.Array, limit: int = BLOCK_BYTES
+) -> Iterator[tuple[int, int, pa.Array]]:
+    """Runs of rows with about ``limit`` bytes of text: first row, end row, texts (NULL: empty)."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
         yield start, stop, texts.slice(start, stop - start)
         start = stop
 
