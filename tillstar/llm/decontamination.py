@@ -100,15 +100,16 @@ def most_score(item: np.ndarray, passage: np.ndarray) -> float:
 
 
 def _aligned(threshold: float):
-    """Rows (doc_id, text, passages of items) to rows of passages that score ``threshold``."""
+    """Rows (doc_id, text_key, text, passages of items) to passages that score ``threshold``."""
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "score", "start", "end")}
+            found: dict[str, list] = {
+                k: [] for k in ("doc_id", "text_key", "item_id", "score", "start", "end")}
             known: dict[str, np.ndarray] = {}
-            for start, stop, texts in tb.blocks(batch.column(1)):
+            for start, stop, texts in tb.blocks(batch.column(2)):
                 hashes, words = _item_words(texts)
-                ids = batch.column(0).slice(start, stop - start).to_pylist()
-                passages = batch.column(2).slice(start, stop - start).to_pylist()
+                ids, keys, _, passages = (
+                    c.slice(start, stop - start).to_pylist() for c in batch.columns)
                 for k, doc_id in enumerate(ids):
                     doc = hashes[words[k]:words[k + 1]]
                     for p in passages[k]:
@@ -122,11 +123,11 @@ def _aligned(threshold: float):
                         if score < threshold:
                             continue
                         for name, value in zip(
-                                found, (doc_id, p["item_id"], score, low + begin, low + end),
+                                found, (doc_id, keys[k], p["item_id"], score, low + begin, low + end),
                                 strict=True):
                             found[name].append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found["doc_id"], pa.int64()), pa.array(found["item_id"], pa.int64()),
+                [*[pa.array(found[c], pa.int64()) for c in ("doc_id", "text_key", "item_id")],
                  pa.array(found["score"], pa.float64()), pa.array(found["start"], pa.int32()),
                  pa.array(found["end"], pa.int32())], list(found))
 
@@ -161,13 +162,8 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     ).join(words.select("item_key", "item").distinct(), "item_key")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, item_id, score, start_word, end_word) of every leaked item of a document.
-
-    One row per pair, that of its best passage. Items of fewer words than a seed,
-    NULL and empty texts have no seed and are never found; NULL ids are ids like
-    others. Rows of one doc_id count as one document.
-    """
+def leaked_passages(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text_key, item_id, score, start, end) of passages that score ``threshold``."""
     found = passages(docs, items).groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("item_id", "item", "low", "high")).alias("passages"))
     found = stored(found, "passages").withColumnsRenamed(
@@ -175,11 +171,24 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").join(
         found, F.col("doc_id").eqNullSafe(F.col("found_id"))
         & (F.col("text_key") == F.col("found_key")))
-    scored = texts.select("doc_id", F.lower("text").alias("text"), F.transform(
+    return texts.select("doc_id", "text_key", F.lower("text").alias("text"), F.transform(
         "passages", lambda p: F.struct(
             p["item_id"].alias("item_id"), F.lower(p["item"]).alias("item"),
             p["low"].alias("low"), p["high"].alias("high"))).alias("passages")
-    ).mapInArrow(_aligned(threshold), "doc_id bigint, item_id bigint, score double, start int, end int")
+    ).mapInArrow(_aligned(threshold), "doc_id bigint, text_key bigint, item_id bigint,"
+                 " score double, start int, end int")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, item_id, score, start_word, end_word) of every leaked item of a document.
+
+    One row per pair, that of its best passage; of passages of one score the first.
+    Items of fewer words than a seed, NULL and empty texts have no seed and are never
+    found; NULL ids are ids like others. Rows of one doc_id count as one document. Texts
+    of any length are read whole; of extra columns nothing is read; without documents
+    or items nothing is found.
+    """
+    scored = leaked_passages(docs, items, threshold)
     best = scored.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("score", -F.col("start"), -F.col("end"))).alias("best"))
     return best.select(
@@ -188,7 +197,14 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id holds no leaked item."""
-    leaked = stored(contaminated(docs, items).select(
-        F.col("doc_id").alias("_leaked_id")).distinct(), "leaked")
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_leaked_id"]), "left_anti")
+    """The rows of ``docs``, all columns, whose text holds no leaked item.
+
+    A row goes if a row of its id and text leaks: other texts of the same id stay, and
+    so do clean texts without an id beside a leaked one without an id.
+    """
+    leaked = stored(leaked_passages(docs, items, THRESHOLD).select(
+        F.col("doc_id").alias("_leaked_id"), F.col("text_key").alias("_leaked_key")).distinct(),
+        "leaked")
+    return docs.join(
+        leaked, (F.xxhash64(docs["text"]) == leaked["_leaked_key"])
+        & docs["doc_id"].eqNullSafe(leaked["_leaked_id"]), "left_anti")
