@@ -1,8 +1,7 @@
 """Text quality by histogram gradient-boosted trees over document statistics.
 
-Statistics are computed once for every row on Spark and written. The trees are
-fitted in numpy on a bounded sample of labelled rows (``SAMPLE_ROWS``, the
-smallest hashes of the id), whose statistics are a few MB. The fitted trees are
+The trees are fitted in numpy on the statistics of a bounded sample of labelled rows
+(``SAMPLE_ROWS``, thinned out by hashes), which are a few MB. The fitted trees are
 complete binary trees in flat arrays, a few KB; every task walks all of its rows
 down one tree at a time, one array operation per level.
 """
@@ -14,13 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm import text_blocks as tb
 from tillstar.llm.tables import held_out, stored
 
-#: At most so many labelled rows are fitted; learning needs no more for so few statistics.
+#: About so many labelled rows are fitted at most; learning needs no more for so few statistics.
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, BINS = 60, 3, 32
 RATE, L2, LEAST_WEIGHT = 0.2, 1.0, 1.0
@@ -96,13 +95,14 @@ def statistics(texts: pa.Array) -> np.ndarray:
 
 
 def _all_statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the text last; the statistics take its place."""
     for batch in batches:
         for start, stop, texts in tb.blocks(batch.column(batch.num_columns - 1)):
             values = statistics(texts)
             kept = batch.slice(start, stop - start).columns[:-1]
             flat = pa.FixedSizeListArray.from_arrays(
                 pa.array(values.ravel()), len(STATISTICS)).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([*kept, flat], ["doc_id", "held_out", "stats"])
+            yield pa.RecordBatch.from_arrays([*kept, flat], ["key", "good", "stats"])
 
 
 @dataclass(frozen=True)
@@ -178,40 +178,49 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees:
                  np.array(cuts).reshape(-1, inner), np.array(values).reshape(-1, leaves), base)
 
 
-def document_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, stats) of every row; the text is read once, here."""
-    return docs.select(
-        "doc_id", held_out("doc_id", FOLDS, TEST_FOLD).alias("held_out"), "text"
-    ).mapInArrow(_all_statistics, "doc_id bigint, held_out boolean, stats array<float>")
-
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(key, good, stats) of about ``rows`` labelled texts outside the test fold, at most.
 
-def training_rows(
-    stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
-) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of at most ``sample_rows`` rows outside the test fold.
-
-    Several labels of one id count by their majority, a tie as good; NULL labels
-    and NULL ids do not count.
+    Each (id, text) counts once. Several labels of one id count by their majority, a tie
+    as good; NULL labels and NULL ids do not count. Hashes of the id thin out the labels
+    before the join, so that only the sample's texts are looked at, and hashes of id
+    and text the joined rows, should many texts share an id.
     """
-    verdicts = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(
-        (F.avg("quality") >= 0.5).cast("int").alias("good"))
-    rows = (
-        stats.filter(~F.col("held_out")).join(verdicts, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "stats").limit(sample_rows)
-        .select("stats", "good").toPandas()
-    )
-    if rows.empty:
+    verdicts = stored(
+        labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(
+            (F.avg("quality") >= 0.5).cast("int").alias("good")
+        ).filter(~held_out("doc_id", FOLDS, TEST_FOLD)), "quality_labels")
+    found = docs.select("doc_id", "text").join(
+        verdicts.filter(_taken("doc_id", rows / max(1, verdicts.count()))), "doc_id"
+    ).groupBy(F.xxhash64("doc_id", "text").alias("key")).agg(
+        F.max("good").alias("good"), F.first("text").alias("text"))
+    found = stored(found.mapInArrow(
+        _all_statistics, "key bigint, good int, stats array<float>"), "quality_sample")
+    return found.filter(_taken("key", rows / max(1, found.count())))
+
+
+def _taken(column: str, share: float) -> Column:
+    """True for ``share`` of the values, by their hashes."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << 30)) < min(1 << 30, int(share * (1 << 30)))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and labels of ``sample``."""
+    rows = sample(docs, labels).toArrow().sort_by("key")
+    if not rows.num_rows:
         return np.zeros((0, len(STATISTICS)), np.float32), np.zeros(0)
-    return np.stack(rows["stats"].to_numpy()), rows["good"].to_numpy(np.float64)
+    stats = rows.column("stats").combine_chunks().flatten().to_numpy()
+    return stats.reshape(-1, len(STATISTICS)), rows.column("good").to_numpy().astype(np.float64)
 
 
 def _scored(trees: Trees):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(2).flatten().to_numpy().reshape(-1, len(STATISTICS))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(trees.score(x))],
-                ["doc_id", "held_out", "score"])
+            for start, stop, texts in tb.blocks(batch.column(2)):
+                mine = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays(
+                    [mine.column(0), mine.column(1), pa.array(trees.score(statistics(texts)))],
+                    ["doc_id", "held_out", "score"])
 
     return score
 
@@ -220,19 +229,21 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``.
 
     ``score`` is the fitted probability of label 1, ``predicted`` 1 from CUT on.
-    NULL and empty texts have statistics of zero and get a score like any other.
-    Repeated rows are scored alike. See ``fit`` for tables without labels.
+    NULL and empty texts have statistics of zero and get a score like any other. Texts
+    of any length are read whole. Repeated rows are scored alike. Without documents the
+    result is empty; see ``fit`` for tables without labels. Extra columns are not read.
     """
-    stats = stored(document_statistics(docs), "statistics")
-    trees = fit(*training_rows(stats, labels))
-    return stats.mapInArrow(
+    trees = fit(*training_rows(docs, labels))
+    return docs.select(
+        "doc_id", held_out("doc_id", FOLDS, TEST_FOLD).alias("held_out"), "text"
+    ).mapInArrow(
         _scored(trees), "doc_id bigint, held_out boolean, score double"
     ).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text is predicted good."""
-    trees = fit(*training_rows(stored(document_statistics(docs), "statistics"), labels))
+    trees = fit(*training_rows(docs, labels))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
