@@ -14,21 +14,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labels of a host looked up as domains of their own; longer hosts are looked up by their ends too.
-MOST_LABELS = 127
+#: The login ends at the last @ before the path; an IPv6 address stands in brackets.
+HOST = r"^\s*https?://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@\s]+)"
+#: Hosts without parent domains.
+ADDRESS = r"^(\[.*\]|[0-9]+(\.[0-9]+){3})$"
 
 
 def host_of(url: str | Column) -> Column:
     """Lower-case host of an http(s) URL without login, port or last dot; NULL if there is none."""
     url = F.col(url) if isinstance(url, str) else url
-    host = F.regexp_extract(
-        F.lower(url), r"^\s*https?://(?:[^/?#@]*@)?([^/?#:@\s]+)", 1)
+    host = F.regexp_extract(F.lower(url), HOST, 1)
     return F.nullif(F.regexp_replace(host, r"\.+$", ""), F.lit(""))
 
 
 def domains_of(host: Column) -> Column:
-    """The host and its parent domains, longest first."""
-    labels = F.split(host, r"\.")
+    """The host and its parent domains, longest first; an address has no parents."""
+    labels = F.when(host.rlike(ADDRESS), F.array(host)).otherwise(F.split(host, r"\."))
     return F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
@@ -56,7 +57,10 @@ def filter_captures(captures: DataFrame, intervals: DataFrame) -> DataFrame:
 
     ``verdict`` is ``block`` if the host or a parent domain is listed at the fetch
     time, else ``allow``; ``invalid`` without a host or a time. The longest listed
-    domain is reported. NULL ids stay; repeated rows are judged each.
+    domain is reported. NULL ids stay; repeated rows are judged each. Hosts of any
+    length and number of labels are looked up whole; NULL and malformed URLs are
+    ``invalid``. Without captures the result is empty, without entries all are allowed.
+    Extra columns are not read.
     """
     rows = captures.select(
         "page_id", host_of("url").alias("host"), F.col("fetched_at"),
