@@ -53,7 +53,8 @@ ADDED_RULES = (
     Rule("stripe", r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}", 24),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 27),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 20),
-    Rule("url_login", r"[a-z]{2,10}://[^\s:/@]{1,64}:[^\s:/@]{1,64}@", 8),
+    # A longer scheme is found too, from its last ten letters on.
+    Rule("url_login", r"[a-z]{2,10}://[^\s:/@]+:[^\s:/@]+@", 8),
 )
 RULES = BASE_RULES + ADDED_RULES
 
