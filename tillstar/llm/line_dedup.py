@@ -11,7 +11,7 @@ whole window, which extends the match from the selected line both ways over the
 window; overlapping windows extend it on to the end of the run.
 
 With a window of one line every line counts by itself, in texts of any number of
-lines; the registered query takes that. Wider windows miss lines and short runs
+lines; that is the default. Wider windows miss lines and short runs
 that repeat among other lines.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tillstar.llm.tables import stored
 
 #: Lines of the shortest run that counts. A text of fewer lines is one window.
-WINDOW = 3
+WINDOW = 1
 
 
 def _windows(hashes: Column, window: int) -> Column:

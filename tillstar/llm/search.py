@@ -35,7 +35,6 @@ from tillstar.llm.tables import stored
 
 K1, B = 1.2, 0.75
 TOP_K = 10
-QUERY_TERMS = 8
 #: Queries are the rows whose id is divisible by this.
 EVERY = 50
 SHARD_BYTES = 48 << 20
@@ -224,7 +223,7 @@ def _shard_answers(k: int, n_docs: int, mean_length: float):
     return answer
 
 
-def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int | None = QUERY_TERMS):
+def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int | None = None):
     """(query_id, terms, dfs) of all queries, the number of documents and their mean length."""
     texts = docs.select("doc_id", words_of(F.coalesce("text", F.lit(""))).alias("words"))
     total = docs.count()
@@ -254,7 +253,7 @@ def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int | None = QUERY
 
 
 def top_k(
-    docs: DataFrame, k: int = TOP_K, every: int = EVERY, n_terms: int | None = QUERY_TERMS
+    docs: DataFrame, k: int = TOP_K, every: int = EVERY, n_terms: int | None = None
 ) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents of each query, itself included.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillstar.llm import divergence, line_dedup, mixing, search, secret_scan, vector_codes
+from tillstar.llm import divergence, line_dedup, mixing, search, secret_scan, url_filter, vector_codes
 
 
 def _quoted(text: str) -> str:
@@ -88,9 +88,9 @@ select doc_id, size, source_size, target, cast(laps * size + greatest(0, least(
  words - laps * shard_size - before, size)) as bigint) as taken from lapped"""
 
 
-_URLS = r"""
+_URLS = rf"""
 with hosts as (select page_id, url, nullif(regexp_replace(regexp_extract(lower(url),
-   '^\s*https?://(?:[^/?#@]*@)?([^/?#:@\s]+)', 1), '\.+$', ''), '') as host from pages),
+   '{url_filter.HOST}', 1), '\.+$', ''), '') as host from pages),
 captures as (select page_id, host, timestamp '2024-01-01 00:00:00'
    + to_minutes(page_id * 7919 % 525600) as fetched_at from hosts),
 entries as (select regexp_replace(host, '^(www|m|blog)\.', '') as domain,
@@ -104,7 +104,8 @@ spells as (select * from (select domain, on_category as category, listed, day as
 hits as (select c.page_id, s.*, row_number() over (
    partition by c.page_id order by length(s.domain) desc) as place
   from captures c join spells s
-   on (c.host = s.domain or ends_with(c.host, '.' || s.domain)) and c.fetched_at >= s.valid_from
+   on (c.host = s.domain or (ends_with(c.host, '.' || s.domain)
+   and not regexp_matches(c.host, '{url_filter.ADDRESS}'))) and c.fetched_at >= s.valid_from
    and (s.valid_to is null or c.fetched_at < s.valid_to))
 select c.page_id, c.host, c.fetched_at, case when c.host is null then 'invalid'
   when h.domain is not null then 'block' else 'allow' end as verdict,
@@ -123,10 +124,7 @@ tf as (select rid, doc_id, term, count(*) as tf, any_value(size) as size from (
    select rid, doc_id, len(words) as size, unnest(words) as term from d) group by all),
 df as (select term, count(*) as df, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5))
    as idf from tf, n group by term),
-asked as (select doc_id as query_id, term from (select doc_id, term, row_number() over (
-    partition by doc_id order by df = 1, round(sum(tf) * any_value(idf), {digits}) desc, term)
-    as place from tf join df using (term) where doc_id % {search.EVERY} = 0
-   group by doc_id, term, df) where place <= {search.QUERY_TERMS}),
+asked as (select distinct doc_id as query_id, term from tf where doc_id % {search.EVERY} = 0),
 scored as (select query_id, rid, any_value(doc_id) as doc_id, round(sum(
     idf * tf * {k1 + 1} / (tf + {k1} * (1 - {b} + {b} * size / mean))), {digits}) as score
   from asked join tf using (term) join df using (term), n group by query_id, rid),
