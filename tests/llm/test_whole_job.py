@@ -3,11 +3,22 @@
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 
-from tillstar.llm import decontamination, queries, search, sharding
+from pyspark.sql import functions as F
+
+from tillstar.llm import (
+    decontamination,
+    quality,
+    queries,
+    search,
+    secret_scan,
+    sharding,
+    url_filter,
+)
 
 
 def folder_of(spark, tmp_path, rows):
@@ -127,3 +138,56 @@ def test_an_edited_copy_with_few_trigrams_left_is_found(spark):
     items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
     for some, found in ((docs.filter("doc_id = 2"), {2}), (docs, {1, 2})):
         assert {r.doc_id for r in decontamination.contaminated(some, items).collect()} == found
+
+
+def test_clean_rows_stay_beside_a_leak_with_their_id(spark):
+    item = "the quick onyx goblin jumps over a lazy dwarf while seven wizards judge"
+    rows = [(None, f"here {item} there"), (None, "clean without an id"), (7, item),
+            (7, "clean with the id of a leak"), (8, None), (7, item)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    kept = decontamination.drop_contaminated(docs, items).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
+def test_hosts_of_odd_urls(spark):
+    urls = {"http://user:p@ss@evil.com/x@y": "evil.com", "http://[2001:db8::1]:80/": "[2001:db8::1]",
+            "HTTPS://1.2.3.4:8080?q=@z": "1.2.3.4", "http://a.b.co.": "a.b.co", "http://": None,
+            "http://x/a@b": "x", "http://" + "a." * 300 + "org": "a." * 300 + "org", "ftp://x": None}
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    found = df.select("url", url_filter.host_of("url").alias("h")).collect()
+    assert {r.url: r.h for r in found} == urls
+    hosts = spark.createDataFrame([("1.2.3.4",), ("[::1]",), ("a.b.co",)], "h string")
+    parents = {r.h: r.d for r in hosts.select("h", url_filter.domains_of(hosts.h).alias("d")).collect()}
+    assert parents == {"1.2.3.4": ["1.2.3.4"], "[::1]": ["[::1]"], "a.b.co": ["a.b.co", "b.co", "co"]}
+
+
+def test_long_logins_are_found(spark):
+    url = f"ftp://{'u' * 90}:{'p' * 70}@host"
+    docs = spark.createDataFrame([(1, f"see {url}")], "doc_id bigint, text string")
+    spans = secret_scan.find_secrets(docs).select(secret_scan.as_text(F.col("found"))).head()[0]
+    assert spans == f"url_login:4:{4 + len(url) - 4}"
+
+
+def test_quality_learns_each_text_once_from_about_the_sample(spark):
+    rows = [(k, f"text number {k % 300}") for k in range(400)] + [(1, f"other {k}") for k in range(600)]
+    docs = spark.createDataFrame(rows * 2, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id bigint, quality int")
+    known = {r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    x, y = quality.training_rows(docs, labels)
+    assert len(x) == len(y) == len(known)
+    assert quality.sample(docs, labels, 40).count() < 90
+
+
+def test_flat_trees_equal_walking_node_by_node():
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(400, len(quality.STATISTICS))).astype(np.float32)
+    trees = quality.fit(x, (x[:, 3] + x[:, 5] > 0).astype(float))
+    total = np.full(len(x), trees.base)
+    for k, row in enumerate(x):
+        for feature, cut, leaf in zip(trees.feature, trees.cut, trees.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+            total[k] += leaf[node - len(feature)]
+    assert np.allclose(trees.score(x), 1 / (1 + np.exp(-total)))
