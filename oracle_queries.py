@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tillstar.sources.star_tables import RAW_SQL, TABLES
+from tillstar.sources.star_tables import DELIVERIES_SQL, RAW_SQL, SECOND_LOAD, TABLES
 
 _RAW = {name: sql.format(**{t: t for t in TABLES}) for name, sql in RAW_SQL.items()}
 
@@ -158,6 +158,52 @@ from fact where customer_phone is not null and customer_phone <> '' group by cus
 }
 
 
+_MONTH = "strftime(transaction_date, '%Y-%m')"
+_SECOND = f"substr(timestamp, 1, 7) in {SECOND_LOAD}"
+_CTES |= {
+    "deliveries": DELIVERIES_SQL.format(raw_transactions="raw_transactions"),
+    "parsed_d": _CTES["parsed"].replace("raw_transactions", "deliveries"),
+    "judged_d": _CTES["judged"].replace("from parsed", "from parsed_d"),
+    "ranked_d": f"""
+select *, row_number() over (partition by receipt_no, product_sold, delivery
+ order by delivered_day desc, {_ORDER}) as place from judged_d where failed_checks = ''
+""",
+    "kept_d": """
+select * from (select *, row_number() over (partition by receipt_no, product_sold
+  order by delivery) as first_place from ranked_d
+ where place = 1 and not (delivery = 4 and delivered_day = 0)) x where first_place = 1
+""",
+    "ranked_l": f"""
+select *, row_number() over (partition by receipt_no, product_sold
+ order by {_SECOND}, {_ORDER}) as place from judged where failed_checks = ''
+""",
+    "stg_l": f"""
+select transaction_date, store_id, staff_name, receipt_no,
+ {_BLANK.format('customer_phone')} as customer_phone, product_sold, units as quantity,
+ payment_method, source_sheet, {_SECOND} as is_second from ranked_l where place = 1
+""",
+    "fact_l": _CTES["fact"].replace("stg_transactions", "stg_l"),
+    "flagged_first": f"""
+select receipt_no from raw_transactions where not ({_SECOND})
+group by receipt_no, store_id, source_sheet having count(*) > 3
+""",
+    "rebuilt_l": f"""
+select distinct {_MONTH} as month from stg_l where is_second or receipt_no in (
+ select raw_value from duplicates where raw_value not in (select receipt_no from flagged_first))
+""",
+}
+
+
+def _lasting(name: str, table: str, business_id: str) -> str:
+    number = f"cast(regexp_extract({business_id}, '[0-9]+') as int)"
+    return f"""
+select '{name}' as dimension, business_id, row_number() over (order by not is_first,
+  business_id) as surrogate_key, is_current
+from (select {business_id} as business_id, bool_or({number} % 10 <> 3) as is_first,
+  bool_or({number} % 7 <> 2) as is_current from {table} group by {business_id})
+where is_first or is_current"""
+
+
 def _orphans(stores: str, staff: str, products: str, dates: str) -> str:
     return " union all ".join(
         f"select '{check}' as check_name, count(*) as orphan_count from fact f"
@@ -365,12 +411,59 @@ where place = 1""",
     "sales_by_store_month": "select f.store_id, d.year, d.month_num, " + _MEASURES +
         " from fact f join d_date d on f.date_key = d.date_key"
         " group by f.store_id, d.year, d.month_num",
+    "sales_cube": f"""
+select store_id, month, category, cast(grouping_id(store_id, month, category) as int) as level,
+ {_MEASURES} from (select *, {_MONTH} as month from fact)
+group by grouping sets ((store_id, month, category), (store_id, month), (store_id, category),
+ (month, category), (store_id), (month), (category), ())""",
+    "sales_on_days": f"select f.store_id, {_MEASURES} from fact f join d_date d"
+        " on f.date_key = d.date_key where d.quarter = 2 and d.is_weekend group by f.store_id",
+    "lasting_keys": " union all ".join(
+        _lasting(name, f"stg_{name}", f"{one}_id") for name, one in
+        (("stores", "store"), ("staff", "staff"), ("managers", "manager"),
+         ("products", "product"))),
+    "incremental_fact": f"select *, {_MONTH} in (select month from rebuilt_l) as rebuilt"
+        " from fact_l",
+    "full_refresh": _counts({
+        **{f"raw.{n}": f"raw_{n}"
+           for n in ("transactions", "stores", "staff", "managers", "products")},
+        **_STAGED,
+        "staging.transactions": "stg_transactions",
+        "staging.transactions_rejected": "rejected",
+        "audit.validation_log": "all_findings",
+        "audit.constraint_log": "constraint_rows",
+        **{f"marts.dim_{n}": f"stg_{n}" for n in ("stores", "staff", "managers", "products")},
+        "marts.dim_date": "d_date",
+        "marts.fact_transactions": "fact",
+        "marts.dim_customers": "visits",
+    }),
+    "stream_dedup": f"""
+select {_LINE}, '' as failed_checks, cast(1 as bigint) as copies from kept_d
+union all select {_LINE}, case when exists (select 1 from kept_d k where
+   k.receipt_no = r.receipt_no and k.product_sold = r.product_sold) then 'receipt_product_unique'
+  else 'delivered_too_late' end, 1 from ranked_d r where place = 1 and not exists (
+   select 1 from kept_d k where k.receipt_no = r.receipt_no
+   and k.product_sold = r.product_sold and k.delivery = r.delivery)
+union all select {_LINE}, 'receipt_product_unique', count(*) from ranked_d where place > 1
+ group by {_LINE}, delivery, delivered_day
+union all select {_LINE}, failed_checks, 1 from judged_d where failed_checks <> ''""",
+    "stream_flagged": """
+select 'raw.transactions' as table_name, 'duplicate_receipt_no' as check_name, store_id,
+ source_sheet, receipt_no as raw_value, cast(min(delivery) as int) as delivery from (
+ select *, sum(n) over (partition by store_id, source_sheet, receipt_no order by delivery) as lines
+ from (select store_id, source_sheet, receipt_no, delivery, count(*) as n
+  from deliveries group by all)) where lines > 3 group by all""",
     "stream_ingest": "select * from stg_transactions",
     "stream_fact": "select * from fact",
     "sales_by_category": f"select category, {_MEASURES} from fact group by category",
 }
 
 
+_CTES["constraint_rows"] = _FINAL["constraint_findings"] + """
+union all select 'staging.stores', 'region_domain', store_id, null, region, 1 from stg_stores
+where region not in ('Southern Region', 'Middle Belt Region', 'Northern Region')"""
+
+
 def _needed(sql: str) -> list[str]:
     """The common tables a statement reads, directly or through others, in order."""
     found: set[str] = set()

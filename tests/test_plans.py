@@ -61,3 +61,18 @@ def test_scans_read_only_needed_columns(plan):
 def test_first_row_per_key_is_an_aggregate_after_a_narrow_lookup(plan):
     text = plan("stg_transactions")
     assert "partial_min(struct" in text and "key_digest" in text
+
+
+def test_the_cube_expands_sums_from_one_scan(plan):
+    text = plan("sales_cube")
+    assert text.count("Expand") == 1
+    assert text.count("lineitem.parquet") == plan("sales_by_category").count("lineitem.parquet")
+    assert "HashAggregate(keys=[store_id" in text.split("Expand")[1]
+
+
+def test_calendar_filters_prune_month_folders(spark):
+    df = QUERIES["sales_on_days"](spark, SF)
+    with redirect_stdout(io.StringIO()) as out:
+        df.explain()
+    scan = next(line for line in out.getvalue().split("\n") if "fact_by_month" in line)
+    assert "PartitionFilters: [isnotnull(sale_month" in scan and "dynamicpruning" in scan

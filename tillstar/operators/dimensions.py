@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.operators.keys import with_dense_key
+from tillstar.operators.keys import with_dense_key, with_lasting_key
 
 # dimension: (key, ordering business id, columns)
 DIMENSIONS = {
@@ -29,6 +29,29 @@ def build_dimension(name: str, staged: DataFrame, path: str) -> DataFrame:
     return with_dense_key(staged.select(*columns), key, path, [order])
 
 
+def extend_dimension(
+    name: str, known: DataFrame | None, staged: DataFrame, path: str
+) -> DataFrame:
+    """A dimension whose keys outlast the load: ``known`` with the rows of ``staged``.
+
+    Dropped masters keep their row and key, so a fact written earlier finds them;
+    ``current_rows`` leaves them out where sales are matched.
+    """
+    key, business_id, columns = DIMENSIONS[name]
+    if known is None:
+        known = staged.sparkSession.createDataFrame([], staged.select(
+            F.lit(0).cast("bigint").alias(key), *columns).schema)
+    return with_lasting_key(known.select(key, *columns), staged.select(*columns), key,
+                            business_id, path)
+
+
+def current_rows(name: str, dimension: DataFrame, staged: DataFrame) -> DataFrame:
+    """The rows of a lasting dimension that are masters now."""
+    business_id = DIMENSIONS[name][1]
+    return dimension.join(staged.select(business_id), business_id, "left_semi").select(
+        *dimension.columns)
+
+
 def date_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
     """Every day from ``start`` to ``end``, keyed 1..n; the planner knows its size."""
     days = (end - start).days + 1

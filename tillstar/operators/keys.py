@@ -66,3 +66,26 @@ def with_dense_key(
     """``df`` with a key 1..n in ``order``, staged under ``path``."""
     write_ordered(df, path, order)
     return read_numbered(df.sparkSession, path, key)
+
+
+def with_lasting_key(
+    known: DataFrame, wanted: DataFrame, key: str, natural: str, path: str
+) -> DataFrame:
+    """``known`` brought up to ``wanted``: keys once given out stay, new ones follow the highest.
+
+    ``known`` has one row per ``natural`` with its ``key``. Its rows take the other columns
+    from ``wanted`` where that has them and keep their last ones where it does not, so
+    that older references still find them. Of several rows of ``wanted`` with one
+    ``natural`` the smallest counts; a NULL is no ``natural``. New rows are numbered in
+    the order of ``natural`` after one anti-join; they are staged under ``path``.
+    """
+    others = [c for c in known.columns if c not in (key, natural)]
+    current = wanted.filter(F.col(natural).isNotNull()).groupBy(natural).agg(
+        F.min(F.struct(*others)).alias("_now"))
+    updated = known.join(current, natural, "left").select(key, natural, *[
+        F.when(F.col("_now").isNotNull(), F.col(f"_now.{c}")).otherwise(F.col(c)).alias(c)
+        for c in others])
+    fresh = current.join(known.select(natural), natural, "left_anti").select(natural, "_now.*")
+    last_key = known.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+    added = with_dense_key(fresh, key, path, [natural])
+    return updated.unionByName(added.withColumn(key, F.col(key) + last_key)).select(*known.columns)

@@ -81,6 +81,40 @@ def sales_by_store_month(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def _measures() -> list:
+    return [F.count(F.lit(1)).alias("sales_lines"), F.sum("quantity").alias("units_sold"),
+            F.sum("total_amount_ghs").cast("decimal(28,2)").alias("revenue_ghs")]
+
+
+def sales_cube(fact: DataFrame) -> DataFrame:
+    """Sales by store, month and category, by each two and each one of them, and in all.
+
+    One scan: lines are summed per store, month and category first, and only these sums
+    are expanded into the grouping sets. ``level`` tells the sets apart: a bit is set
+    for each column (store 4, month 2, category 1) that is summed over.
+    """
+    finest = fact.groupBy(
+        "store_id", F.date_format("transaction_date", "yyyy-MM").alias("month"), "category"
+    ).agg(*_measures())
+    store, month, category = F.col("store_id"), F.col("month"), F.col("category")
+    sets = [[store, month, category], [store, month], [store, category], [month, category],
+            [store], [month], [category], []]
+    return finest.groupingSets(sets, store, month, category).agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.sum("sales_lines").alias("sales_lines"), F.sum("units_sold").alias("units_sold"),
+        F.sum("revenue_ghs").cast("decimal(28,2)").alias("revenue_ghs"))
+
+
+def sales_on_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Sales per store on some days of the calendar, from a fact stored by month.
+
+    The days' months are a join key beside the date key, so that a filter on the calendar
+    reaches the scan of the fact as a dynamic pruning of its month folders.
+    """
+    wanted = days.select("date_key", F.date_format("full_date", "yyyy-MM").alias("sale_month"))
+    return fact.join(wanted, ["sale_month", "date_key"]).groupBy("store_id").agg(*_measures())
+
+
 def sales_by_category(fact: DataFrame) -> DataFrame:
     return fact.groupBy("category").agg(
         F.count(F.lit(1)).alias("sales_lines"),

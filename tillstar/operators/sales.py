@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -62,23 +63,27 @@ class SalesSplit:
     lines: DataFrame
 
 
-def split_sales(raw: DataFrame, path: str) -> SalesSplit:
+def split_sales(
+    raw: DataFrame, path: str, order: Sequence[str] = LINE_ORDER
+) -> SalesSplit:
     """Separate valid sales lines from those breaking a constraint.
 
     Row checks run first; the (receipt, product) key is then unique among the
     rows that passed them, as the database would have it. ``path`` is scratch
-    space for the repeated keys, which are looked up at once.
+    space for the repeated keys, which are looked up at once. ``order`` decides which
+    line of a key stays; columns that it names beyond the raw ones are kept beside them.
     """
+    columns = [*RAW_COLUMNS, *[c for c in order if c not in RAW_COLUMNS]]
     parsed = raw.select(
-        *RAW_COLUMNS,
+        *columns,
         parse_timestamp("timestamp").alias("transaction_date"),
         parse_count("quantity").alias("units"),
     )
     checks = line_checks()
-    sound = c.passing(parsed, checks).select(*RAW_COLUMNS)
-    lines = c.first_per_key(sound, LINE_KEY, LINE_ORDER, path)
+    sound = c.passing(parsed, checks).select(*columns)
+    lines = c.first_per_key(sound, LINE_KEY, order, path)
     broken = c.failing(parsed, checks).select(
-        *RAW_COLUMNS, "failed_checks", F.lit(1).cast("bigint").alias("copies")
+        *columns, "failed_checks", F.lit(1).cast("bigint").alias("copies")
     )
     surplus = lines.surplus.withColumn("failed_checks", F.lit(UNIQUE_LINE))
     return SalesSplit(typed_sales(lines.kept), broken.unionByName(surplus), lines.kept)

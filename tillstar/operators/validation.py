@@ -25,12 +25,15 @@ def _findings(df: DataFrame, check_name: str) -> DataFrame:
 
 def duplicate_receipts(sales: DataFrame, limit: int = fixed.RECEIPT_REPEAT_LIMIT) -> DataFrame:
     """Receipts on more than ``limit`` lines of one store and sheet."""
-    groups = (
-        sales.groupBy("store_id", "source_sheet", F.col("receipt_no").alias("raw_value"))
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .filter(F.col("lines") > limit)
-    )
-    return _findings(groups, fixed.DUPLICATE_RECEIPT)
+    groups = sales.groupBy("store_id", "source_sheet", "receipt_no").agg(
+        F.count(F.lit(1)).alias("lines"))
+    return receipt_findings(groups.filter(F.col("lines") > limit))
+
+
+def receipt_findings(receipts: DataFrame) -> DataFrame:
+    """Findings of receipts that are counted already."""
+    return _findings(
+        receipts.withColumnRenamed("receipt_no", "raw_value"), fixed.DUPLICATE_RECEIPT)
 
 
 def _unmatched(sales: DataFrame, column: str, known: DataFrame, name: str, check: str) -> DataFrame:

@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstar import fixed_values as fixed
 from tillstar import functions as fx
@@ -21,10 +22,14 @@ from tillstar.operators import constraints as c
 from tillstar.operators import customers, dimensions, fact, integrity, masters, reports
 from tillstar.operators import sales as sales_ops
 from tillstar.operators import validation
+from tillstar.config import WarehouseConfig
 from tillstar.operators.keys import with_dense_key
+from tillstar.plans.months import MATCHED, MonthlySales
+from tillstar.plans.pipeline import MASTERS, run_pipeline
 from tillstar.session import scratch_path
 from tillstar.sources import landed, star_tables
-from tillstar.streaming import ingest
+from tillstar.sources.layers import Layers
+from tillstar.streaming import ingest, state
 
 PRODUCT_TERM = "ring"
 WEEK_START = date(1998, 3, 2)
@@ -534,7 +539,7 @@ def staging_counts(t: RetailTables) -> DataFrame:
 
 @query
 def dim_counts(t: RetailTables) -> DataFrame:
-    tables = {f"dim_{name}": t.staged(name) for name in dimensions.DIMENSIONS}
+    tables = {f"dim_{name}": t.dimension(name) for name in dimensions.DIMENSIONS}
     return reports.table_counts({**tables, "dim_date": t.dates})
 
 
@@ -582,6 +587,75 @@ def sales_by_category(t: RetailTables) -> DataFrame:
     return reports.sales_by_category(t.keyless_fact)
 
 
+@query
+def sales_cube(t: RetailTables) -> DataFrame:
+    return reports.sales_cube(t.keyless_fact)
+
+
+@query
+def sales_on_days(t: RetailTables) -> DataFrame:
+    """Weekend sales of the spring quarters, from a fact stored by month."""
+    path = scratch_path(t.spark, "fact_by_month")
+    t.fact.withColumn("sale_month", F.date_format("transaction_date", "yyyy-MM")).hint(
+        "rebalance", "sale_month").write.partitionBy("sale_month").parquet(path)
+    stored = t.spark.read.schema(T.StructType(
+        [*t.fact.schema, T.StructField("sale_month", T.StringType())])).parquet(path)
+    return reports.sales_on_days(
+        stored, t.dates.filter((F.col("quarter") == 2) & F.col("is_weekend")))
+
+
+# Loads that build on each other
+
+def _two_lists(t: RetailTables, name: str) -> tuple[DataFrame, DataFrame]:
+    """A master list at two times: some entries come later, others are dropped by then."""
+    staged = t.staged(name)
+    number = F.regexp_extract(dimensions.DIMENSIONS[name][1], "[0-9]+", 0).cast("int")
+    return staged.filter(number % 10 != 3), staged.filter(number % 7 != 2)
+
+
+@query
+def lasting_keys(t: RetailTables) -> DataFrame:
+    """Keys after two loads: those of the first stay, dropped masters keep theirs."""
+    parts = []
+    for name, (key, business_id, _) in dimensions.DIMENSIONS.items():
+        first, second = _two_lists(t, name)
+        path = scratch_path(t.spark, f"lasting_{name}")
+        known = dimensions.extend_dimension(name, None, first, f"{path}/1")
+        both = dimensions.extend_dimension(name, known, second, f"{path}/2")
+        now = dimensions.current_rows(name, both, second).select(
+            business_id, F.lit(True).alias("is_current"))
+        parts.append(both.join(now, business_id, "left").select(
+            F.lit(name).alias("dimension"), F.col(business_id).alias("business_id"),
+            F.col(key).alias("surrogate_key"),
+            F.coalesce("is_current", F.lit(False)).alias("is_current")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def incremental_fact(t: RetailTables) -> DataFrame:
+    """The fact after a second load of two months, and which rows that load built again."""
+    monthly = MonthlySales(t.spark, scratch_path(t.spark, "monthly"))
+    masters = {name: t.staged(name) for name in MATCHED}
+    later = F.substring("timestamp", 1, 7).isin(*star_tables.SECOND_LOAD)
+    monthly.add(t.sales.filter(~later), masters, t.dates)
+    state, touched = monthly.add(t.sales.filter(later), masters, t.dates)
+    return monthly.fact(state).withColumn(
+        "rebuilt", F.col("sale_month").isin(touched)).drop("transaction_key", "sale_month")
+
+
+@query
+def full_refresh(t: RetailTables) -> DataFrame:
+    """Rows of the stored layers of a whole run, counted in their files."""
+    first_day, last_day = star_tables.sales_years(t.spark, t.folder)
+    raw = {name: t.raw(name) for name in ("transactions", *MASTERS)}
+    root = scratch_path(t.spark, "warehouse")
+    result = run_pipeline(t.spark, raw, root, WarehouseConfig(
+        spine_start=first_day, spine_end=last_day, constraint_policy="report"))
+    counted = [table for *_, table, _, _ in result.metrics.rows]
+    layers = Layers(t.spark, root)
+    return reports.table_counts({name: layers.read(name) for name in counted})
+
+
 # Streams
 
 @query
@@ -601,3 +675,33 @@ def stream_fact(t: RetailTables) -> DataFrame:
     arriving = t.spark.readStream.schema(t.split.kept.schema).parquet(f"{out}/sales")
     ingest.enrich_sales(arriving, t.dims, t.flagged, f"{out}/fact", f"{out}/checkpoint")
     return t.spark.read.parquet(f"{out}/fact")
+
+
+def _in_deliveries(t: RetailTables, name: str, take_in: Callable[[DataFrame, str], None]) -> str:
+    """The folder of a stream that took in the deliveries one after the other."""
+    sent = scratch_path(t.spark, f"{name}_landing")
+    out = scratch_path(t.spark, name)
+    lines = star_tables.deliveries(t.spark, t.folder)
+    lines.write.partitionBy("delivery").parquet(f"{sent}/all")
+    whole = t.spark.read.parquet(f"{sent}/all")
+    for number in range(1, 5):
+        part = whole.filter(F.col("delivery") == number).drop("delivery")
+        part.write.mode("append").parquet(f"{sent}/arrived")
+        take_in(t.spark.readStream.schema(part.schema).parquet(f"{sent}/arrived"), out)
+    return out
+
+
+@query
+def stream_dedup(t: RetailTables) -> DataFrame:
+    """Every line of four deliveries with its outcome: kept, known, broken or too late."""
+    out = _in_deliveries(
+        t, "stream_dedup", lambda raw, out: state.ingest_deduplicated(raw, out, "35 days"))
+    return state.outcomes(t.spark, out)
+
+
+@query
+def stream_flagged(t: RetailTables) -> DataFrame:
+    """Receipts with too many lines, and the delivery that took them over the limit."""
+    out = _in_deliveries(t, "stream_flagged", state.flag_receipts)
+    return state.found_receipts(t.spark, out).select(
+        *validation.FINDING, (F.col("batch") + 1).cast("int").alias("delivery"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RAW_SQL = {
     "raw_stores": """
@@ -80,6 +81,22 @@ from {lineitem} join {orders} on l_orderkey = o_orderkey
 """,
 }
 
+#: Sales lines in four deliveries, 20 days apart: most once, those of January again in the
+#: next delivery, and some of February with the last one, dated like the first.
+DELIVERIES_SQL = """
+select {columns}, case when m = 2 and n = 0 then 4 else n + 1 end as delivery,
+ n * 20 as delivered_day from (select *, cast(substr(timestamp, 9, 2) as int) % 4 as n,
+  cast(substr(timestamp, 6, 2) as int) as m from {{raw_transactions}}) first_time
+union all select {columns}, n + 2 as delivery, (n + 1) * 20 as delivered_day
+from (select *, cast(substr(timestamp, 9, 2) as int) % 4 as n,
+  cast(substr(timestamp, 6, 2) as int) as m from {{raw_transactions}}) again
+where m = 1 and n < 3
+""".format(columns="timestamp, store_id, staff_name, receipt_no, customer_phone, product_sold,"
+           " quantity, payment_method, source_sheet")
+
+#: Months whose lines come with the second load, after all others.
+SECOND_LOAD = ("1995-03", "1997-06")
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -95,6 +112,15 @@ def raw_frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
     })
 
 
+def deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw sales lines with the number of their delivery and the time they were sent."""
+    sales = raw_frame(spark, folder, "raw_transactions")
+    return spark.sql(DELIVERIES_SQL, raw_transactions=sales).withColumn(
+        "delivered_on",
+        F.date_add(F.lit("2026-01-01").cast("date"), "delivered_day").cast("timestamp"),
+    ).drop("delivered_day")
+
+
 def sales_years(spark: SparkSession, folder: str) -> tuple[date, date]:
     """The first day of the first year with an order and the last day of the last one."""
     first, last = read_table(spark, folder, "orders").selectExpr(
