@@ -228,3 +228,39 @@ def test_dense_keys_refuse_other_files(spark, tmp_path):
     file.rename(file.with_name("other.parquet"))
     with pytest.raises(Exception, match="not a written part file"):
         read_numbered(spark, str(tmp_path / "rows"), "k").collect()
+
+
+def test_traced_lines_are_counted_while_the_fact_is_made(spark):
+    """Names shared by several masters fan out; each line is counted once all the same."""
+    from pyspark.sql import Observation
+
+    from tillstar.operators.integrity import observed_fact, row_outcomes
+    from tillstar.session import scratch_path
+    from tillstar.sources import star_tables
+    from tillstar.operators.fact import Dimensions, build_fact, trace_lines
+    from tillstar.operators.sales import split_sales
+
+    folder = "/root/testdata/sf0.001"
+    raw = lambda n: star_tables.raw_frame(spark, folder, f"raw_{n}")
+    split = split_sales(raw("transactions"), scratch_path(spark, "lines"))
+    products = raw("products").selectExpr(
+        "product_id", "product_name", "category", "try_cast(unit_price_ghs as decimal(10,2))"
+        " as unit_price_ghs", "1L as product_key")
+    staff = raw("staff").selectExpr("*", "1L as staff_key")
+    dims = Dimensions(
+        raw("stores").selectExpr("*", "1L as store_key"),
+        staff.unionByName(staff.filter("staff_id < 'E00004'")),
+        products.unionByName(products.filter("product_id < 'P000050'")),
+        spark.sql("select date'1995-01-01' + cast(id as int) as full_date, id as date_key"
+                  " from range(900)"))
+    flagged = raw("transactions").groupBy("receipt_no").count().filter("count > 5").select(
+        "receipt_no")
+    observation = Observation()
+    fact = observed_fact(trace_lines(split.kept, dims, flagged), observation)
+    found = sorted(map(str, fact.collect()))
+    assert found == sorted(map(str, build_fact(split.kept, dims, flagged).collect()))
+    rows = row_outcomes(split.kept, split.rejected, flagged, dims, scratch_path(spark, "o"))
+    expected = {r.outcome: r.source_rows for r in rows.collect() if r.outcome != "quarantined"}
+    assert {o: observation.get[o] for o in expected} == expected
+    assert observation.get["fact_rows"] == len(found) > expected["in_fact"] > 0
+    assert expected["no_date"] > 0 and expected["flagged_receipt"] > 0

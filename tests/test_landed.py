@@ -131,3 +131,19 @@ def test_compressed_files_are_read_and_other_types_stop_the_load(spark, tmp_path
     land(tmp_path, "SalesLog_S001", "Receipt No.", "R2", name="part-1.tsv")
     with pytest.raises(ValueError, match="another type"):
         landed.read_sales(spark, str(tmp_path), sources("S001"))
+
+
+def test_a_header_further_down_does_not_count(spark, tmp_path):
+    land(tmp_path, "SalesLog_S001", "Quantity,Quantity,Receipt No.", "1,2,R1")
+    land(tmp_path, "SalesLog_S001", "Receipt No.,Quantity,Quantity", "R2,1,2",
+         "Quantity,Quantity,Receipt No.", name="part-1.csv")
+    with pytest.raises(ValueError, match="another header"):
+        landed.read_sales(spark, str(tmp_path), sources("S001"))
+
+
+def test_folders_without_a_source_are_reported(spark, tmp_path, caplog):
+    land(tmp_path, "SalesLog_S001", HEADER)
+    land(tmp_path, "SalesLog_S777", HEADER, "x,x,x,R1,x,x,1,Cash")
+    landed.read_sales(spark, str(tmp_path), sources("S001", "S002"))
+    assert "SalesLog_S777 has no registered source" in caplog.text
+    assert "SalesLog_S002 delivered no file" in caplog.text

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillstar import fixed_values as fixed
 from tillstar.functions import norm_key, trimmed
-from tillstar.operators.fact import Dimensions
+from tillstar.operators.fact import Dimensions, fact_columns
 
 OUTCOMES = ("quarantined", "flagged_receipt", "no_product", "no_store", "no_staff", "no_date",
             "in_fact")
@@ -56,6 +56,20 @@ def orphan_counts(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataF
     )
 
 
+def observed_fact(traced: DataFrame, observation: Observation) -> DataFrame:
+    """The fact rows of ``trace_lines``; ``observation`` counts all outcomes in the same pass.
+
+    Tasks that run again after a lost executor may be observed twice, so the counts are
+    to be compared with the rows written.
+    """
+    counts = [
+        F.count_if((F.col("outcome") == o) & F.col("is_line")).alias(o) for o in OUTCOMES[1:]
+    ]
+    rows = F.count_if(F.col("outcome") == "in_fact").alias("fact_rows")
+    return fact_columns(traced.observe(observation, *counts, rows).filter(
+        F.col("outcome") == "in_fact"))
+
+
 def row_outcomes(
     kept: DataFrame,
     rejected: DataFrame,

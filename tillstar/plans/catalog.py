@@ -204,6 +204,35 @@ def source_row_counts(t: RetailTables) -> DataFrame:
     return landed.source_row_counts(t.sales, t.registry)
 
 
+@query
+def landed_sales(t: RetailTables) -> DataFrame:
+    """All sheets of all stores, landed as files and read back."""
+    root = scratch_path(t.spark, "landing")
+    sources = star_tables.land_sheets(t.spark, t.folder, root)
+    return landed.read_sales(t.spark, f"{root}/sales", sources)
+
+
+@query
+def landed_source_counts(t: RetailTables) -> DataFrame:
+    """Lines per landed source, with a sheet of a header only and one that never came."""
+    root = scratch_path(t.spark, "landing")
+    sources = star_tables.land_sheets(t.spark, t.folder, root)
+    return landed.source_row_counts(
+        landed.read_sales(t.spark, f"{root}/sales", sources),
+        landed.registry_frame(t.spark, sources))
+
+
+@query
+def landed_masters(t: RetailTables) -> DataFrame:
+    """The four landed master lists: each row's id and the digest of all its cells."""
+    root = scratch_path(t.spark, "landing_masters")
+    star_tables.land_masters(t.spark, t.folder, root)
+    return reduce(DataFrame.unionByName, [
+        rows.select(F.lit(name).alias("list_name"), F.col(rows.columns[0]).alias("row_id"),
+                    F.md5(F.concat_ws("|", *rows.columns)).alias("cells_md5"))
+        for name, rows in landed.read_masters(t.spark, root).items()])
+
+
 @query
 def dim_date_upsert(t: RetailTables) -> DataFrame:
     """A calendar that ends three years before the last sale, extended to all years of the orders."""

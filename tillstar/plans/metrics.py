@@ -32,8 +32,10 @@ class RunMetrics:
     def table(self, step: int, name: str) -> Iterator[Written]:
         written, started = Written(), time.monotonic()
         yield written
-        seconds = round(time.monotonic() - started, 3)
-        self.rows.append((self.run_id, step, name, written.rows, seconds))
+        self.add(step, name, written.rows, round(time.monotonic() - started, 3))
+
+    def add(self, step: int, name: str, rows: int, seconds: float = 0.0) -> None:
+        self.rows.append((self.run_id, step, name, rows, seconds))
 
     def rows_of(self, table: str) -> int:
         return next(row[3] for row in self.rows if row[2] == table)

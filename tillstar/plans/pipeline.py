@@ -9,12 +9,13 @@ matching are never recomputed, and a lost executor repeats only its own tasks.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property, partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.config import WarehouseConfig
@@ -26,15 +27,29 @@ from tillstar.operators.dimensions import (
     build_dim_date,
     date_spine,
 )
-from tillstar.operators.fact import Dimensions, build_fact
-from tillstar.operators.integrity import orphan_counts, row_outcomes
+from tillstar.operators.fact import Dimensions, build_fact, trace_lines
+from tillstar.operators.integrity import (
+    OUTCOMES,
+    observed_fact,
+    orphan_counts,
+    row_outcomes,
+)
 from tillstar.operators.keys import with_dense_key
 from tillstar.operators.sales import line_findings, split_sales
 from tillstar.operators.validation import findings_per_check, flagged_receipts, validation_log
 from tillstar.plans.gate import quality_gate
 from tillstar.plans.metrics import RunMetrics
-from tillstar.sources.landed import Source, default_sources, read_masters, read_sales
-from tillstar.sources.layers import Layers, Run
+from tillstar.sources.landed import (
+    Source,
+    default_sources,
+    read_masters,
+    read_sales,
+    registry_frame,
+    source_row_counts,
+)
+from tillstar.sources.layers import Layers, Run, in_months
+
+log = logging.getLogger("tillstar")
 
 MASTERS = ("products", "staff", "managers", "stores")
 
@@ -57,8 +72,9 @@ def run_landed(
 ) -> RunResult:
     """Full refresh from landed files: ``<landing>/sales/<sheet>/`` and ``<landing>/masters/``."""
     raw = dict(read_masters(spark, f"{landing}/masters"))
-    raw["transactions"] = read_sales(spark, f"{landing}/sales", sources or default_sources())
-    return run_pipeline(spark, raw, root, config)
+    sources = sources or default_sources()
+    raw["transactions"] = read_sales(spark, f"{landing}/sales", sources)
+    return run_pipeline(spark, raw, root, config, sources)
 
 
 def run_pipeline(
@@ -66,9 +82,13 @@ def run_pipeline(
     raw: Mapping[str, DataFrame],
     root: str,
     config: WarehouseConfig = WarehouseConfig(),
+    sources: Sequence[Source] = (),
 ) -> RunResult:
-    """Full refresh from raw text tables ``transactions`` and the four masters."""
-    return _Refresh(spark, raw, root, config).run_all()
+    """Full refresh from raw text tables ``transactions`` and the four masters.
+
+    The lines of each of the ``sources`` are counted in the run's metrics, zeros too.
+    """
+    return _Refresh(spark, raw, root, config, sources).run_all()
 
 
 class _Refresh:
@@ -76,13 +96,14 @@ class _Refresh:
 
     def __init__(
         self, spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
-        config: WarehouseConfig,
+        config: WarehouseConfig, sources: Sequence[Source] = (),
     ) -> None:
-        self.spark, self.raw, self.config = spark, raw, config
+        self.spark, self.raw, self.config, self.sources = spark, raw, config, sources
         self.layers = Layers(spark, root)
         self.previous = self.layers.published()
         self.run = self.layers.new_run()
         self.metrics = RunMetrics(spark, self.run.run_id)
+        self.observed = Observation("outcomes")
 
     def run_all(self) -> RunResult:
         """Steps that do not need each other run side by side, so that small tables
@@ -98,8 +119,9 @@ class _Refresh:
             self.build_calendar,
         )[0]
         _ = self.flagged  # written once, before the steps that read it side by side
-        outcomes = _together(self.account_rows, self.build_fact, self.log_constraints)[0]
-        orphans = _together(self.check_orphans, self.build_customers)[0]
+        _together(self.build_fact, self.log_constraints)
+        orphans, outcomes, _ = _together(
+            self.check_orphans, self.account_rows, self.build_customers)
         if outcomes:
             _check_accounts(self.metrics, outcomes)
         self.layers.publish(self.run)
@@ -112,17 +134,16 @@ class _Refresh:
     def table(self, name: str) -> DataFrame:
         return self.layers.read(name, self.run)
 
-    def write(self, step: int, table: str, df: DataFrame, by_month: str | None = None) -> None:
+    def write(self, step: int, table: str, df: DataFrame) -> None:
         with self.metrics.table(step, table) as written:
-            written.rows = self.layers.write(self.run, table, df, by_month)
+            written.rows = self.layers.write(self.run, table, df)
 
     def write_keyed(
         self, step: int, table: str, df: DataFrame, key: str, order: Sequence[str] = (),
-        by_month: str | None = None,
     ) -> None:
         with self.metrics.table(step, table) as written:
             keyed = with_dense_key(df, key, self.run.stage_path(table), order)
-            written.rows = self.layers.write(self.run, table, keyed, by_month)
+            written.rows = self.layers.write(self.run, table, keyed)
 
     @cached_property
     def dims(self) -> Dimensions:
@@ -145,6 +166,13 @@ class _Refresh:
 
     def load_sales(self) -> None:
         self.write(2, "raw.transactions", self.raw["transactions"])
+        if self.sources:
+            counts = source_row_counts(
+                self.table("raw.transactions"), registry_frame(self.spark, self.sources))
+            for r in counts.orderBy("sheet_name").collect():
+                self.metrics.add(2, f"raw.transactions/{r['sheet_name']}", r["row_count"])
+                if not r["row_count"]:
+                    log.warning("source %s delivered no line", r["sheet_name"])
 
     def stage_master(self, name: str) -> None:
         """The typed master and, right after it, its dimension."""
@@ -194,12 +222,19 @@ class _Refresh:
         self.write(5, "marts.dim_date", dates)
 
     def build_fact(self) -> None:
-        self.write_keyed(
-            6, "marts.fact_transactions",
-            build_fact(self.table("staging.transactions"), self.dims, self.flagged),
-            "transaction_key",
-            by_month="transaction_date" if self.config.partition_fact_by_month else None,
-        )
+        """The fact, clustered by month before it is numbered, and its lines' outcomes."""
+        table, by_month = "marts.fact_transactions", self.config.partition_fact_by_month
+        sales = self.table("staging.transactions")
+        if self.config.account_rows:
+            rows = observed_fact(trace_lines(sales, self.dims, self.flagged), self.observed)
+        else:
+            rows = build_fact(sales, self.dims, self.flagged)
+        with self.metrics.table(6, table) as written:
+            if by_month:
+                rows = in_months(rows, "transaction_date")
+            keyed = with_dense_key(rows, "transaction_key", self.run.stage_path(table))
+            written.rows = self.layers.write(
+                self.run, table, keyed, "transaction_date" if by_month else None, clustered=True)
 
     def build_customers(self) -> None:
         self.write_keyed(
@@ -216,14 +251,27 @@ class _Refresh:
         return orphans
 
     def account_rows(self) -> dict[str, tuple[int, int]]:
-        """(sales lines, promised fact rows) per outcome."""
+        """(sales lines, promised fact rows) per outcome, as observed while the fact was written.
+
+        If they do not add up to the lines loaded and the rows written, because tasks ran
+        twice or rows are missing, the lines are counted again one by one.
+        """
         if not self.config.account_rows:
             return {}
-        rows = row_outcomes(
-            self.table("staging.transactions"), self.table("staging.transactions_rejected"),
-            self.flagged, self.dims, self.run.stage_path("outcome_lookups"),
-        ).collect()
-        return {r["outcome"]: (r["source_rows"], r["fact_rows"]) for r in rows}
+        seen = self.observed.get
+        broken = self.table("staging.transactions_rejected").agg(F.sum("copies")).head()[0] or 0
+        outcomes = {o: (seen[o], 0) for o in OUTCOMES[1:]} | {"quarantined": (broken, 0)}
+        outcomes["in_fact"] = (seen["in_fact"], seen["fact_rows"])
+        try:
+            _check_accounts(self.metrics, outcomes)
+        except RowAccountError as error:
+            log.warning("counting the lines again: %s", error)
+            rows = row_outcomes(
+                self.table("staging.transactions"), self.table("staging.transactions_rejected"),
+                self.flagged, self.dims, self.run.stage_path("outcome_lookups"),
+            ).collect()
+            outcomes = {r["outcome"]: (r["source_rows"], r["fact_rows"]) for r in rows}
+        return outcomes
 
 
 class RowAccountError(RuntimeError):

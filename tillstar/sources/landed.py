@@ -96,7 +96,7 @@ def source_row_counts(sales: DataFrame, registry: DataFrame) -> DataFrame:
 def _first_files(
     spark: SparkSession, paths: str | list[str], known: set[str] | None = None
 ) -> dict[str, str]:
-    """One file per folder. Only the listing is read, never the content.
+    """One file per folder, None without a readable one. Only the listing is read.
 
     A file of another type in one of the ``known`` folders (None: any) stops the
     load, since its lines would be missing without a word.
@@ -110,8 +110,8 @@ def _first_files(
         F.coalesce(F.min(F.when(read & (F.col("length") > 0), F.col("path"))),
                    F.min(F.when(read, F.col("path")))).alias("path"),
         F.min(F.when(~read, F.col("path"))).alias("unread")).collect()
-    found = [r for r in found if known is None or r["folder"] in known]
-    unread = [r["unread"] for r in found if r["unread"]]
+    unread = [r["unread"] for r in found
+              if r["unread"] and (known is None or r["folder"] in known)]
     if unread:
         raise ValueError(f"files of another type than {FILE_ENDINGS}: {sorted(unread)[:5]}")
     return {r["folder"]: r["path"] for r in found}
@@ -133,7 +133,10 @@ def read_sales(spark: SparkSession, root: str, sources: Sequence[Source]) -> Dat
     source, no data.
     """
     known = {s.sheet_name for s in sources}
-    files = _first_files(spark, f"{root}/*", known)
+    landed = _first_files(spark, f"{root}/*", known)
+    for name in sorted(landed.keys() - known):
+        log.warning("folder %s has no registered source and is not read", name)
+    files = {name: path for name, path in landed.items() if name in known}
     for name in sorted(known - files.keys()):
         log.warning("source %s delivered no file", name)
     with ThreadPoolExecutor(HEADER_READERS) as pool:
@@ -177,11 +180,17 @@ def _read_group(
 
 
 def _compare_headers(rows: DataFrame, header: tuple[str, ...]) -> None:
-    """Stop unless every file has a record that equals ``header``; one scan of these files."""
-    equal = F.array(*[F.coalesce(rows[c], F.lit("")) for c in rows.columns]) == F.array(
-        *[F.lit(h) for h in header])
-    differing = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.max(equal).alias("has_header")).filter(~F.col("has_header")).head(1)
+    """Stop unless ``header`` is the first record of every file; one scan of these files.
+
+    A file is one task that reads its records in order, so its first record has the
+    lowest of the ids that rise within a task.
+    """
+    cells = F.array(*[F.coalesce(rows[c], F.lit("")) for c in rows.columns])
+    firsts = rows.select(
+        F.col("_metadata.file_path").alias("path"), cells.alias("cells"),
+        F.monotonically_increasing_id().alias("record"),
+    ).groupBy("path").agg(F.min_by("cells", "record").alias("first"))
+    differing = firsts.filter(F.col("first") != F.array(*[F.lit(h) for h in header])).head(1)
     if differing:
         raise ValueError(f"another header than {header} in {differing[0]['path']}")
 

@@ -20,6 +20,15 @@ from tillstar.schemas import SCHEMAS, conform
 MONTH = "sale_month"
 
 
+def in_months(df: DataFrame, stamp: str) -> DataFrame:
+    """``df`` dealt out by the month of ``stamp``.
+
+    The rebalance splits months that are too big for one task and packs small ones.
+    """
+    month = F.date_format(stamp, "yyyy-MM").alias(MONTH)
+    return df.select("*", month).hint("rebalance", MONTH).drop(MONTH)
+
+
 @dataclass(frozen=True)
 class Run:
     run_id: str
@@ -60,20 +69,22 @@ class Layers:
         return self._run(latest[0])
 
     def write(
-        self, run: Run, table: str, df: DataFrame, by_month: str | None = None
+        self, run: Run, table: str, df: DataFrame, by_month: str | None = None,
+        clustered: bool = False,
     ) -> int:
         """Write ``df`` in the schema of ``table``; gives the rows written.
 
         Rows are counted in the written files' footers, so a task repeated after
         a lost executor is not counted twice. ``by_month`` names a timestamp
-        column to partition by month; the rebalance splits months that are too
-        big for one task and packs small ones.
+        column to partition by month; see ``in_months``, which is left out if ``df`` is
+        ``clustered`` like that already.
         """
         shaped = conform(df, table)
+        if by_month and not clustered:
+            shaped = in_months(shaped, by_month)
         if by_month:
             shaped = shaped.withColumn(MONTH, F.date_format(by_month, "yyyy-MM"))
-            shaped.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(
-                run.path(table))
+            shaped.write.mode("overwrite").partitionBy(MONTH).parquet(run.path(table))
         else:
             shaped.write.mode("overwrite").parquet(run.path(table))
         return self.spark.read.schema(SCHEMAS[table]).parquet(run.path(table)).count()

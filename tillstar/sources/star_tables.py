@@ -8,11 +8,15 @@ The statements run unchanged on Spark and on DuckDB; ``{table}`` is a table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar import fixed_values as fixed
+from tillstar.sources import landed
+
 RAW_SQL = {
     "raw_stores": """
 select '  S' || lpad(cast(n_nationkey as string), 3, '0') as store_id,
@@ -94,6 +98,8 @@ where m = 1 and n < 3
 """.format(columns="timestamp, store_id, staff_name, receipt_no, customer_phone, product_sold,"
            " quantity, payment_method, source_sheet")
 
+EMPTY_SHEET, ABSENT_SHEET = "SalesLog_S998", "SalesLog_S999"
+
 #: Months whose lines come with the second load, after all others.
 SECOND_LOAD = ("1995-03", "1997-06")
 
@@ -121,6 +127,42 @@ def deliveries(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("delivered_day")
 
 
+def land_sheets(spark: SparkSession, folder: str, root: str) -> list[landed.Source]:
+    """Lands the raw sales as one folder of sheets per store; gives the sources.
+
+    One more source delivers a sheet of a header only and another one nothing. The
+    sales are written by sheet once, so each sheet is a copy of its own folder.
+    """
+    sales = raw_frame(spark, folder, "raw_transactions")
+    names = {column: cell for cell, column in fixed.SALES_HEADERS.items()}
+    cells = [*fixed.SALES_SHEET_COLUMNS, "store_id"]
+    sales.select("source_sheet", *[F.col(c).alias(names[c]) for c in cells]).write.partitionBy(
+        "source_sheet").parquet(f"{root}/by_sheet")
+    by_sheet = spark.read.parquet(f"{root}/by_sheet")
+    sheets = [r[0] for r in by_sheet.select("source_sheet").distinct().collect()]
+
+    def land(sheet: str) -> None:
+        rows = by_sheet.filter(F.col("source_sheet") == sheet).drop("source_sheet")
+        if sheet == EMPTY_SHEET:
+            rows = rows.limit(0).coalesce(1)
+        rows.write.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{root}/sales/{sheet}")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(land, [*sheets, EMPTY_SHEET]))
+    return [landed.Source(s.removeprefix("SalesLog_"), s)
+            for s in [*sheets, EMPTY_SHEET, ABSENT_SHEET]]
+
+
+def land_masters(spark: SparkSession, folder: str, root: str) -> None:
+    """Lands the four raw master lists under ``root``."""
+    for name in fixed.MASTER_COLUMNS:
+        raw_frame(spark, folder, f"raw_{name}").write.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{root}/{name}")
+
+
 def sales_years(spark: SparkSession, folder: str) -> tuple[date, date]:
     """The first day of the first year with an order and the last day of the last one."""
     first, last = read_table(spark, folder, "orders").selectExpr(
