@@ -284,24 +284,30 @@ def test_search_equals_brute_force(spark, docs, none, monkeypatch):
     assert search.top_k(none).count() == 0
 
 
-def test_wand_equals_scoring_everything():
+def test_wand_equals_scoring_everything(monkeypatch):
     draw = np.random.default_rng(9)
-    for _ in range(60):
-        lists = []
-        for _ in range(int(draw.integers(1, 6))):
-            ids = np.flatnonzero(draw.random(900) < draw.choice([0.01, 0.1, 0.6]))
-            if len(ids):
-                lists.append(search.Postings(
-                    ids.tolist(), np.round(draw.random(len(ids)) * draw.choice([1, 5]), 1).tolist()))
-        if not lists:
-            continue
+    looked_up = []
+    whole = search.Shard._whole
+    monkeypatch.setattr(search.Shard, "_whole", lambda self, docs: (
+        looked_up.append(len(docs)), whole(self, docs))[1])
+    for trial in range(120):
+        n_docs, n_terms, k = int(draw.integers(1, 900)), int(draw.integers(1, 60)), 10
+        has = draw.random((n_docs, n_terms)) < draw.choice([0.01, 0.1, 0.6], n_terms)
+        docs, terms = np.nonzero(has)
+        scores = np.round(draw.random(len(docs)) * draw.choice([1, 5, 30], n_terms)[terms], 1) + 0.1
+        order = draw.permutation(n_docs)
+        shard = search.Shard(terms.astype(np.int32), docs.astype(np.int32), scores, order, k)
+        asked = draw.permutation(len(shard.best))[:int(draw.integers(1, 50))]
         total = defaultdict(float)
-        for one in lists:
-            for d, s in zip(one.docs, one.scores, strict=True):
-                total[d] += s
-        best = sorted((-round(s, 6), d) for d, s in total.items())[:10]
-        assert search.search(lists, list(range(900)), 10) == [
-            (-s, d) for s, d in sorted(best, key=lambda x: (x[0], -x[1]))]
+        for d, t, s in zip(docs, terms, scores, strict=True):
+            if t in asked:
+                total[int(d)] += s
+        ranked = sorted((-round(s, 6), order[d], d) for d, s in total.items())
+        for least in (-math.inf, -ranked[len(ranked) // 2][0] if ranked else 1.0, 1e9):
+            expected = [(-s, d) for s, _, d in ranked[:k] if -s >= least]
+            assert shard.search(asked, least) == expected
+        assert not shard.asked.any()
+    assert sum(looked_up) > 0
 
 
 def test_languages(spark, docs, none):

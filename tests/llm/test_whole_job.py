@@ -49,19 +49,6 @@ def test_search_uses_all_words_of_a_query(spark, tmp_path):
     assert got == expected
 
 
-def test_wide_queries_equal_block_by_block(monkeypatch):
-    draw = random.Random(3)
-    lists = []
-    for _ in range(40):
-        docs = sorted(draw.sample(range(700), draw.choice([1, 30, 400])))
-        lists.append(search.Postings(docs, [draw.choice([0.5, 1.0, 2.25]) for _ in docs]))
-    for least in (-math.inf, 20.0, 1e9):
-        wide = search.search(lists, list(range(700)), 10, least)
-        monkeypatch.setattr(search, "WIDE", 99)
-        assert wide == search.search(lists, list(range(700)), 10, least)
-        monkeypatch.setattr(search, "WIDE", 32)
-
-
 def test_single_lines_that_repeat_go(spark, tmp_path):
     line = " ".join(f"word{k}" for k in range(60))
     rows = [(1, f"a\n{line}\nb\nc"), (2, f"d\ne\n{line}\nf"), (3, line), (4, f"{line}\ng"),

@@ -3,15 +3,21 @@
 Documents are dealt into shards of about SHARD_BYTES of text. The statistics of
 BM25, the number of documents, the mean length and the document frequencies, are
 those of the whole corpus, so scores of different shards compare. One task per
-shard and block of queries builds the postings of the terms that its queries use,
-with the largest score of each block of BLOCK documents, and answers every query:
-a block of documents can be the pivot only if the largest scores of the query's
-terms in it add up to the k-th score, all other blocks are skipped unread.
-
-A k-th score known early skips more. It starts as the best k-th score of a single
-term, and shards are searched in three waves: each wave starts from the k-th
-scores that the shards before it found, and its shards answer with rows that reach
-them only. The answers are merged by score.
+shard and block of queries builds the postings of the terms that its queries use and
+answers every query. Documents of a shard stand in the order of their length, and every
+list knows its largest score in each block of BLOCK documents.
+
+A query first sets aside the lists whose largest scores together stay below its k-th
+score: a document in none of the other lists cannot be an answer. The other, essential
+lists are added up. To each document met the block's largest scores of the lists set
+aside are added; only where that reaches the k-th score the document's remaining scores
+are looked up, from the highest bound down, while the k-th score rises.
+
+A k-th score known early skips more. Shards are searched in three waves: each wave
+starts from the k-th scores that the shards before it found, and its shards answer
+with rows that reach them only. In the first wave a shard takes it from the documents
+that the quarter of the lists with the largest scores ranks first. The answers are
+merged by score.
 
 A query is a text of the corpus. With ``n_terms`` None all its distinct words are
 its terms, each counted once however often the query has it; this is what the
@@ -24,7 +30,6 @@ from __future__ import annotations
 import math
 from array import array
 from collections import Counter
-from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -37,16 +42,14 @@ K1, B = 1.2, 0.75
 TOP_K = 10
 #: Queries are the rows whose id is divisible by this.
 EVERY = 50
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 32 << 20
 QUERY_BLOCK = 50_000
 #: Terms of all queries of a block; queries of whole texts make smaller blocks.
 TERM_BLOCK = 4_000_000
 BLOCK = 64
-#: Blocks in the first run that a query scores; each further run is twice as long.
-RUN = 16
+#: Documents looked up in the first run of a query; each further run is twice as long.
+RUN = 64
 DIGITS = 6
-#: From so many lists on a query adds up whole lists: their bounds skip next to no block.
-WIDE = 32
 #: A score may differ from its bound by rounding only; ties are judged after rounding.
 SLACK = 10.0**-DIGITS
 
@@ -71,101 +74,115 @@ def split_words(text: str) -> list[str]:
     return [w.decode() for w in split_bytes(text)]
 
 
-class Postings:
-    """A term's documents in a shard, their scores, and the largest score of each block."""
-
-    __slots__ = ("block_best", "blocks", "docs", "k", "kth", "scores", "starts")
-
-    def __init__(self, docs: Iterable[int], scores: Iterable[float], k: int = TOP_K) -> None:
-        self.docs, self.scores = np.asarray(docs, np.int32), np.asarray(scores, float)
-        self.k, self.blocks = k, None
-
-    def in_blocks(self) -> None:
-        """Find the blocks when a query first needs them."""
-        if self.blocks is not None:
-            return
-        self.blocks, first = np.unique(self.docs // BLOCK, return_index=True)
-        self.block_best = np.maximum.reduceat(self.scores, first)
-        self.starts = np.append(first, len(self.docs))
-        n, k = len(self.scores), self.k
-        #: k documents have this score by this term alone.
-        self.kth = np.partition(self.scores, n - k)[n - k] if n >= k else -math.inf
-
-    def within(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the run's blocks, side by side, and scores of the documents in them."""
-        at = np.minimum(np.searchsorted(self.blocks, run), len(self.blocks) - 1)
-        hit = np.flatnonzero(self.blocks[at] == run)
-        low, high = self.starts[at[hit]], self.starts[at[hit] + 1]
-        n = high - low
-        rows = np.repeat(high - np.cumsum(n), n) + np.arange(n.sum())
-        return np.repeat(hit * BLOCK, n) + self.docs[rows] % BLOCK, self.scores[rows]
-
-
-def search(
-    lists: list[Postings], order: list, k: int, least: float = -math.inf
-) -> list[tuple[float, int]]:
-    """The best k (score, document) of the lists: by rounded score, then by ``order``.
-
-    ``order`` ranks documents for ties; a document enters on a tie if it ranks
-    before the last one kept. Scores below ``least`` are not wanted. The lists are
-    those of one ``k``.
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    n = high - low
+    return np.repeat(high - np.cumsum(n), n) + np.arange(n.sum())
+
+
+class Shard:
+    """Postings of a shard by term and by document, with each list's largest scores.
+
+    ``terms``, ``docs`` and ``scores`` are the postings in the order of the documents;
+    ``order`` ranks the documents for ties.
     """
-    order, floor = np.asarray(order), least
-    if len(lists) >= WIDE:
-        return _search_all(lists, order, k, floor)
-    bounds = np.full(-(-len(order) // BLOCK), -math.inf)
-    for one in lists:
-        one.in_blocks()
-        bounds[one.blocks] = np.maximum(bounds[one.blocks], 0.0) + one.block_best
-        least = max(least, one.kth)
-    waiting = np.flatnonzero((bounds > -math.inf) & (bounds + SLACK >= least))
-    waiting = waiting[np.argsort(-bounds[waiting], kind="stable")]
-    scores, docs = np.empty(0), np.empty(0, np.int64)
-    length = RUN
-    while len(waiting) and bounds[waiting[0]] + SLACK >= least:
-        run, waiting = waiting[:length], waiting[length:]
-        run = np.sort(run[bounds[run] + SLACK >= least])
-        length *= 2
-        totals, seen = np.zeros(len(run) * BLOCK), np.zeros(len(run) * BLOCK, bool)
-        for one in lists:
-            places, added = one.within(run)
-            totals[places] += added
-            seen[places] = True
-        new = np.flatnonzero(seen & (totals + SLACK >= least))
-        scores = np.append(scores, np.round(totals[new], DIGITS))
-        docs = np.append(docs, run[new // BLOCK] * BLOCK + new % BLOCK)
-        best = np.lexsort((order[docs], -scores))[:k]
-        scores, docs = scores[best], docs[best]
-        if len(scores) == k:
-            least = max(least, scores[-1])
-    wanted = scores >= floor
-    return sorted(zip(scores[wanted].tolist(), docs[wanted].tolist(), strict=True), reverse=True)
-
-
-def _search_all(
-    lists: list[Postings], order: np.ndarray, k: int, floor: float
-) -> list[tuple[float, int]]:
-    """``search`` by the scores of all documents of the lists."""
-    totals, seen = np.zeros(len(order)), np.zeros(len(order), bool)
-    for one in lists:
-        totals[one.docs] += one.scores
-        seen[one.docs] = True
-    docs = np.flatnonzero(seen & (totals + SLACK >= floor))
-    if len(docs) > k:
-        kth = np.partition(totals[docs], len(docs) - k)[len(docs) - k]
-        docs = docs[totals[docs] + SLACK >= kth]
-    scores = np.round(totals[docs], DIGITS)
-    best = np.lexsort((order[docs], -scores))[:k]
-    best = best[scores[best] >= floor]
-    return sorted(zip(scores[best].tolist(), docs[best].tolist(), strict=True), reverse=True)
+
+    def __init__(
+        self, terms: np.ndarray, docs: np.ndarray, scores: np.ndarray, order: np.ndarray, k: int
+    ) -> None:
+        self.order, self.k = np.asarray(order), k
+        n_terms = int(terms.max(initial=-1)) + 1
+        self.of_doc = np.searchsorted(docs, np.arange(len(self.order) + 1))
+        self.doc_terms, self.doc_scores = terms, scores
+        by_term = np.argsort(terms, kind="stable")
+        self.docs, self.scores = docs[by_term], scores[by_term]
+        self.of_term = np.searchsorted(terms[by_term], np.arange(n_terms + 1))
+        blocks = self.docs // BLOCK
+        new = np.ones(len(blocks), bool)
+        new[1:] = (blocks[1:] != blocks[:-1]) | (np.diff(terms[by_term]) != 0)
+        first = np.flatnonzero(new)
+        self.blocks = blocks[first]
+        self.block_best = np.maximum.reduceat(self.scores, first) if len(first) else self.scores
+        self.blocks_of_term = np.searchsorted(first, self.of_term)
+        self.best = np.zeros(n_terms)
+        known = self.of_term[1:] > self.of_term[:-1]
+        self.best[known] = np.maximum.reduceat(self.scores, self.of_term[:-1][known])
+        self.asked = np.zeros(n_terms, bool)
+
+    def search(self, terms: np.ndarray, least: float = -math.inf) -> list[tuple[float, int]]:
+        """The best k (score, document) for the terms: by rounded score, then by ``order``.
+
+        Scores below ``least`` are not wanted.
+        """
+        floor = least
+        terms = terms[np.argsort(self.best[terms], kind="stable")]
+        self.asked[terms] = True
+        if least == -math.inf:
+            totals = self._added(terms[-(-3 * len(terms) // 4):])
+            likely = np.flatnonzero(totals)
+            if len(likely) > self.k:
+                likely = likely[np.argpartition(-totals[likely], self.k)[:self.k]]
+            if len(likely) == self.k:
+                least = self._whole(likely).min() - SLACK
+        together = np.cumsum(self.best[terms])
+        aside = int(np.searchsorted(together, least - SLACK))
+        totals = self._added(terms[aside:])
+        docs = np.flatnonzero(totals)
+        bounds = totals[docs]
+        if aside:
+            bounds = bounds + self._block_bounds(terms[:aside])[docs // BLOCK]
+        open_docs = bounds + SLACK >= least
+        docs, bounds = docs[open_docs], bounds[open_docs]
+        found, scores = (docs, bounds) if not aside else self._looked_up(docs, bounds, least)
+        self.asked[terms] = False
+        scores = np.round(scores, DIGITS)
+        best = np.lexsort((self.order[found], -scores))[:self.k]
+        best = best[scores[best] >= floor]
+        return list(zip(scores[best].tolist(), found[best].tolist(), strict=True))
+
+    def _added(self, terms: np.ndarray) -> np.ndarray:
+        """The summed scores of whole lists, by document."""
+        rows = _ranges(self.of_term[terms], self.of_term[terms + 1])
+        return np.bincount(self.docs[rows], self.scores[rows], len(self.order))
+
+    def _block_bounds(self, terms: np.ndarray) -> np.ndarray:
+        """What the lists can add to a document at most, by block."""
+        rows = _ranges(self.blocks_of_term[terms], self.blocks_of_term[terms + 1])
+        return np.bincount(self.blocks[rows], self.block_best[rows], -(-len(self.order) // BLOCK))
+
+    def _whole(self, docs: np.ndarray) -> np.ndarray:
+        """The scores of documents by all asked terms."""
+        low, high = self.of_doc[docs], self.of_doc[docs + 1]
+        rows = _ranges(low, high)
+        scores = np.where(self.asked[self.doc_terms[rows]], self.doc_scores[rows], 0.0)
+        return np.add.reduceat(scores, np.cumsum(high - low) - (high - low))
+
+    def _looked_up(
+        self, docs: np.ndarray, bounds: np.ndarray, least: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Documents, best bounds first, and their scores while a bound reaches the k-th score."""
+        falling = np.argsort(-bounds, kind="stable")
+        docs, bounds = docs[falling], bounds[falling]
+        found, scores, length = np.zeros(0, np.int64), np.zeros(0), RUN
+        while len(docs) and bounds[0] + SLACK >= least:
+            run, docs, bounds = docs[:length], docs[length:], bounds[length:]
+            found = np.concatenate([found, run])
+            scores = np.concatenate([scores, self._whole(run)])
+            if len(scores) >= self.k:
+                kth = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
+                least = max(least, kth - SLACK)
+            length *= 2
+        return found, scores
 
 
 def index_of(
-    texts: Iterable[str], numbers: dict[bytes, int], idf: np.ndarray, mean_length: float, k: int
-) -> dict[int, Postings]:
-    """The postings of the numbered terms in the texts."""
+    texts: list[str], numbers: dict[bytes, int], idf: np.ndarray, mean_length: float, k: int
+) -> tuple[Shard, np.ndarray, np.ndarray]:
+    """The shard of the texts, the numbers of its documents and the terms' places in it (-1: none)."""
     terms, counts, per_doc, lengths = array("i"), array("i"), array("q"), array("q")
-    for text in texts:
+    sizes = np.array([len(t) for t in texts], np.int64)
+    standing = np.argsort(sizes, kind="stable")
+    for text in map(texts.__getitem__, standing.tolist()):
         words = split_bytes(text)
         found = Counter(map(numbers.get, words))
         found.pop(None, None)
@@ -173,23 +190,16 @@ def index_of(
         counts.extend(found.values())
         per_doc.append(len(found))
         lengths.append(len(words))
-    if not terms:
-        return {}
-    # Whole texts ask nearly every word, so arrays are narrow and lists are slices of one.
-    terms, tf = np.asarray(terms), np.asarray(counts)
+    # Whole texts ask nearly every word, so arrays are narrow.
+    terms, tf = np.asarray(terms, np.int32), np.asarray(counts)
     docs = np.repeat(np.arange(len(per_doc), dtype=np.int32), np.asarray(per_doc))
     norm = K1 * (1 - B + B * np.asarray(lengths) / mean_length)
     scores = idf[terms] * tf * (K1 + 1)
     scores /= tf + norm[docs]
-    del tf, counts
-    by_term = np.argsort(terms, kind="stable")
-    terms, docs, scores = terms[by_term], docs[by_term], scores[by_term]
-    del by_term
-    present, first = np.unique(terms, return_index=True)
-    ends = np.append(first[1:], len(terms))
-    return {
-        int(t): Postings(docs[low:high], scores[low:high], k)
-        for t, low, high in zip(present, first, ends, strict=True)}
+    places = np.full(len(idf), -1, np.int64)
+    places[terms] = 0
+    places[places == 0] = np.arange((places == 0).sum())
+    return Shard(places[terms].astype(np.int32), docs, scores, standing, k), standing, places
 
 
 def _shard_answers(k: int, n_docs: int, mean_length: float):
@@ -211,13 +221,14 @@ def _shard_answers(k: int, n_docs: int, mean_length: float):
             asked.append(found)
         df = np.asarray(df)
         idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-        index = index_of(docs["text"], numbers, idf, mean_length, k)
-        order = np.arange(len(ids))
+        shard, standing, places = index_of(
+            docs["text"].tolist(), numbers, idf, mean_length, k)
         out = []
         for query_id, least, found in zip(
                 queries["query_id"], queries["least"], asked, strict=True):
-            lists = [index[t] for t in found if t in index]
-            out += [(query_id, ids[d], s) for s, d in search(lists, order, k, least)]
+            terms = places[np.asarray(found)]
+            out += [(query_id, ids[standing[d]], s)
+                    for s, d in shard.search(terms[terms >= 0], least)]
         return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
     return answer
