@@ -7,17 +7,18 @@ shard and block of queries builds the postings of the terms that its queries use
 answers every query. Documents of a shard stand in the order of their length, and every
 list knows its largest score in each block of BLOCK documents.
 
-A query first sets aside the lists whose largest scores together stay below its k-th
+A query first sets aside long lists whose largest scores together stay below its k-th
 score: a document in none of the other lists cannot be an answer. The other, essential
 lists are added up. To each document met the block's largest scores of the lists set
 aside are added; only where that reaches the k-th score the document's remaining scores
-are looked up, from the highest bound down, while the k-th score rises.
+are looked up, in a table of documents and long lists, from the highest bound down, while
+the k-th score rises.
 
 A k-th score known early skips more. Shards are searched in three waves: each wave
 starts from the k-th scores that the shards before it found, and its shards answer
-with rows that reach them only. In the first wave a shard takes it from the documents
-that the quarter of the lists with the largest scores ranks first. The answers are
-merged by score.
+with rows that reach them only. The answers are merged by score.
+
+Queries refer to their words by number; a shard gets each word once.
 
 A query is a text of the corpus. With ``n_terms`` None all its distinct words are
 its terms, each counted once however often the query has it; this is what the
@@ -37,6 +38,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.llm.tables import stored
+from tillstar.operators.keys import with_dense_key
+from tillstar.session import scratch_path
 
 K1, B = 1.2, 0.75
 TOP_K = 10
@@ -45,8 +48,12 @@ EVERY = 50
 SHARD_BYTES = 32 << 20
 QUERY_BLOCK = 50_000
 #: Terms of all queries of a block; queries of whole texts make smaller blocks.
-TERM_BLOCK = 4_000_000
+TERM_BLOCK = 16_000_000
+#: Words of all queries sent in one row.
+WORD_PACK = 10_000
 BLOCK = 64
+#: A list in one of so many documents of a shard is long.
+LONG = 8
 #: Documents looked up in the first run of a query; each further run is twice as long.
 RUN = 64
 DIGITS = 6
@@ -81,7 +88,7 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Postings of a shard by term and by document, with each list's largest scores.
+    """Postings of a shard by term, with each list's largest scores and a table of long lists.
 
     ``terms``, ``docs`` and ``scores`` are the postings in the order of the documents;
     ``order`` ranks the documents for ties.
@@ -92,52 +99,50 @@ class Shard:
     ) -> None:
         self.order, self.k = np.asarray(order), k
         n_terms = int(terms.max(initial=-1)) + 1
-        self.of_doc = np.searchsorted(docs, np.arange(len(self.order) + 1))
-        self.doc_terms, self.doc_scores = terms, scores
+        sizes = np.bincount(terms, minlength=n_terms)
+        long_lists = np.flatnonzero(sizes * LONG >= max(1, len(self.order)))
+        self.column = np.full(n_terms, -1, np.int64)
+        self.column[long_lists] = np.arange(len(long_lists))
+        self.table = np.zeros((len(self.order), len(long_lists)))
         by_term = np.argsort(terms, kind="stable")
-        self.docs, self.scores = docs[by_term], scores[by_term]
-        self.of_term = np.searchsorted(terms[by_term], np.arange(n_terms + 1))
+        self.docs, self.scores, terms = docs[by_term], scores[by_term], terms[by_term]
+        del by_term
+        self.of_term = np.concatenate([[0], np.cumsum(sizes)])
+        for t in long_lists:
+            part = slice(self.of_term[t], self.of_term[t + 1])
+            self.table[self.docs[part], self.column[t]] = self.scores[part]
         blocks = self.docs // BLOCK
         new = np.ones(len(blocks), bool)
-        new[1:] = (blocks[1:] != blocks[:-1]) | (np.diff(terms[by_term]) != 0)
+        new[1:] = (blocks[1:] != blocks[:-1]) | (terms[1:] != terms[:-1])
         first = np.flatnonzero(new)
         self.blocks = blocks[first]
         self.block_best = np.maximum.reduceat(self.scores, first) if len(first) else self.scores
         self.blocks_of_term = np.searchsorted(first, self.of_term)
         self.best = np.zeros(n_terms)
-        known = self.of_term[1:] > self.of_term[:-1]
+        known = sizes > 0
         self.best[known] = np.maximum.reduceat(self.scores, self.of_term[:-1][known])
-        self.asked = np.zeros(n_terms, bool)
 
     def search(self, terms: np.ndarray, least: float = -math.inf) -> list[tuple[float, int]]:
         """The best k (score, document) for the terms: by rounded score, then by ``order``.
 
         Scores below ``least`` are not wanted.
         """
-        floor = least
-        terms = terms[np.argsort(self.best[terms], kind="stable")]
-        self.asked[terms] = True
-        if least == -math.inf:
-            totals = self._added(terms[-(-3 * len(terms) // 4):])
-            likely = np.flatnonzero(totals)
-            if len(likely) > self.k:
-                likely = likely[np.argpartition(-totals[likely], self.k)[:self.k]]
-            if len(likely) == self.k:
-                least = self._whole(likely).min() - SLACK
-        together = np.cumsum(self.best[terms])
-        aside = int(np.searchsorted(together, least - SLACK))
-        totals = self._added(terms[aside:])
-        docs = np.flatnonzero(totals)
-        bounds = totals[docs]
-        if aside:
-            bounds = bounds + self._block_bounds(terms[:aside])[docs // BLOCK]
-        open_docs = bounds + SLACK >= least
-        docs, bounds = docs[open_docs], bounds[open_docs]
-        found, scores = (docs, bounds) if not aside else self._looked_up(docs, bounds, least)
-        self.asked[terms] = False
+        in_table = self.column[terms] >= 0
+        long_lists = terms[in_table]
+        long_lists = long_lists[np.argsort(self.best[long_lists], kind="stable")]
+        together = np.cumsum(self.best[long_lists])
+        aside, essential = np.split(long_lists, [np.searchsorted(together, least - SLACK)])
+        totals = self._added(np.concatenate([terms[~in_table], essential]))
+        found = np.flatnonzero(totals)
+        scores = totals[found]
+        if len(aside):
+            found, scores = self._looked_up(found, scores, aside, least)
         scores = np.round(scores, DIGITS)
+        wanted = scores >= least
+        if wanted.sum() > self.k:
+            wanted &= scores >= np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
+        found, scores = found[wanted], scores[wanted]
         best = np.lexsort((self.order[found], -scores))[:self.k]
-        best = best[scores[best] >= floor]
         return list(zip(scores[best].tolist(), found[best].tolist(), strict=True))
 
     def _added(self, terms: np.ndarray) -> np.ndarray:
@@ -150,29 +155,24 @@ class Shard:
         rows = _ranges(self.blocks_of_term[terms], self.blocks_of_term[terms + 1])
         return np.bincount(self.blocks[rows], self.block_best[rows], -(-len(self.order) // BLOCK))
 
-    def _whole(self, docs: np.ndarray) -> np.ndarray:
-        """The scores of documents by all asked terms."""
-        low, high = self.of_doc[docs], self.of_doc[docs + 1]
-        rows = _ranges(low, high)
-        scores = np.where(self.asked[self.doc_terms[rows]], self.doc_scores[rows], 0.0)
-        return np.add.reduceat(scores, np.cumsum(high - low) - (high - low))
-
     def _looked_up(
-        self, docs: np.ndarray, bounds: np.ndarray, least: float
+        self, docs: np.ndarray, totals: np.ndarray, aside: np.ndarray, least: float
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Documents, best bounds first, and their scores while a bound reaches the k-th score."""
-        falling = np.argsort(-bounds, kind="stable")
-        docs, bounds = docs[falling], bounds[falling]
-        found, scores, length = np.zeros(0, np.int64), np.zeros(0), RUN
-        while len(docs) and bounds[0] + SLACK >= least:
-            run, docs, bounds = docs[:length], docs[length:], bounds[length:]
-            found = np.concatenate([found, run])
-            scores = np.concatenate([scores, self._whole(run)])
+        """Documents and their whole scores, best bounds first while these reach the k-th score."""
+        bounds = totals + self._block_bounds(aside)[docs // BLOCK]
+        reach = np.flatnonzero(bounds + SLACK >= least)
+        reach = reach[np.argsort(-bounds[reach], kind="stable")]
+        docs, totals, bounds = docs[reach], totals[reach], bounds[reach]
+        columns, scores, start, length = self.column[aside], np.zeros(0), 0, RUN
+        while start < len(docs) and bounds[start] + SLACK >= least:
+            run = slice(start, start + length)
+            rest = self.table[docs[run, None], columns].sum(axis=1)
+            scores = np.concatenate([scores, totals[run] + rest])
             if len(scores) >= self.k:
                 kth = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
                 least = max(least, kth - SLACK)
-            length *= 2
-        return found, scores
+            start, length = start + length, 2 * length
+        return docs[:len(scores)], scores
 
 
 def index_of(
@@ -203,39 +203,34 @@ def index_of(
 
 
 def _shard_answers(k: int, n_docs: int, mean_length: float):
-    def answer(docs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def answer(docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "doc_id", "score"]
-        if docs.empty or queries.empty:
+        if docs.empty or asked.empty:
             return pd.DataFrame({c: [] for c in columns})
         docs = docs.sort_values(["doc_id"], kind="stable", na_position="last")
         ids = docs["doc_id"].tolist()
-        # Scores are added up in the order of a query's terms, the same in every shard.
-        numbers, df, asked = {}, array("q"), []
-        for terms, counts in zip(queries["terms"], queries["dfs"], strict=True):
-            found = array("i")
-            for term, count in zip(terms, counts, strict=True):
-                number = numbers.setdefault(term.encode(), len(df))
-                if number == len(df):
-                    df.append(count)
-                found.append(number)
-            asked.append(found)
-        df = np.asarray(df)
+        packs, queries = asked[asked["query_id"].isna()], asked[asked["query_id"].notna()]
+        words = np.concatenate(packs["words"].tolist())
+        numbers = dict(zip(map(str.encode, words), np.concatenate(
+            packs["numbers"].tolist()).tolist(), strict=True))
+        df = np.ones(max(numbers.values()) + 1)
+        df[np.concatenate(packs["numbers"].tolist())] = np.concatenate(packs["dfs"].tolist())
         idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-        shard, standing, places = index_of(
-            docs["text"].tolist(), numbers, idf, mean_length, k)
+        shard, standing, places = index_of(docs["text"].tolist(), numbers, idf, mean_length, k)
         out = []
         for query_id, least, found in zip(
-                queries["query_id"], queries["least"], asked, strict=True):
-            terms = places[np.asarray(found)]
+                queries["query_id"], queries["least"], queries["numbers"], strict=True):
+            terms = places[found]
             out += [(query_id, ids[standing[d]], s)
                     for s, d in shard.search(terms[terms >= 0], least)]
-        return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
+        return pd.DataFrame(out, columns=columns).astype({"query_id": "Int64", "doc_id": "Int64"})
 
     return answer
 
 
 def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int | None = None):
-    """(query_id, terms, dfs) of all queries, the number of documents and their mean length."""
+    """(query_id, numbers) of all queries, (numbers, words, dfs) of their words in packs of
+    WORD_PACK, the number of documents and their mean length."""
     texts = docs.select("doc_id", words_of(F.coalesce("text", F.lit(""))).alias("words"))
     total = docs.count()
     asked = stored(
@@ -257,10 +252,20 @@ def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int | None = None)
     if n_terms is not None:
         terms = terms.withColumn("weight", F.round(F.col("tf") * idf, DIGITS)).withColumn(
             "place", F.row_number().over(best)).filter(F.col("place") <= n_terms)
-    by_query = terms.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("term", "df"))).alias("asked")
-    ).select("query_id", F.col("asked.term").alias("terms"), F.col("asked.df").alias("dfs"))
-    return stored(by_query, "query_terms"), total, float(length)
+    terms = stored(terms.select("query_id", "term", "df"), "asked_terms")
+    numbered = with_dense_key(
+        terms.select("term", "df").distinct(), "number",
+        scratch_path(docs.sparkSession, "asked_words"))
+    words = stored(numbered.select((F.col("number") - 1).cast("int").alias("number"), "term", "df"),
+                   "numbered_words")
+    # Scores are added up in the order of the numbers, the same in every shard.
+    by_query = stored(terms.join(words.select("term", "number"), "term").groupBy("query_id").agg(
+        F.array_sort(F.collect_list("number")).alias("numbers")), "query_terms")
+    packs = stored(words.groupBy(F.floor(F.col("number") / WORD_PACK)).agg(
+        F.collect_list(F.struct("number", "term", "df")).alias("w")).select(
+        F.col("w.number").alias("numbers"), F.col("w.term").alias("words"),
+        F.col("w.df").alias("dfs")), "word_packs")
+    return by_query, packs, total, float(length)
 
 
 def top_k(
@@ -273,10 +278,10 @@ def top_k(
     than k rows; texts without words are never found and ask nothing. Rows that
     share an id are documents of their own, and as queries one.
     """
-    terms, total, mean_length = query_terms(docs, every, n_terms)
+    terms, packs, total, mean_length = query_terms(docs, every, n_terms)
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    queries, n_terms = terms.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).head()
+    queries, n_terms = terms.agg(F.count(F.lit(1)), F.sum(F.size("numbers"))).head()
     blocks = max(1, -(-queries // QUERY_BLOCK), -(-(n_terms or 0) // TERM_BLOCK))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
@@ -288,7 +293,9 @@ def top_k(
         of_docs = docs.filter("text is not null").select(
             "doc_id", "text", shard.alias("shard"), _each(0, blocks).alias("block")
         ).filter((F.col("shard") >= low) & (F.col("shard") < high))
-        of_queries = asked.select("*", block.alias("block"), _each(low, high).alias("shard"))
+        of_queries = asked.select("*", block.alias("block")).unionByName(
+            packs.select("*", _each(0, blocks).alias("block")), allowMissingColumns=True
+        ).select("*", _each(low, high).alias("shard"))
         answers = of_docs.groupBy("shard", "block").cogroup(
             of_queries.groupBy("shard", "block")
         ).applyInPandas(
