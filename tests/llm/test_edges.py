@@ -341,7 +341,7 @@ def test_viterbi_equals_all_paths():
 
 
 def test_lines(docs, none):
-    rows = {(r.id, r.text): r for r in line_dedup.dedup_lines(docs).selectExpr(
+    rows = {(r.id, r.text): r for r in line_dedup.dedup_lines(docs, 3).selectExpr(
         "row.doc_id as id", "row.text as before", "text", "n_lines", "n_deleted").collect()}
     assert len(line_dedup.dedup_lines(docs).collect()) == len(ROWS)
     assert rows[8, "q"].n_deleted == 3  # x, y, z stand in document 7 already
@@ -363,3 +363,42 @@ def test_pipeline_stages(spark, docs, tables, tmp_path, monkeypatch):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
+
+
+def test_line_runs_equal_the_longest_repeats(spark):
+    """Every maximal run of enough words that stands earlier is deleted, and nothing else."""
+    draw = np.random.default_rng(12)
+    some = ["", " ", "a", "b c", "d", "e f g h i j", "k l m n", "}", "o p q r s t u v"]
+    rows = [(int(k), "\n".join(draw.choice(some, int(draw.integers(1, 9))))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for least in (1, 4, 6, 11):
+        found = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(docs, least).collect()}
+        earlier = []
+        for doc_id, text in rows:
+            lines = text.split("\n")
+            solid = [(k, x) for k, x in enumerate(lines) if x.strip()]
+            gone = set()
+            for i in range(len(solid)):
+                for j in range(i, len(solid)):
+                    run = [x for _, x in solid[i:j + 1]]
+                    size = [len(x.split()) for x in run]
+                    if sum(size) < least:
+                        continue
+                    before = [s[a:a + len(run)] for s in earlier for a in range(len(s))]
+                    before += [[x for _, x in solid[a:a + len(run)]] for a in range(i)]
+                    if run in before:
+                        gone |= {k for k, _ in solid[i:j + 1]}
+                        if min(sum(size[1:]), sum(size[:-1])) < least:  # blank lines inside
+                            gone |= set(range(solid[i][0], solid[j][0] + 1))
+            earlier.append([x for _, x in solid])
+            assert found[doc_id] == "\n".join(x for k, x in enumerate(lines) if k not in gone)
+
+
+def test_blank_lines_and_short_lines_stay(spark):
+    text = "intro\n\nbody one\n\n}\nend"
+    docs = spark.createDataFrame([(k, text if k < 2 else text + str(k)) for k in range(4)],
+                                 "doc_id bigint, text string")
+    rows = {r.row.doc_id: (r.text, r.n_deleted) for r in line_dedup.dedup_lines(docs).collect()}
+    assert {k: n for k, (_, n) in rows.items()} == {0: 0, 1: 0, 2: 0, 3: 0}
+    rows = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(docs, 4).collect()}
+    assert rows == {0: text, 1: "", 2: "end2", 3: "end3"}

@@ -57,7 +57,7 @@ def test_single_lines_that_repeat_go(spark, tmp_path):
     md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
     assert {r.doc_id: (r.n_lines, r.n_deleted, r.text_md5) for r in found} == {
         1: (4, 0, md5(rows[0][1])), 2: (4, 1, md5("d\ne\nf")), 3: (1, 1, md5("")),
-        4: (2, 1, md5("g")), 5: (3, 2, md5("h")), 6: (2, 0, md5("i\nj")), 7: (0, 0, md5("")),
+        4: (2, 1, md5("g")), 5: (3, 1, md5("h\nh")), 6: (2, 0, md5("i\nj")), 7: (0, 0, md5("")),
         8: (0, 0, md5(""))}
 
 

@@ -1,18 +1,19 @@
 """Repeated runs of lines, found by winnowing over line hashes.
 
-A run repeats if WINDOW consecutive lines of a text equal those at an earlier
-place of the corpus; every line of such a window is deleted, except at its first
-place. Of each window the smallest line hash is selected (winnowing), so equal
-windows always select the same line, and neighbouring windows mostly share one.
-The selected fingerprints are counted over the corpus: a window whose fingerprint
-occurs at one place only cannot repeat and goes no further, which drops nearly
-all of a fresh text. The positions of the others are joined by the hash of the
-whole window, which extends the match from the selected line both ways over the
-window; overlapping windows extend it on to the end of the run.
-
-With a window of one line every line counts by itself, in texts of any number of
-lines; that is the default. Wider windows miss lines and short runs
-that repeat among other lines.
+A run is a sequence of lines that stands at an earlier place of the corpus too and has
+RUN_WORDS words or more; one long line is a run, a few short ones are none, and blank lines
+do not count. Of each repeated run the first place stays and the later ones go; a blank
+line goes if it lies inside a window that goes, others stay and keep paragraphs apart.
+
+Windows hold as few lines as reach RUN_WORDS words. Each line that is not blank begins
+one and ends one, so every run is covered by windows inside it, to its first and
+last line. Of each window the smallest line hash is selected (winnowing), so equal windows
+always select the same line, and neighbouring windows mostly share one. The selected
+fingerprints are counted over the corpus: a window whose fingerprint occurs at one place
+only cannot repeat and goes no further, which drops nearly all of a fresh text. The
+positions of the others are joined by the hash of the whole window, which extends the match
+from the selected line both ways over the window; overlapping windows extend it on to
+both ends of the run.
 """
 
 from __future__ import annotations
@@ -20,23 +21,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.tables import stored
+from tillstar.llm.tables import stored, word_count
+
+#: Words of the shortest run that counts.
+RUN_WORDS = 6
+
+
+def _filled(lines: Column, words: int) -> Column:
+    """How many of the lines reach ``words`` words together; NULL if all do not."""
+    counted = F.aggregate(
+        lines, F.struct(F.lit(0).cast("bigint").alias("words"), F.lit(0).alias("lines")),
+        lambda sum_, line: F.when(sum_["words"] >= words, sum_).otherwise(F.struct(
+            (sum_["words"] + line["words"]).alias("words"), (sum_["lines"] + 1).alias("lines"))))
+    return F.when(counted["words"] >= words, counted["lines"])
+
+
+def _windows(lines: Column, words: int) -> Column:
+    """(line, last, smallest, whole) of each window of an array of (line, hash, words).
+
+    No line is blank, so a window has ``words`` lines at most.
+    """
+    def window(first: Column, size: Column) -> Column:
+        part = F.slice(lines, first, size)
+        hashes = F.transform(part, lambda x: x["hash"])
+        return F.when(size.isNotNull(), F.struct(
+            part[0]["line"].alias("line"), F.element_at(part, -1)["line"].alias("last"),
+            F.array_min(hashes).alias("smallest"), F.xxhash64(hashes, size).alias("whole")))
 
-#: Lines of the shortest run that counts. A text of fewer lines is one window.
-WINDOW = 1
+    def beginning(k: Column) -> Column:
+        return window(k, _filled(F.slice(lines, k, F.lit(words)), words))
 
+    def ending(k: Column) -> Column:
+        low = F.greatest(k - words + 1, F.lit(1))
+        size = _filled(F.reverse(F.slice(lines, low, k - low + 1)), words)
+        return window(k - size + 1, size)
 
-def _windows(hashes: Column, window: int) -> Column:
-    """(line, smallest, whole) of each window of an array of line hashes."""
-    last = F.greatest(F.size(hashes) - window, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(
-        k.alias("line"),
-        F.array_min(F.slice(hashes, k + 1, F.lit(window))).alias("smallest"),
-        F.xxhash64(F.slice(hashes, k + 1, F.lit(window)), F.size(
-            F.slice(hashes, k + 1, F.lit(window)))).alias("whole")))
+    places = F.sequence(F.lit(1), F.size(lines))
+    both = F.concat(F.transform(places, beginning), F.transform(places, ending))
+    return F.when(F.size(lines) > 0, F.array_distinct(F.filter(both, lambda w: w.isNotNull())))
 
 
-def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_lines(docs: DataFrame, words: int = RUN_WORDS) -> DataFrame:
     """(doc_id, text_key, doomed): the numbers of the lines to delete, from 0, sorted.
 
     The order of the corpus is that of doc_id (NULL first), then of the text's
@@ -45,10 +70,12 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     texts = docs.filter(F.col("text") != "").select(
         "doc_id", F.xxhash64("text").alias("text_key"),
-        F.transform(F.split("text", "\n"), lambda line: F.xxhash64(line)).alias("hashes"))
+        F.filter(F.transform(F.split("text", "\n"), lambda line, k: F.struct(
+            k.alias("line"), F.xxhash64(line).alias("hash"), word_count(line).alias("words"))),
+            lambda line: line["words"] > 0).alias("lines"))
     all_windows = stored(texts.select(
-        "doc_id", "text_key", F.explode(_windows(F.col("hashes"), window)).alias("w")
-    ).select("doc_id", "text_key", "w.line", "w.smallest", "w.whole"), "windows")
+        "doc_id", "text_key", F.explode(_windows(F.col("lines"), words)).alias("w")
+    ).select("doc_id", "text_key", "w.line", "w.last", "w.smallest", "w.whole"), "windows")
     place = F.struct("doc_id", "text_key", "line")
     # Two windows around one selected line differ in content; the fingerprint of a
     # window that repeats is met at two first lines at least.
@@ -59,20 +86,23 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     firsts = stored(open_windows.groupBy("whole").agg(
         F.min(place).alias("first"), F.max(place).alias("last")
     ).filter("first <> last").select("whole", "first"), "first_places")
-    later = open_windows.join(firsts, "whole").filter(place > F.col("first"))
+    # Equal rows have equal windows, which count once before they are gathered.
+    later = open_windows.join(firsts, "whole").filter(place > F.col("first")).select(
+        "doc_id", "text_key", "line", F.col("last")).distinct()
     return later.groupBy("doc_id", "text_key").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-            F.sequence("line", F.col("line") + window - 1))))).alias("doomed"))
+            F.sequence("line", "last"))))).alias("doomed"))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_lines(docs: DataFrame, words: int = RUN_WORDS) -> DataFrame:
     """All columns of ``docs`` in ``row``, with text, n_lines and n_deleted beside it.
 
     ``text`` keeps the other lines in order, joined by line breaks. NULL stays
     NULL and an empty text empty, both with no lines. A very long text is one row
-    of its windows' hashes, never all of them in one group with other texts.
+    of its windows' hashes, never all of them in one group with other texts. Without
+    documents the result is empty. Extra columns are kept in ``row`` whatever their names.
     """
-    doomed = stored(repeated_lines(docs, window), "doomed_lines").withColumnsRenamed(
+    doomed = stored(repeated_lines(docs, words), "doomed_lines").withColumnsRenamed(
         {"doc_id": "_id", "text_key": "_key"})
     rows = docs.select(
         F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_key"), "text")

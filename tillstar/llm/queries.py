@@ -103,7 +103,7 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line that stands earlier in the corpus goes, whatever lines are around it."""
+    """Every run of RUN_WORDS words that stands earlier in the corpus goes, whatever is around it."""
     return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), F.col("n_lines").cast("bigint").alias("n_lines"),
         F.col("n_deleted").cast("bigint").alias("n_deleted"),

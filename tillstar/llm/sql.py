@@ -133,15 +133,28 @@ ranked as (select query_id, row_number() over (partition by query_id
 select query_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= {search.TOP_K}"""
 
 
-_LINES = f"""
+_LINES = rf"""
 with d as (select row_number() over () as rid, doc_id, text, string_split(text, chr(10)) as l
   from documents where text <> ''),
-w as (select rid, doc_id, k, l[k:k + {line_dedup.WINDOW - 1}] as part from (
-  select *, unnest(range(1, greatest(1, len(l) - {line_dedup.WINDOW - 1}) + 1)) as k from d)),
-later as (select rid, k, part from (select *, row_number() over (
+x as (select *, row_number() over (partition by rid order by k) as n from (select rid, doc_id, k,
+   line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words from (
+    select rid, doc_id, unnest(l) as line, unnest(range(1, len(l) + 1)) as k from d))
+  where words > 0),
+c as (select *, sum(words) over (partition by rid order by n) as upto from x),
+ends as (select a.rid, a.n, min(z.n) as m from c a join c z on a.rid = z.rid
+  and z.n between a.n and a.n + {line_dedup.RUN_WORDS - 1}
+  and z.upto - a.upto + a.words >= {line_dedup.RUN_WORDS} group by all),
+begins as (select z.rid, max(a.n) as n, z.n as m from c a join c z on a.rid = z.rid
+  and z.n between a.n and a.n + {line_dedup.RUN_WORDS - 1}
+  and z.upto - a.upto + a.words >= {line_dedup.RUN_WORDS} group by z.rid, z.n),
+w as (select s.rid, any_value(c.doc_id) as doc_id, min(c.k) as k, max(c.k) as last,
+  string_agg(c.line, chr(10) order by c.n) as part
+ from (select * from ends union select * from begins) s join c on c.rid = s.rid
+  and c.n between s.n and s.m group by s.rid, s.n, s.m),
+later as (select rid, k, last from (select *, row_number() over (
   partition by part order by doc_id nulls first, k) as place from w) where place > 1),
 gone as (select rid, list(distinct line) as lines from (select rid,
-  unnest(range(k, k + len(part))) as line from later) group by rid)
+  unnest(range(k, last + 1)) as line from later) group by rid)
 select x.doc_id, cast(case when coalesce(x.text, '') = '' then 0
    else len(string_split(x.text, chr(10))) end as bigint) as n_lines,
  cast(coalesce(len(g.lines), 0) as bigint) as n_deleted,
