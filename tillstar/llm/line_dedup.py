@@ -27,6 +27,13 @@ from tillstar.llm.tables import stored, word_count
 RUN_WORDS = 6
 
 
+def _words_up_to(line: Column, most: int) -> Column:
+    """The words of a line, or ``most`` if there are as many, which reads its beginning only."""
+    blank, word = r"[\x20\x09-\x0D]*+", r"[^\x20\x09-\x0D]++"
+    begins = line.rlike(rf"\A(?:{blank}{word}){{{most}}}")
+    return F.when(begins, F.lit(most).cast("bigint")).otherwise(word_count(line))
+
+
 def _filled(lines: Column, words: int) -> Column:
     """How many of the lines reach ``words`` words together; NULL if all do not."""
     counted = F.aggregate(
@@ -71,7 +78,7 @@ def repeated_lines(docs: DataFrame, words: int = RUN_WORDS) -> DataFrame:
     texts = docs.filter(F.col("text") != "").select(
         "doc_id", F.xxhash64("text").alias("text_key"),
         F.filter(F.transform(F.split("text", "\n"), lambda line, k: F.struct(
-            k.alias("line"), F.xxhash64(line).alias("hash"), word_count(line).alias("words"))),
+            k.alias("line"), F.xxhash64(line).alias("hash"), _words_up_to(line, words).alias("words"))),
             lambda line: line["words"] > 0).alias("lines"))
     all_windows = stored(texts.select(
         "doc_id", "text_key", F.explode(_windows(F.col("lines"), words)).alias("w")
