@@ -365,6 +365,9 @@ union all select 'staging.transactions', 'receipt_product_unique', store_id, sou
     "exclude_flagged": "select receipt_no, product_sold, quantity, store_id"
         " from stg_transactions t where not exists"
         " (select 1 from duplicates v where v.raw_value = t.receipt_no)",
+    "repeated_keys_by_receipt": "select receipt_no, product_sold, count(*) as copies"
+        " from raw_transactions where receipt_no is not null and product_sold is not null"
+        " group by receipt_no, product_sold having count(*) > 1",
     "fact_transactions": "select * from fact",
     "fact_key_density": "select count(*) as fact_rows, cast(1 as bigint) as first_key,"
         " count(*) as last_key, count(*) as different_keys from fact",
@@ -476,6 +479,7 @@ select 'raw.transactions' as table_name, 'duplicate_receipt_no' as check_name, s
 }
 
 
+_FINAL["exclude_flagged_by_receipt"] = _FINAL["exclude_flagged"]
 _CTES["constraint_rows"] = _FINAL["constraint_findings"] + """
 union all select 'staging.stores', 'region_domain', store_id, null, region, 1 from stg_stores
 where region not in ('Southern Region', 'Middle Belt Region', 'Northern Region')"""

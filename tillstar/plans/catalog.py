@@ -27,7 +27,7 @@ from tillstar.operators.keys import with_dense_key
 from tillstar.plans.months import MATCHED, MonthlySales
 from tillstar.plans.pipeline import MASTERS, run_pipeline
 from tillstar.session import scratch_path
-from tillstar.sources import landed, star_tables
+from tillstar.sources import landed, receipts, star_tables
 from tillstar.sources.layers import Layers
 from tillstar.streaming import ingest, state
 
@@ -633,6 +633,25 @@ def sales_on_days(t: RetailTables) -> DataFrame:
         stored, t.dates.filter((F.col("quarter") == 2) & F.col("is_weekend")))
 
 
+# Sales laid out by receipt
+
+def _by_receipt(t: RetailTables, sales: DataFrame) -> receipts.ByReceipt:
+    path = scratch_path(t.spark, "by_receipt")
+    return receipts.write_by_receipt(
+        sales, f"by_receipt_{path.rsplit('-', 1)[1]}", path, buckets=16)
+
+
+@query
+def exclude_flagged_by_receipt(t: RetailTables) -> DataFrame:
+    return receipts.exclude_flagged(_by_receipt(t, t.split.kept), t.flagged).select(
+        *_line("store_id"))
+
+
+@query
+def repeated_keys_by_receipt(t: RetailTables) -> DataFrame:
+    return receipts.repeated_keys(_by_receipt(t, t.sales), "product_sold")
+
+
 # Loads that build on each other
 
 def _two_lists(t: RetailTables, name: str) -> tuple[DataFrame, DataFrame]:
