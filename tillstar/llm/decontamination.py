@@ -1,14 +1,18 @@
-"""Benchmark decontamination: n-gram seeds, then local alignment of passages.
+"""Benchmark decontamination: rare n-gram seeds, then local alignment of passages.
 
 Word trigrams of the test items are seeds. The corpus is scanned once; every
 trigram of every document is looked up among the seeds, a join whose small side
-is broadcast only while the planner's size of it allows. The hits are stored. Every hit opens a passage, whatever its frequency in the
-corpus, so a copy is a candidate as long as it keeps one trigram: a stretch of a
-document around hits on neighbouring diagonals. A passage that shares too few
-words with its item to reach the threshold is dropped unaligned, which loses
-nothing. Smith-Waterman on words scores the others, so edits, insertions and gaps
-lower the score only a little, and a phrase in common does not reach the threshold.
-A copy with every third word changed in turn keeps no trigram and is not found.
+is broadcast only while the planner's size of it allows. The hits are stored and
+counted per seed over the whole corpus. An item's rare seeds are the rarer half of
+those that occur. One rare seed opens a passage: a stretch of a document around hits on
+neighbouring diagonals. Common seeds open one only together, two and one for each
+``SUPPORT`` words of the item: an edited copy whose rare seeds are all gone is a
+candidate, a phrase in common is not. A passage that shares too few words with its item to reach the
+threshold is dropped unaligned, which loses nothing. Smith-Waterman on words scores the
+others, so edits, insertions and gaps lower the score only a little.
+
+A copy that keeps no seed is not found (every third word changed in turn), nor one that
+keeps a few common seeds only. README gives the share found by words changed.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.llm import text_blocks as tb
@@ -30,6 +34,11 @@ MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
 #: Score of the alignment over that of the whole item: a third of the words may be exchanged.
 THRESHOLD = 0.5
 
+#: Share of an item's occurring seeds that are rare.
+RARE = 0.5
+#: Common seeds open a passage if it holds at least two, and one for each so many words of the item.
+SUPPORT = 8
+
 _HASH_FIELDS = "doc_id bigint, text_key bigint, at int, seed bigint"
 
 
@@ -99,84 +108,121 @@ def most_score(item: np.ndarray, passage: np.ndarray) -> float:
     return np.minimum(counts, np.bincount(hit, minlength=len(found))).sum() / len(item)
 
 
+_STRETCH_FIELDS = ("doc_id bigint, text_key bigint, item_id bigint, item_key bigint,"
+                   " low int, words array<bigint>")
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text_key, text, passages) to the word hashes of each passage."""
+    names = ["doc_id", "text_key", "item_id", "item_key", "low", "words"]
+    for batch in batches:
+        for start, stop, texts in tb.blocks(batch.column(2)):
+            hashes, words = _item_words(texts)
+            found: dict[str, list] = {name: [] for name in names}
+            ids, keys, passages = (
+                batch.column(c).slice(start, stop - start).to_pylist() for c in (0, 1, 3))
+            for k, doc_id in enumerate(ids):
+                doc = hashes[words[k]:words[k + 1]]
+                for p in passages[k]:
+                    low = max(0, p["low"])
+                    stretch = doc[low:max(low, p["high"])]
+                    if len(stretch):
+                        row = (doc_id, keys[k], p["item_id"], p["item_key"], low, stretch.view(np.int64))
+                        for name, value in zip(names, row, strict=True):
+                            found[name].append(value)
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(found[c], pa.int64()) for c in names[:4]],
+                 pa.array(found["low"], pa.int32()), pa.array(found["words"], pa.list_(pa.int64()))],
+                names)
+
+
 def _aligned(threshold: float):
-    """Rows (doc_id, text_key, text, passages of items) to passages that score ``threshold``."""
+    """Rows (doc_id, text_key, item_id, item_key, low, words, item) to those that score ``threshold``."""
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[str, list] = {
-                k: [] for k in ("doc_id", "text_key", "item_id", "score", "start", "end")}
-            known: dict[str, np.ndarray] = {}
-            for start, stop, texts in tb.blocks(batch.column(2)):
-                hashes, words = _item_words(texts)
-                ids, keys, _, passages = (
-                    c.slice(start, stop - start).to_pylist() for c in batch.columns)
-                for k, doc_id in enumerate(ids):
-                    doc = hashes[words[k]:words[k + 1]]
-                    for p in passages[k]:
-                        low, high = max(0, p["low"]), min(len(doc), p["high"])
-                        if p["item"] not in known:
-                            known[p["item"]], _ = _item_words(pa.array([p["item"]], pa.large_string()))
-                        item, passage = known[p["item"]], doc[low:high]
-                        if not len(passage) or most_score(item, passage) < threshold:
-                            continue
-                        score, begin, end = align(item, passage)
-                        if score < threshold:
-                            continue
-                        for name, value in zip(
-                                found, (doc_id, keys[k], p["item_id"], score, low + begin, low + end),
-                                strict=True):
-                            found[name].append(value)
+            known: dict[int, np.ndarray] = {}
+            kept, scores, starts, ends = [], [], [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("item_key", "low", "item")), strict=True)
+            flat = batch.column("words").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            bounds = batch.column("words").offsets.to_numpy()
+            bounds = bounds - bounds[0]
+            for k, (item_key, low, text) in enumerate(rows):
+                passage = flat[bounds[k]:bounds[k + 1]]
+                if item_key not in known:
+                    known[item_key], _ = _item_words(pa.array([text], pa.large_string()))
+                item = known[item_key]
+                if most_score(item, passage) < threshold:
+                    continue
+                score, begin, end = align(item, passage)
+                if score >= threshold:
+                    for found, value in zip(
+                            (kept, scores, starts, ends), (k, score, low + begin, low + end), strict=True):
+                        found.append(value)
+            where = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(found[c], pa.int64()) for c in ("doc_id", "text_key", "item_id")],
-                 pa.array(found["score"], pa.float64()), pa.array(found["start"], pa.int32()),
-                 pa.array(found["end"], pa.int32())], list(found))
+                [*[batch.column(c).take(where) for c in ("doc_id", "text_key", "item_id")],
+                 pa.array(scores, pa.float64()), pa.array(starts, pa.int32()),
+                 pa.array(ends, pa.int32())],
+                ["doc_id", "text_key", "item_id", "score", "start", "end"])
 
     return aligned
 
 
-def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, text_key, item_id, item, low, high): stretches of documents to align."""
-    texts = items.filter(F.col("text").isNotNull()).select(
+def _items(items: DataFrame) -> DataFrame:
+    return items.filter(F.col("text").isNotNull()).select(
         F.col("item_id").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
+def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, text_key, item_id, item_key, low, high): stretches of documents to align."""
+    texts = _items(items)
     seeds = stored(
         seeds_of(texts).select(
             F.col("doc_id").alias("item_id"), F.col("text_key").alias("item_key"),
             F.col("at").alias("item_at"), "seed"), "seeds")
-    words = stored(
-        texts.select(
-            F.col("doc_id").alias("item_id"), F.col("text_key").alias("item_key"),
-            F.col("text").alias("item"),
-            F.size(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("item_words"),
-        ).distinct(), "items")
     grams = seeds_of(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"))
     hits = stored(grams.join(seeds.select("seed").distinct(), "seed"), "seed_hits")
-    open_at = hits.join(seeds, "seed").join(
-        words.select("item_key", "item_words").distinct(), "item_key")
-    return open_at.groupBy(
-        "doc_id", "text_key", "item_id", "item_key", "item_words",
-        F.floor((F.col("at") - F.col("item_at")) / BAND).alias("band"),
-    ).agg(F.count(F.lit(1)).alias("seeds")).select(
+    # A window holds the words of one item; equal texts count once.
+    item = Window.partitionBy("item_key")
+    occurring = seeds.select("item_key", "item_at", "seed").distinct().join(
+        hits.groupBy("seed").agg(F.count(F.lit(1)).alias("found")), "seed")
+    rare = stored(occurring.select(
+        "item_key", "item_at",
+        (F.row_number().over(item.orderBy("found", "item_at"))
+         <= F.ceil(F.count(F.lit(1)).over(item) * RARE)).alias("rare"),
+    ).join(seeds.groupBy("item_key").agg((F.max("item_at") + GRAM).alias("item_words")), "item_key"),
+        "rare_seeds")
+    pair = ["doc_id", "text_key", "item_id", "item_key", "item_words"]
+    bands = hits.join(seeds, "seed").join(rare, ["item_key", "item_at"]).groupBy(
+        *pair, F.floor((F.col("at") - F.col("item_at")) / BAND).alias("band"), "item_at",
+    ).agg(F.max("rare").alias("rare")).groupBy(*pair, "band").agg(
+        F.count(F.lit(1)).alias("seeds"), F.max("rare").alias("rare"))
+    near = Window.partitionBy(*pair).orderBy("band").rangeBetween(-1, 1)
+    needed = F.greatest(F.lit(2), F.floor(F.col("item_words") / SUPPORT))
+    return bands.withColumn("near", F.sum("seeds").over(near)).filter(
+        F.col("rare") | (F.col("near") >= needed)
+    ).select(
         "doc_id", "text_key", "item_id", "item_key",
         (F.col("band") * BAND - F.col("item_words")).cast("int").alias("low"),
-        (F.col("band") * BAND + BAND + 2 * F.col("item_words")).cast("int").alias("high"),
-    ).join(words.select("item_key", "item").distinct(), "item_key")
+        (F.col("band") * BAND + BAND + 2 * F.col("item_words")).cast("int").alias("high"))
 
 
 def leaked_passages(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """(doc_id, text_key, item_id, score, start, end) of passages that score ``threshold``."""
     found = passages(docs, items).groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("item_id", "item", "low", "high")).alias("passages"))
+        F.collect_list(F.struct("item_id", "item_key", "low", "high")).alias("passages"))
     found = stored(found, "passages").withColumnsRenamed(
         {"doc_id": "found_id", "text_key": "found_key"})
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").join(
         found, F.col("doc_id").eqNullSafe(F.col("found_id"))
         & (F.col("text_key") == F.col("found_key")))
-    return texts.select("doc_id", "text_key", F.lower("text").alias("text"), F.transform(
-        "passages", lambda p: F.struct(
-            p["item_id"].alias("item_id"), F.lower(p["item"]).alias("item"),
-            p["low"].alias("low"), p["high"].alias("high"))).alias("passages")
-    ).mapInArrow(_aligned(threshold), "doc_id bigint, text_key bigint, item_id bigint,"
-                 " score double, start int, end int")
+    cut = texts.select("doc_id", "text_key", F.lower("text").alias("text"), "passages").mapInArrow(
+        _stretches, _STRETCH_FIELDS)
+    words = _items(items).select(
+        F.col("text_key").alias("item_key"), F.lower("text").alias("item")).distinct()
+    return cut.join(words, "item_key").mapInArrow(
+        _aligned(threshold), "doc_id bigint, text_key bigint, item_id bigint,"
+        " score double, start int, end int")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
