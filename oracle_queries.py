@@ -191,6 +191,7 @@ select transaction_date, store_id, staff_name, receipt_no,
  payment_method, source_sheet, {_SECOND} as is_second from ranked_l where place = 1
 """,
     "fact_l": _CTES["fact"].replace("stg_transactions", "stg_l"),
+    "visits_l": _CTES["visits"].replace("from fact", "from fact_l"),
     "flagged_first": f"""
 select receipt_no from raw_transactions where not ({_SECOND})
 group by receipt_no, store_id, source_sheet having count(*) > 3
@@ -240,6 +241,24 @@ def _counts(tables: dict[str, str]) -> str:
 
 
 _STAGED = {f"staging.{n}": f"stg_{n}" for n in ("stores", "staff", "managers", "products")}
+_PRICE = "case when " + _NUMBER + " then cast(trim({0}, ' ') as decimal(10,2)) end"
+
+
+def _check_counts(layer: str, name: str, source: str, price: str) -> str:
+    key = MASTER_COLUMNS[name][0]
+    value = f"nullif(trim({key}, ' '), '')"
+    failed = {
+        f"{key}_not_null": f"count(*) - count({value})",
+        f"{key}_unique": f"count({value}) - count(distinct {value})",
+    }
+    if name == "products":
+        failed["unit_price_ghs_positive"] = f"count(*) filter (where {price} <= 0)"
+    return " union all ".join(
+        f"select '{layer}.{name}' as table_name, '{check}' as check_name,"
+        f" count(*) as rows_checked, {rows} as failed_rows from {source}"
+        for check, rows in failed.items())
+
+
 _REGISTRY = """(
  select 'S' || lpad(cast(n_nationkey as string), 3, '0') as store_id from nation
  union all select 'S9' || lpad(cast(count(*) as string), 2, '0') from nation)"""
@@ -318,6 +337,12 @@ union all select 'raw.transactions', 'payment_method_domain', payment_method, co
         " where cast(c_acctbal as decimal(10,2)) <= 0",
     "check_unique_key": "select receipt_no, count(*) as copies from raw_transactions"
         " group by receipt_no having count(*) > 1",
+    "check_counts": " union all ".join(
+        _check_counts(layer, name, source, price)
+        for name in ("stores", "staff", "managers", "products")
+        for layer, source, price in (
+            ("raw", f"raw_{name}", _PRICE.format("unit_price_ghs")),
+            ("staging", f"stg_{name}", "unit_price_ghs"))),
     "check_unique_composite": f"""
 select {_LINE}, count(*) as copies from (
  select *, row_number() over (partition by receipt_no, product_sold order by {_ORDER}) as place
@@ -444,6 +469,7 @@ group by grouping sets ((store_id, month, category), (store_id, month), (store_i
          ("products", "product"))),
     "incremental_fact": f"select *, {_MONTH} in (select month from rebuilt_l) as rebuilt"
         " from fact_l",
+    "incremental_customers": "select * from visits_l",
     "full_refresh": _counts({
         **{f"raw.{n}": f"raw_{n}"
            for n in ("transactions", "stores", "staff", "managers", "products")},

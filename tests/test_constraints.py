@@ -32,6 +32,17 @@ def test_repeated_keys_treat_nulls_as_different(spark):
     assert [tuple(r) for r in c.repeated_keys(df, ["k"]).collect()] == [("a", 2)]
 
 
+def test_check_counts_of_a_key_and_row_checks(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 0), (" a ", -1), ("b", None), ("", 2), ("  ", 3), (None, 0)],
+        "k string, n int")
+    found = c.check_counts("t", df, "k", [c.positive("n")])
+    expected = {("t", "k_not_null", 7, 3), ("t", "k_unique", 7, 2), ("t", "n_positive", 7, 3)}
+    assert {tuple(r) for r in found.collect()} == expected
+    empty = c.check_counts("t", df.limit(0), "k", [c.positive("n")])
+    assert {tuple(r) for r in empty.collect()} == {(t, n, 0, 0) for t, n, _, _ in expected}
+
+
 def brute_force_first(rows):
     """key = first two cells, order = the rest."""
     groups = {}

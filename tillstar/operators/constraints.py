@@ -94,6 +94,33 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def check_counts(
+    table: str, df: DataFrame, key: str, checks: Sequence[RowCheck] = ()
+) -> DataFrame:
+    """(table_name, check_name, rows_checked, failed_rows) of a primary key and row checks.
+
+    A key fails where it is missing (NULL or blank) and where it is repeated, in all rows of
+    a key but one. Rows are combined per key before the one shuffle, so a key that very many
+    rows share costs one row per task.
+    """
+    value = F.nullif(F.trim(F.col(key)), F.lit(""))
+    per_key = df.groupBy(value.alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(_definitely(c)).alias(f"_failed_{i}") for i, c in enumerate(checks)])
+    known = F.col("_key").isNotNull()
+    failed = {
+        f"{key}_not_null": F.sum(F.when(~known, F.col("_rows")).otherwise(0)),
+        f"{key}_unique": F.sum(F.when(known, F.col("_rows") - 1).otherwise(0)),
+        **{c.name: F.sum(f"_failed_{i}") for i, c in enumerate(checks)},
+    }
+    total = per_key.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_checked"), *[
+        F.coalesce(n, F.lit(0)).alias(name) for name, n in failed.items()])
+    found = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(name).alias("failed_rows"))
+                      for name in failed])
+    return total.select("rows_checked", F.inline(found)).select(
+        F.lit(table).alias("table_name"), "check_name", "rows_checked", "failed_rows")
+
+
 @dataclass(frozen=True)
 class UniqueSplit:
     """Rows kept for a composite key, and the surplus rows with their multiplicity."""

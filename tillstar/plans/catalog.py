@@ -24,8 +24,9 @@ from tillstar.operators import sales as sales_ops
 from tillstar.operators import validation
 from tillstar.config import WarehouseConfig
 from tillstar.operators.keys import with_dense_key
-from tillstar.plans.months import MATCHED, MonthlySales
+from tillstar.plans.months import MATCHED, Load, MonthlySales
 from tillstar.plans.pipeline import MASTERS, run_pipeline
+from tillstar.plans.visits import MonthlyVisits
 from tillstar.session import scratch_path
 from tillstar.sources import landed, receipts, star_tables
 from tillstar.sources.layers import Layers
@@ -370,6 +371,22 @@ def check_unique_key(t: RetailTables) -> DataFrame:
     return c.repeated_keys(t.sales, ["receipt_no"])
 
 
+@query
+def check_counts(t: RetailTables) -> DataFrame:
+    """Primary keys of all lists and the price above zero, before and after staging."""
+    def broken(layer: str, name: str, df: DataFrame) -> DataFrame:
+        key = dimensions.DIMENSIONS[name][1]
+        checks = [c.positive("unit_price_ghs")] if name == "products" else []
+        return c.check_counts(f"{layer}.{name}", df, key, checks)
+
+    raw = {name: t.raw(name) for name in masters.STAGERS}
+    raw["products"] = raw["products"].withColumn(
+        "unit_price_ghs", fx.parse_price("unit_price_ghs"))
+    return reduce(DataFrame.unionByName, [
+        *[broken("raw", name, df) for name, df in raw.items()],
+        *[broken("staging", name, t.staged(name)) for name in raw]])
+
+
 @query
 def check_unique_composite(t: RetailTables) -> DataFrame:
     """Surplus lines on (receipt, product) over all sales, before any other check."""
@@ -679,18 +696,33 @@ def lasting_keys(t: RetailTables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query
-def incremental_fact(t: RetailTables) -> DataFrame:
-    """The fact after a second load of two months, and which rows that load built again."""
+def _in_two_loads(t: RetailTables) -> tuple[MonthlySales, list[tuple[Load, list[str]]]]:
+    """Sales by month after two loads, with the state and the rebuilt months of each."""
     monthly = MonthlySales(t.spark, scratch_path(t.spark, "monthly"))
     masters = {name: t.staged(name) for name in MATCHED}
     later = F.substring("timestamp", 1, 7).isin(*star_tables.SECOND_LOAD)
-    monthly.add(t.sales.filter(~later), masters, t.dates)
-    state, touched = monthly.add(t.sales.filter(later), masters, t.dates)
+    return monthly, [monthly.add(lines, masters, t.dates)
+                     for lines in (t.sales.filter(~later), t.sales.filter(later))]
+
+
+@query
+def incremental_fact(t: RetailTables) -> DataFrame:
+    """The fact after a second load of two months, and which rows that load built again."""
+    monthly, (_, (state, touched)) = _in_two_loads(t)
     return monthly.fact(state).withColumn(
         "rebuilt", F.col("sale_month").isin(touched)).drop("transaction_key", "sale_month")
 
 
+@query
+def incremental_customers(t: RetailTables) -> DataFrame:
+    """Visits after a second load, from the bitmaps of its months and of those that stay."""
+    monthly, loads = _in_two_loads(t)
+    kept = MonthlyVisits(monthly)
+    for state, _ in loads:
+        kept.add(state)
+    return kept.customers(state)
+
+
 @query
 def full_refresh(t: RetailTables) -> DataFrame:
     """Rows of the stored layers of a whole run, counted in their files."""
