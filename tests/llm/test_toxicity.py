@@ -130,3 +130,32 @@ def test_edges(spark):
     assert sample.bounds[-1] == sample.numbers.shape[1]
     small = toxicity.labelled_sample(docs, labels, rows=1)
     assert len(small.toxic) <= 4
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """More rows than one shard takes, and a text of more than 200,000 words."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 3000)
+    docs = spark.range(20_000).selectExpr(
+        "id doc_id", "concat('text ', id) text", "'en' lang", "'s' source").unionByName(
+        spark.createDataFrame([(20_001, "word " * 200_001, "en", "s")],
+                              "doc_id bigint, text string, lang string, source string"))
+    labels = docs.selectExpr("doc_id", "int(doc_id % 7 = 0) toxic")
+    shards = toxicity.training_shards(docs, labels).collect()
+    sizes = np.concatenate([np.frombuffer(s.sizes, np.int64) for s in shards])
+    wanted = [k for k in [*range(20_000), 20_001] if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert len(shards) > 1 and len(sizes) == len(wanted) and 200_001 in sizes
+    calibrating = sum(sum(s.calibrating) for s in shards)
+    assert 0 < calibrating == len(wanted) - sum(s.train_rows for s in shards)
+
+
+def test_networks_of_many_shards_are_averaged(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 500)
+    draw = random.Random(4)
+    rows, labels = zip(*[make(draw, k) for k in range(4000)])
+    docs = spark.createDataFrame(rows, COLUMNS)
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    found = toxicity.score_toxicity(docs, marks).collect()
+    truth = dict(labels)
+    assert np.mean([r.predicted == truth[r.doc_id] for r in found if r.held_out]) > 0.97
+    again = toxicity.score_toxicity(docs.repartition(3), marks).collect()
+    assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in found}
