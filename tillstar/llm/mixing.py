@@ -113,9 +113,10 @@ def _mixed(rows: DataFrame) -> DataFrame:
         F.col("source").eqNullSafe(F.col("known_source"))
     ).withColumn(
         "shard", F.conv(F.substring("order", 25, 8), 16, 10).cast("bigint") % shards
-    ).drop("known_source", "source", "source_rows")
-    sizes = stored(
-        placed.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size")), "shard_sizes")
+    ).withColumn("part", F.substring("order", 1, 1)).drop("known_source", "source", "source_rows")
+    parts = stored(placed.groupBy("rank", "shard", "part").agg(
+        F.sum("size").alias("part_size")), "part_sizes")
+    sizes = parts.groupBy("rank", "shard").agg(F.sum("part_size").alias("shard_size"))
 
     block = F.lit(BLOCK_WORDS)
     whole = F.sum("source_size").over(Window.partitionBy(F.lit(0)))
@@ -133,11 +134,15 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
     words = F.col("seats") * BLOCK_WORDS
     laps = F.coalesce(F.floor(F.try_divide(words, F.col("shard_size"))), F.lit(0))
-    in_order = Window.partitionBy("rank", "shard").orderBy("order", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, -1)
-    laid = placed.withColumn(
-        "before", F.coalesce(F.sum("size").over(in_order), F.lit(0))
-    ).join(quotas, ["rank", "shard"])
+    earlier = Window.unboundedPreceding, -1
+    of_shard = Window.partitionBy("rank", "shard").orderBy("part").rowsBetween(*earlier)
+    starts = stored(parts.withColumn(
+        "start", F.coalesce(F.sum("part_size").over(of_shard), F.lit(0))
+    ).join(quotas, ["rank", "shard"]).drop("part_size"), "part_starts")
+    in_order = Window.partitionBy("rank", "shard", "part").orderBy(
+        "order", "doc_id", "size").rowsBetween(*earlier)
+    laid = placed.join(starts, ["rank", "shard", "part"]).withColumn(
+        "before", F.col("start") + F.coalesce(F.sum("size").over(in_order), F.lit(0)))
     rest = words - laps * F.col("shard_size") - F.col("before")
     taken = laps * F.col("size") + F.greatest(F.lit(0), F.least(rest, "size"))
     row = ["row"] if "row" in rows.columns else []
