@@ -8,11 +8,11 @@ answer of each filter over the whole text is kept, and a logistic unit adds them
 All of it is trained in numpy with minibatches; only the words under a filter's
 greatest answer get a gradient, so a step costs little more than its forward pass.
 
-Every labelled row outside the test fold is learned from. The rows are dealt over shards
-of a bounded size, written once as word numbers. In each of EPOCHS rounds every shard
-trains the network of the round before on all of its rows, and the shards' networks are
-averaged (an embedding over the shards that moved it), so a round is one Spark job and
-the driver holds one network of a fixed size. Every task applies the last one to its
+Every labelled row outside the test fold is learned from. Where the labels meet the texts,
+the rows are cut into shards of a bounded size, written once as word numbers. In each of
+ROUNDS every shard trains the network of the round before on all of its rows, PASSES
+times, and the shards' networks are averaged by their rows (an embedding over the shards
+that moved it), so a round is one Spark job and the driver holds one network of a fixed size. Every task applies the last one to its
 texts in blocks. Thresholds per language are set on the rows of the shards that are not
 trained on, all of them.
 """
@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from tillstar.llm import text_blocks as tb
 from tillstar.llm.tables import held_out, stored
 
-#: Labelled rows of a shard and the bytes of their texts, as dealt by hashes.
-SHARD_ROWS, SHARD_BYTES = 10_000, 32 << 20
+#: Most labelled rows of a shard and bytes of their texts.
+SHARD_ROWS, SHARD_BYTES = 4_000, 12 << 20
 BUCKETS, EMBEDDING, PREFIXES = 1 << 15, 8, (6, 4)
 WIDTHS, FILTERS = (1, 2, 3), 8
-EPOCHS, BATCH, RATE, SEED = 8, 64, 0.1, 1
+ROUNDS, PASSES, BATCH, RATE, SEED = 4, 2, 64, 0.1, 1
 #: A minibatch ends before it has more words, unless one text alone has.
 BATCH_WORDS = 1 << 19
 #: Scores of this and more are predicted toxic.
@@ -233,24 +233,18 @@ def best_threshold(
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(shard, key, toxic, lang, text) of the labelled texts outside the test fold, each (id, text) once.
+    """(key, toxic, lang, text) of the labelled texts outside the test fold, each (id, text) once.
 
     Several labels of an id count by their majority, a tie as toxic. NULL labels and NULL
-    ids do not count. Shards go by hashes of id and text and lie in one partition each.
+    ids do not count. Rows of an id are in one partition, since labels and texts meet by id.
     """
     verdicts = stored(labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         (F.avg("toxic") >= 0.5).cast("int").alias("toxic")), "toxic_labels")
     labelled = verdicts.filter(~held_out("doc_id", FOLDS, TEST_FOLD))
-    known = docs.filter(F.col("doc_id").isNotNull() & ~held_out("doc_id", FOLDS, TEST_FOLD))
-    size = known.select("doc_id", F.octet_length("text").alias("bytes")).join(
-        labelled, "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).head()
-    shards = max(1, -(-size["n"] // SHARD_ROWS), -(-(size["bytes"] or 0) // SHARD_BYTES))
-    key = F.xxhash64("doc_id", "text")
-    return known.select("doc_id", "lang", "text").join(labelled, "doc_id").select(
-        F.pmod(key, F.lit(shards)).cast("int").alias("shard"), key.alias("key"), "toxic", "lang",
-        "text",
-    ).repartition(shards, "shard").groupBy("shard", "key").agg(
-        F.max("toxic").alias("toxic"), F.min("lang").alias("lang"), F.first("text").alias("text"))
+    return docs.select("doc_id", "lang", "text").join(labelled, "doc_id").groupBy(
+        "doc_id", F.xxhash64("doc_id", "text").alias("key")).agg(
+        F.max("toxic").alias("toxic"), F.min("lang").alias("lang"), F.first("text").alias("text")
+    ).select("key", "toxic", "lang", "text")
 
 
 def _sample(rows: pa.Table) -> Sample:
@@ -275,18 +269,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = 10_000) -> S
         F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(part * (1 << 30))).toArrow())
 
 
-_SHARD = ("shard int, train_rows bigint, train_toxic bigint, numbers binary, sizes binary,"
+_SHARD = ("shard bigint, train_rows bigint, train_toxic bigint, numbers binary, sizes binary,"
           " toxic binary, calibrating binary, lang array<string>")
 
 
-def _packed(rows: pa.Table) -> pa.Table:
+def _packed(rows: pa.Table) -> pa.RecordBatch:
     """One row with the word numbers and labels of a shard's rows, ordered by key."""
     sample = _sample(rows)
-    keys = np.sort(rows.column("key").to_numpy()).view(np.uint64)
-    calibrating = tb.mixed(keys) % np.uint64(CALIBRATION) == 0
+    keys = np.sort(rows.column("key").to_numpy())
+    calibrating = tb.mixed(keys.view(np.uint64)) % np.uint64(CALIBRATION) == 0
     training = sample.toxic[~calibrating]
-    return pa.table({
-        "shard": pa.array([rows.column("shard")[0].as_py()], pa.int32()),
+    return pa.RecordBatch.from_pydict({
+        "shard": pa.array(keys[:1], pa.int64()),
         "train_rows": [len(training)], "train_toxic": [int(training.sum())],
         "numbers": [sample.numbers.T.tobytes()], "sizes": [np.diff(sample.bounds).tobytes()],
         "toxic": [sample.toxic.tobytes()], "calibrating": [calibrating.tobytes()],
@@ -294,35 +288,53 @@ def _packed(rows: pa.Table) -> pa.Table:
     })
 
 
-def _unpacked(row: dict, calibrating: bool) -> Sample:
-    """The rows of a shard that set thresholds, or those that are trained on."""
-    sizes = np.frombuffer(row["sizes"], np.int64)
-    whole = Sample(np.frombuffer(row["numbers"], np.uint16).reshape(-1, _TABLES).T,
-                   np.concatenate([[0], np.cumsum(sizes)]),
-                   np.frombuffer(row["toxic"], np.float32), row["lang"])
-    return whole.take(np.flatnonzero(np.frombuffer(row["calibrating"], bool) == calibrating))
-
-
-def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition in runs of SHARD_ROWS and SHARD_BYTES at most; longer texts alone."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        for start, stop, texts in tb.blocks(batch.column(3), SHARD_BYTES // 4):
+            for at in range(start, stop, SHARD_ROWS):
+                part = batch.slice(at, min(SHARD_ROWS, stop - at))
+                grown = texts.slice(at - start, part.num_rows).nbytes
+                if held and (rows + part.num_rows > SHARD_ROWS or size + grown > SHARD_BYTES):
+                    yield _packed(pa.Table.from_batches(held))
+                    held, rows, size = [], 0, 0
+                held.append(part)
+                rows, size = rows + part.num_rows, size + grown
+    if held:
+        yield _packed(pa.Table.from_batches(held))
+
+
+def _unpacked(row: pa.RecordBatch) -> tuple[Sample, np.ndarray]:
+    """The rows of a shard, and which of them set thresholds instead of training."""
+    of = lambda name, kind: np.frombuffer(row.column(name)[0].as_buffer(), kind)
+    return Sample(of("numbers", np.uint16).reshape(-1, _TABLES).T,
+                  np.concatenate([[0], np.cumsum(of("sizes", np.int64))]),
+                  of("toxic", np.float32), row.column("lang")[0].as_py()), of("calibrating", bool)
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
-            yield batch.slice(k, 1).to_pylist()[0]
+            yield batch.slice(k, 1)
 
 
 _DENSE = ("filters", "shift", "weight")
 
 
 def _trained(start: Network, epoch: int):
-    """Each shard's parameters after a pass over its rows: all dense ones, the rows moved of a table."""
+    """Each shard's parameters after PASSES over its rows: all dense ones, the rows moved of a table."""
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows_of(batches):
-            sample = _unpacked(row, calibrating=False)
-            if not len(sample.toxic):
+            sample, calibrating = _unpacked(row)
+            training, shard = np.flatnonzero(~calibrating), row.column("shard")[0].as_py()
+            if not len(training):
                 continue
             network = copy.deepcopy(start)
-            order = np.random.default_rng([SEED, epoch, row["shard"]]).permutation(len(sample.toxic))
-            for part in map(sample.take, minibatches(np.diff(sample.bounds), order)):
-                network.step(*padded(part.numbers, part.bounds), part.toxic)
+            draw = np.random.default_rng([SEED, epoch, shard % (1 << 63)])
+            for order in [draw.permutation(training) for _ in range(PASSES)]:
+                for part in map(sample.take, minibatches(np.diff(sample.bounds), order)):
+                    network.step(*padded(part.numbers, part.bounds), part.toxic)
             squares = lambda name, like: network.squares.get(name, np.zeros_like(like))
             dense = [v for name in _DENSE for v in (
                 getattr(network, name), squares(name, getattr(network, name)))]
@@ -332,17 +344,18 @@ def _trained(start: Network, epoch: int):
                 moved = np.flatnonzero((table != start.tables[t]).any(axis=1)).astype(np.int32)
                 out.append((moved, np.hstack([table, squares(f"table{t}", table)])[moved]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row["shard"]] * len(out), pa.int32()),
+                [pa.array([shard] * len(out), pa.int64()),
+                 pa.array([len(training)] * len(out), pa.int64()),
                  pa.array(range(len(out)), pa.int32()),
                  pa.array([at.tobytes() for at, _ in out], pa.binary()),
                  pa.array([values.tobytes() for _, values in out], pa.binary())],
-                ["shard", "part", "at", "numbers"])
+                ["shard", "weight", "part", "at", "numbers"])
 
     return train
 
 
 def _mean(parts: pa.Table) -> pa.Table:
-    """The mean of each row of one part over the shards that have it."""
+    """The mean of each row of one part over the shards that have it, by their weights."""
     total = times = None
     for part in parts.sort_by("shard").to_pylist():
         at = np.frombuffer(part["at"], np.int32)
@@ -353,8 +366,8 @@ def _mean(parts: pa.Table) -> pa.Table:
         if total is None:
             total = np.zeros((BUCKETS + 1 if part["part"] else 1, values.shape[1]))
             times = np.zeros(len(total))
-        total[at] += values
-        times[at] += 1
+        total[at] += part["weight"] * values.astype(np.float64)
+        times[at] += part["weight"]
     at = np.flatnonzero(times) if total is not None else np.zeros(0, np.int64)
     means = (total[at] / times[at, None]).astype(np.float32) if len(at) else np.zeros(0, np.float32)
     return pa.table({"part": pa.array([parts.column("part")[0].as_py()], pa.int32()),
@@ -383,7 +396,7 @@ def _moved(start: Network, means: list[dict]) -> Network:
     return network
 
 
-def fit(shards: DataFrame, epochs: int = EPOCHS) -> Network | float:
+def fit(shards: DataFrame, rounds: int = ROUNDS) -> Network | float:
     """The trained network; a constant score where the rows hold one label or none."""
     size = shards.agg(F.sum("train_rows").alias("n"), F.sum("train_toxic").alias("toxic")).head()
     if not size["n"]:
@@ -392,9 +405,9 @@ def fit(shards: DataFrame, epochs: int = EPOCHS) -> Network | float:
     if size["toxic"] in (0, size["n"]):
         return float(rate)
     network = Network.new(rate)
-    for epoch in range(epochs):
+    for epoch in range(rounds):
         means = shards.mapInArrow(
-            _trained(network, epoch), "shard int, part int, at binary, numbers binary"
+            _trained(network, epoch), "shard bigint, weight bigint, part int, at binary, numbers binary"
         ).groupBy("part").applyInArrow(_mean, "part int, at binary, numbers binary")
         network = _moved(network, means.toArrow().sort_by("part").to_pylist())
     network.squares.clear()
@@ -405,15 +418,15 @@ def _score_counts(network: Network):
     """Rows and toxic rows of each language and score of GRID, among those not trained on."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows_of(batches):
-            sample = _unpacked(row, calibrating=True)
-            order = np.arange(len(sample.toxic))
+            sample, calibrating = _unpacked(row)
+            order = np.flatnonzero(calibrating)
             scores = [np.zeros(0)]
             for part in map(sample.take, minibatches(np.diff(sample.bounds), order)):
                 scores.append(network.probability(*padded(part.numbers, part.bounds)))
             step = np.rint(np.concatenate(scores) * GRID).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sample.lang, pa.string()), pa.array(step),
-                 pa.array(sample.toxic.astype(np.int64))], ["lang", "step", "toxic"])
+                [pa.array([sample.lang[r] for r in order], pa.string()), pa.array(step),
+                 pa.array(sample.toxic[order].astype(np.int64))], ["lang", "step", "toxic"])
 
     return count
 
@@ -460,8 +473,7 @@ class Classifier:
 
 def training_shards(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """All ``labelled_rows`` as word numbers, one row per shard."""
-    return stored(labelled_rows(docs, labels).groupBy("shard").applyInArrow(_packed, _SHARD),
-                  "toxic_shards")
+    return stored(labelled_rows(docs, labels).mapInArrow(_shards, _SHARD), "toxic_shards")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
