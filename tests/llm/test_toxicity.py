@@ -159,3 +159,38 @@ def test_networks_of_many_shards_are_averaged(spark, monkeypatch):
     assert np.mean([r.predicted == truth[r.doc_id] for r in found if r.held_out]) > 0.97
     again = toxicity.score_toxicity(docs.repartition(3), marks).collect()
     assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in found}
+
+
+def test_only_texts_that_may_have_a_label_meet_the_labels(spark):
+    """Texts without a label are not shuffled to the labels, those with one all are."""
+    docs = spark.range(20_000).selectExpr("id doc_id", "'en' lang", "concat('text ', id) text")
+    ids = spark.range(0, 40_000, 100).selectExpr("id doc_id")
+    left = [r.doc_id for r in toxicity.maybe_among(docs, ids).collect()]
+    assert len(left) == len(set(left)) and set(range(0, 20_000, 100)) <= set(left)
+    assert len(left) < 20_000 / 8
+    assert toxicity.maybe_among(docs, ids.limit(0)).collect() == []
+
+
+def test_a_task_sends_one_network_for_all_of_its_shards(spark, monkeypatch):
+    """A round's shuffle grows with the cores, not with the shards."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 50)
+    draw = random.Random(5)
+    rows, labels = zip(*[make(draw, k) for k in range(1200)])
+    every = toxicity.labelled_rows(
+        spark.createDataFrame(rows, COLUMNS),
+        spark.createDataFrame(labels, "doc_id bigint, toxic int")).toArrow().combine_chunks()
+    packed = pa.Table.from_batches(list(toxicity._shards(iter(every.to_batches()))))
+    shards = spark.createDataFrame(packed).coalesce(1)
+    start = toxicity.Network.new(0.3)
+    sent = shards.mapInArrow(toxicity._trained(start, 0), toxicity._PARTS).collect()
+    assert shards.count() > 8 and [r.part for r in sent] == [0, 1, 2, 3]
+    alone = [pa.Table.from_batches(list(toxicity._trained(start, 0)(iter([row]))))
+             for row in toxicity._rows_of(iter(packed.to_batches()))
+             if row.column("train_rows")[0].as_py()]
+    assert {r.task for r in sent} == {alone[0].column("task")[0].as_py()}
+    for r in sent:
+        parts = [part for one in alone for part in one.to_pylist() if part["part"] == r.part]
+        table = toxicity._mean(pa.Table.from_pylist(parts, alone[0].schema))
+        assert table.column("at")[0].as_py() == r.at
+        assert np.allclose(np.frombuffer(table.column("numbers")[0].as_py(), np.float32),
+                           np.frombuffer(r.numbers, np.float32), atol=1e-6)

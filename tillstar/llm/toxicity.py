@@ -12,9 +12,12 @@ Every labelled row outside the test fold is learned from. Where the labels meet
 the rows are cut into shards of a bounded size, written once as word numbers. In each of
 ROUNDS every shard trains the network of the round before on all of its rows, PASSES
 times, and the shards' networks are averaged by their rows (an embedding over the shards
-that moved it), so a round is one Spark job and the driver holds one network of a fixed size. Every task applies the last one to its
-texts in blocks. Thresholds per language are set on the rows of the shards that are not
-trained on, all of them.
+that moved it), first those of a task, then those of all tasks. A round is one Spark job, as
+many tasks as cores send one network each, and the driver holds one network of a fixed size.
+Every task applies the last one to its texts in blocks. Thresholds per language are set on the
+rows of the shards that are not trained on, all of them.
+
+A text is shuffled to meet its label only if a bitmap of the labelled ids may hold its id.
 """
 
 from __future__ import annotations
@@ -31,11 +34,18 @@ from pyspark.sql import functions as F
 from tillstar.llm import text_blocks as tb
 from tillstar.llm.tables import held_out, stored
 
+#: Bits of the bitmap of labelled ids for each of them, and in all: with more ids than that
+#: allows for more texts without a label are shuffled, and the join drops them.
+BITS_PER_ID, MOST_BITS = 16, 1 << 29
+#: Bits of one page of it, as Spark's bitmap functions have them.
+PAGE_BITS = 8 * 4096
 #: Most labelled rows of a shard and bytes of their texts.
 SHARD_ROWS, SHARD_BYTES = 4_000, 12 << 20
 BUCKETS, EMBEDDING, PREFIXES = 1 << 15, 8, (6, 4)
 WIDTHS, FILTERS = (1, 2, 3), 8
 ROUNDS, PASSES, BATCH, RATE, SEED = 4, 2, 64, 0.1, 1
+#: A round has as many tasks as the session has cores, and no fewer, if there are shards.
+LEAST_TASKS = 4
 #: A minibatch ends before it has more words, unless one text alone has.
 BATCH_WORDS = 1 << 19
 #: Scores of this and more are predicted toxic.
@@ -241,12 +251,32 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     verdicts = stored(labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         (F.avg("toxic") >= 0.5).cast("int").alias("toxic")), "toxic_labels")
     labelled = verdicts.filter(~held_out("doc_id", FOLDS, TEST_FOLD))
-    return docs.select("doc_id", "lang", "text").join(labelled, "doc_id").groupBy(
+    texts = maybe_among(docs.select("doc_id", "lang", "text"), labelled)
+    return texts.join(labelled, "doc_id").groupBy(
         "doc_id", F.xxhash64("doc_id", "text").alias("key")).agg(
         F.max("toxic").alias("toxic"), F.min("lang").alias("lang"), F.first("text").alias("text")
     ).select("key", "toxic", "lang", "text")
 
 
+def maybe_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose doc_id is not in ``ids``; the others all stay.
+
+    What stays is for a join: ids that share a bit with one of ``ids`` stay too, about one in
+    BITS_PER_ID. The bitmap has BITS_PER_ID bits an id and no more than MOST_BITS.
+    """
+    pages = -(-min(ids.count() * BITS_PER_ID, MOST_BITS) // PAGE_BITS)
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")),
+                   F.lit(max(1, pages) * PAGE_BITS)) + 1
+    bit = F.bitmap_bit_position(place)
+    bitmap = ids.select(F.bitmap_bucket_number(place).alias("page"), bit.alias("bit")).groupBy(
+        "page").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = F.getbit(byte.cast("bigint"), (bit % 8).cast("int")) == 1
+    return rows.filter("doc_id is not null").join(
+        F.broadcast(bitmap), (F.bitmap_bucket_number(place) == F.col("page")) & is_set
+    ).select(*rows.columns)
+
+
 def _sample(rows: pa.Table) -> Sample:
     rows = rows.sort_by("key")
     numbers, sizes = [np.zeros((_TABLES, 0), np.uint16)], [np.zeros(0, np.int64)]
@@ -322,9 +352,50 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _DENSE = ("filters", "shift", "weight")
 
 
+class Sums:
+    """Weighted sums of one part's rows over the networks that have them."""
+
+    def __init__(self) -> None:
+        self.total: np.ndarray | None = None
+        self.times = np.zeros(0)
+
+    def add(self, part: int, at: np.ndarray, values: np.ndarray, weights: np.ndarray | int) -> None:
+        if not len(at):
+            return
+        if self.total is None:
+            self.total = np.zeros((BUCKETS + 1 if part else 1, values.shape[1]))
+            self.times = np.zeros(len(self.total))
+        self.total[at] += np.reshape(weights, (-1, 1)) * values.astype(np.float64)
+        self.times[at] += weights
+
+    def means(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rows that some network has, their means and the weights behind these."""
+        at = np.flatnonzero(self.times)
+        if not len(at):
+            return at.astype(np.int32), np.zeros(0, np.float32), at
+        return (at.astype(np.int32), (self.total[at] / self.times[at, None]).astype(np.float32),
+                self.times[at].astype(np.int64))
+
+
+def _changed(start: Network, network: Network) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All dense parameters, then the rows moved of each table, with their sums of squares."""
+    squares = lambda name, like: network.squares.get(name, np.zeros_like(like))
+    dense = [v for name in _DENSE for v in (
+        getattr(network, name), squares(name, getattr(network, name)))]
+    yield np.zeros(1, np.int32), np.concatenate(
+        [*[v.ravel() for v in dense], [network.base]]).astype(np.float32)[None]
+    for t, table in enumerate(network.tables):
+        moved = np.flatnonzero((table != start.tables[t]).any(axis=1)).astype(np.int32)
+        yield moved, np.hstack([table, squares(f"table{t}", table)])[moved]
+
+
+_PARTS = "task bigint, part int, at binary, numbers binary, weights binary"
+
+
 def _trained(start: Network, epoch: int):
-    """Each shard's parameters after PASSES over its rows: all dense ones, the rows moved of a table."""
+    """The mean of a task's shards after PASSES over the rows of each, weighted by these rows."""
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, sums = None, [Sums() for _ in range(1 + _TABLES)]
         for row in _rows_of(batches):
             sample, calibrating = _unpacked(row)
             training, shard = np.flatnonzero(~calibrating), row.column("shard")[0].as_py()
@@ -335,43 +406,30 @@ def _trained(start: Network, epoch: int):
             for order in [draw.permutation(training) for _ in range(PASSES)]:
                 for part in map(sample.take, minibatches(np.diff(sample.bounds), order)):
                     network.step(*padded(part.numbers, part.bounds), part.toxic)
-            squares = lambda name, like: network.squares.get(name, np.zeros_like(like))
-            dense = [v for name in _DENSE for v in (
-                getattr(network, name), squares(name, getattr(network, name)))]
-            out = [(np.zeros(1, np.int32), np.concatenate(
-                [*[v.ravel() for v in dense], [network.base]]).astype(np.float32))]
-            for t, table in enumerate(network.tables):
-                moved = np.flatnonzero((table != start.tables[t]).any(axis=1)).astype(np.int32)
-                out.append((moved, np.hstack([table, squares(f"table{t}", table)])[moved]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard] * len(out), pa.int64()),
-                 pa.array([len(training)] * len(out), pa.int64()),
-                 pa.array(range(len(out)), pa.int32()),
-                 pa.array([at.tobytes() for at, _ in out], pa.binary()),
-                 pa.array([values.tobytes() for _, values in out], pa.binary())],
-                ["shard", "weight", "part", "at", "numbers"])
+            task = shard if task is None else task
+            for part, (at, values) in enumerate(_changed(start, network)):
+                sums[part].add(part, at, values, len(training))
+        if task is None:
+            return
+        out = [s.means() for s in sums]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([task] * len(out), pa.int64()), pa.array(range(len(out)), pa.int32()),
+             *[pa.array([arrays[k].tobytes() for arrays in out], pa.binary()) for k in range(3)]],
+            ["task", "part", "at", "numbers", "weights"])
 
     return train
 
 
 def _mean(parts: pa.Table) -> pa.Table:
-    """The mean of each row of one part over the shards that have it, by their weights."""
-    total = times = None
-    for part in parts.sort_by("shard").to_pylist():
+    """The mean of each row of one part over the tasks that have it, by their weights."""
+    number, sums = parts.column("part")[0].as_py(), Sums()
+    for part in parts.sort_by("task").to_pylist():
         at = np.frombuffer(part["at"], np.int32)
-        values = np.frombuffer(part["numbers"], np.float32)
-        if not len(at):
-            continue
-        values = values.reshape(len(at), -1)
-        if total is None:
-            total = np.zeros((BUCKETS + 1 if part["part"] else 1, values.shape[1]))
-            times = np.zeros(len(total))
-        total[at] += part["weight"] * values.astype(np.float64)
-        times[at] += part["weight"]
-    at = np.flatnonzero(times) if total is not None else np.zeros(0, np.int64)
-    means = (total[at] / times[at, None]).astype(np.float32) if len(at) else np.zeros(0, np.float32)
-    return pa.table({"part": pa.array([parts.column("part")[0].as_py()], pa.int32()),
-                     "at": [at.astype(np.int32).tobytes()], "numbers": [means.tobytes()]})
+        values = np.frombuffer(part["numbers"], np.float32).reshape(len(at), -1) if len(at) else at
+        sums.add(number, at, values, np.frombuffer(part["weights"], np.int64))
+    at, means, _ = sums.means()
+    return pa.table({"part": pa.array([number], pa.int32()),
+                     "at": [at.tobytes()], "numbers": [means.tobytes()]})
 
 
 def _moved(start: Network, means: list[dict]) -> Network:
@@ -405,10 +463,10 @@ def fit(shards: DataFrame, rounds: int = ROUNDS) -> Network | float:
     if size["toxic"] in (0, size["n"]):
         return float(rate)
     network = Network.new(rate)
+    tasks = max(LEAST_TASKS, shards.sparkSession.sparkContext.defaultParallelism)
     for epoch in range(rounds):
-        means = shards.mapInArrow(
-            _trained(network, epoch), "shard bigint, weight bigint, part int, at binary, numbers binary"
-        ).groupBy("part").applyInArrow(_mean, "part int, at binary, numbers binary")
+        means = shards.coalesce(tasks).mapInArrow(_trained(network, epoch), _PARTS).groupBy("part").applyInArrow(
+            _mean, "part int, at binary, numbers binary")
         network = _moved(network, means.toArrow().sort_by("part").to_pylist())
     network.squares.clear()
     return network
