@@ -3,9 +3,12 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SALES, sale
+from tillstar.operators.lookups import maybe_among
 from tillstar.operators.validation import duplicate_receipts
+from tillstar.sources import star_tables
 from tillstar.streaming import state
 
 FIRST = datetime(2026, 1, 1)
@@ -85,3 +88,35 @@ def test_a_receipt_crosses_the_limit_once(spark, deliveries):
     assert sorted(map(str, whole.collect())) == sorted(
         map(str, state.found_receipts(spark, out).drop("batch").collect()))
     assert {f.receipt_no for f in state.flagged_so_far(spark, out).collect()} == {"A", "B", None}
+
+
+def test_keys_are_held_outside_the_heap(spark, deliveries):
+    """Keys of all lines, and counts of all receipts, would outgrow the executors' heap."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    out, _ = deliveries(dedup, [(sale(), 0)], [(sale(), 20)])
+    flags, _ = deliveries(lambda raw, to: state.flag_receipts(raw, f"{to}/flags"), [(sale(), 40)])
+    for folder in (f"{out}/checkpoints/keys", f"{flags}/flags/checkpoints/counts"):
+        assert "RocksDBStateStoreProvider" in spark.read.text(f"{folder}/offsets/0").agg(
+            F.concat_ws(" ", F.collect_list("value"))).head()[0]
+    assert spark.conf.get(setting, None) is None
+
+
+def test_deliveries_are_those_of_the_sql_from_one_join(spark):
+    folder = "/root/testdata/sf0.001"
+    sales = star_tables.raw_frame(spark, folder, "raw_transactions")
+    sql = spark.sql(star_tables.DELIVERIES_SQL, raw_transactions=sales)
+    found = star_tables.deliveries(spark, folder)
+    assert sorted(map(str, found.collect())) == sorted(map(str, sql.withColumn(
+        "delivered_on", F.date_add(F.lit("2026-01-01").cast("date"), "delivered_day")
+        .cast("timestamp")).drop("delivered_day").collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and plan.count("Join") == 3
+
+
+def test_only_lines_that_may_be_lost_are_shuffled(spark):
+    rows = spark.range(20_000).selectExpr("id", "string(id) text")
+    wanted = spark.range(0, 40_000, 100).select(F.xxhash64("id").alias("hash"))
+    left = [r.id for r in maybe_among(rows, F.xxhash64("id"), wanted).collect()]
+    assert len(left) == len(set(left)) and set(range(0, 20_000, 100)) <= set(left)
+    assert len(left) < 20_000 / 8
+    assert maybe_among(rows, F.xxhash64("id"), wanted.limit(0)).collect() == []

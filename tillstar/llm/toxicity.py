@@ -33,12 +33,8 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import text_blocks as tb
 from tillstar.llm.tables import held_out, stored
+from tillstar.operators.lookups import maybe_among
 
-#: Bits of the bitmap of labelled ids for each of them, and in all: with more ids than that
-#: allows for more texts without a label are shuffled, and the join drops them.
-BITS_PER_ID, MOST_BITS = 16, 1 << 29
-#: Bits of one page of it, as Spark's bitmap functions have them.
-PAGE_BITS = 8 * 4096
 #: Most labelled rows of a shard and bytes of their texts.
 SHARD_ROWS, SHARD_BYTES = 4_000, 12 << 20
 BUCKETS, EMBEDDING, PREFIXES = 1 << 15, 8, (6, 4)
@@ -251,32 +247,15 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     verdicts = stored(labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         (F.avg("toxic") >= 0.5).cast("int").alias("toxic")), "toxic_labels")
     labelled = verdicts.filter(~held_out("doc_id", FOLDS, TEST_FOLD))
-    texts = maybe_among(docs.select("doc_id", "lang", "text"), labelled)
+    # As text, so that ids of two integer types have one hash.
+    hashed = F.xxhash64(F.col("doc_id").cast("string"))
+    texts = maybe_among(docs.select("doc_id", "lang", "text"), hashed, labelled.select(hashed))
     return texts.join(labelled, "doc_id").groupBy(
         "doc_id", F.xxhash64("doc_id", "text").alias("key")).agg(
         F.max("toxic").alias("toxic"), F.min("lang").alias("lang"), F.first("text").alias("text")
     ).select("key", "toxic", "lang", "text")
 
 
-def maybe_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose doc_id is not in ``ids``; the others all stay.
-
-    What stays is for a join: ids that share a bit with one of ``ids`` stay too, about one in
-    BITS_PER_ID. The bitmap has BITS_PER_ID bits an id and no more than MOST_BITS.
-    """
-    pages = -(-min(ids.count() * BITS_PER_ID, MOST_BITS) // PAGE_BITS)
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")),
-                   F.lit(max(1, pages) * PAGE_BITS)) + 1
-    bit = F.bitmap_bit_position(place)
-    bitmap = ids.select(F.bitmap_bucket_number(place).alias("page"), bit.alias("bit")).groupBy(
-        "page").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    is_set = F.getbit(byte.cast("bigint"), (bit % 8).cast("int")) == 1
-    return rows.filter("doc_id is not null").join(
-        F.broadcast(bitmap), (F.bitmap_bucket_number(place) == F.col("page")) & is_set
-    ).select(*rows.columns)
-
-
 def _sample(rows: pa.Table) -> Sample:
     rows = rows.sort_by("key")
     numbers, sizes = [np.zeros((_TABLES, 0), np.uint16)], [np.zeros(0, np.int64)]

@@ -1,11 +1,14 @@
 """Sales lines known by state: repeated deliveries and receipts with too many lines.
 
 What earlier batches brought is held in the streams' state stores, partitioned by key,
-instead of being read from the stored lines again in every batch.
+instead of being read from the stored lines again in every batch. The stores keep it on the
+executors' disks with a bounded part in memory, so that the keys of all lines fit beside the work.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +16,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar import fixed_values as fixed
+from tillstar.operators.lookups import maybe_among
 from tillstar.operators.sales import LINE_KEY, LINE_ORDER, RAW_COLUMNS, UNIQUE_LINE, split_sales
 from tillstar.operators.validation import flagged_receipts, receipt_findings
+from tillstar.session import scratch_path
 
 BATCH = "batch"
 DELIVERED = "delivered_on"
 LATE_LINE = "delivered_too_late"
 _NEWEST_FIRST = "newest_first"
+#: Where state is kept: outside the heap, which keys of all lines would fill. A batch adds what
+#: it changed to the checkpoint.
+STATE_STORE = {
+    "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "rocksdb.boundedMemoryUsage": "true",
+    "rocksdb.changelogCheckpointing.enabled": "true",
+    "rocksdb.trackTotalNumberOfRows": "false",
+}
 _CANDIDATE = T.StructType([
     *[T.StructField(c, T.StringType()) for c in RAW_COLUMNS],
     T.StructField(_NEWEST_FIRST, T.LongType()), T.StructField(BATCH, T.LongType())])
@@ -67,7 +80,7 @@ def ingest_deduplicated(raw: DataFrame, out: str, delay: str) -> None:
         split.lines.write.mode("overwrite").parquet(store.path(f"candidates/{BATCH}={batch_id}"))
         _keep_new_keys(batch.sparkSession, store, delay)
 
-    _run(raw.writeStream.foreachBatch(take_in), store.path("checkpoints/lines"))
+    _run(raw.sparkSession, raw.writeStream.foreachBatch(take_in), store.path("checkpoints/lines"))
 
 
 def _keep_new_keys(spark: SparkSession, store: Deduplicated, delay: str) -> None:
@@ -77,21 +90,33 @@ def _keep_new_keys(spark: SparkSession, store: Deduplicated, delay: str) -> None
     fresh = arriving.select(
         *RAW_COLUMNS, F.timestamp_micros(-F.col(_NEWEST_FIRST)).alias(DELIVERED), BATCH,
     ).withWatermark(DELIVERED, delay).dropDuplicatesWithinWatermark(list(LINE_KEY))
-    _run(fresh.writeStream.format("parquet").option("path", store.path("sales")),
+    _run(spark, fresh.writeStream.format("parquet").option("path", store.path("sales")),
          store.path("checkpoints/keys"))
 
 
 def outcomes(spark: SparkSession, out: str) -> DataFrame:
     """(raw columns, failed_checks, copies) of every delivered line; '' marks the lines kept.
 
-    Candidates that were not kept broke the unique key if it is in the store, else they came
+    Only candidates that may be lost are shuffled with their cells. Candidates that were not kept broke the unique key if it is in the store, else they came
     too late. Copies sum to the lines delivered.
     """
     store = Deduplicated(out)
     sales = spark.read.schema(_KEPT).parquet(store.path("sales"))
     candidates = spark.read.schema(_CANDIDATE).parquet(store.path("candidates"))
-    lost = candidates.join(sales.select(BATCH, *LINE_KEY), [BATCH, *LINE_KEY], "left_anti")
-    known = sales.select(*LINE_KEY, F.lit(True).alias("known")).distinct()
+    # The lines kept are candidates, and a batch has a key once, so a digest with more
+    # candidates than lines kept has a lost one, whichever keys meet in it.
+    digest = F.xxhash64(*LINE_KEY)
+    counted = candidates.select(BATCH, digest.alias("digest"), F.lit(1).alias("n")).unionByName(
+        sales.select(BATCH, digest.alias("digest"), F.lit(-1).alias("n")))
+    path = scratch_path(spark, "lost_lines")
+    counted.groupBy("digest", BATCH).agg(F.sum("n").alias("n")).filter("n > 0").select(
+        "digest").write.parquet(path)
+    digests = spark.read.schema("digest bigint").parquet(path)
+    near = maybe_among(sales.select(BATCH, *LINE_KEY), digest, digests)
+    # Not an anti-join, which the optimizer would move below the one with the bitmap.
+    lost = maybe_among(candidates, digest, digests).join(
+        near.withColumn("kept", F.lit(True)), [BATCH, *LINE_KEY], "left").filter("kept is null")
+    known = near.select(*LINE_KEY, F.lit(True).alias("known")).distinct()
     lost = lost.join(known, list(LINE_KEY), "left").withColumn(
         "failed_checks", F.when(F.col("known"), F.lit(UNIQUE_LINE)).otherwise(F.lit(LATE_LINE)))
     one = F.lit(1).cast("bigint").alias("copies")
@@ -127,7 +152,8 @@ def flag_receipts(
                 _same(found.columns), "left_anti")
         found.write.mode("overwrite").parquet(f"{out}/found/{BATCH}={batch_id}")
 
-    _run(counts.writeStream.outputMode("update").foreachBatch(find), f"{out}/checkpoints/counts")
+    _run(raw.sparkSession, counts.writeStream.outputMode("update").foreachBatch(find),
+         f"{out}/checkpoints/counts")
 
 
 def _same(columns: list[str]):
@@ -150,6 +176,22 @@ def flagged_so_far(spark: SparkSession, out: str) -> DataFrame:
     return flagged_receipts(found_receipts(spark, out))
 
 
-def _run(writer, checkpoint: str) -> None:
-    stream = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+@contextmanager
+def _state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in ``STATE_STORE``, but for what the session sets."""
+    names = {f"spark.sql.streaming.stateStore.{k}": v for k, v in STATE_STORE.items()}
+    added = [name for name in names if spark.conf.get(name, None) is None]
+    for name in added:
+        spark.conf.set(name, names[name])
+    try:
+        yield
+    finally:
+        for name in added:
+            spark.conf.unset(name)
+
+
+def _run(spark: SparkSession, writer, checkpoint: str) -> None:
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with _state_store(spark):
+        stream = writer.start()
     stream.awaitTermination()
