@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tillstar.plans.catalog import RetailTables
 from tillstar.sources import star_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,3 +23,14 @@ def test_a_task_holds_a_bounded_number_of_lines(spark, monkeypatch):
 
 def test_few_lines_are_left_to_the_planner(spark):
     assert star_tables.sales_tasks(star_tables.read_table(spark, FOLDER, "lineitem")) is None
+
+
+def test_a_fact_joins_the_sales_once(spark):
+    """Its digests, receipts and lines are read from the raw sales as they were written."""
+    tables = RetailTables(spark, FOLDER)
+    whole = sorted(map(str, tables.sales.collect()))
+    fact = tables.fact
+    for frame in (fact, tables.split.rejected, tables.flagged, tables.keyless_fact):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan
+    assert sorted(map(str, tables.sales.collect())) == whole

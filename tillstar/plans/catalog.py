@@ -42,6 +42,7 @@ class RetailTables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._landed = False
 
     def table(self, name: str) -> DataFrame:
         return star_tables.read_table(self.spark, self.folder, name)
@@ -53,6 +54,20 @@ class RetailTables:
     def sales(self) -> DataFrame:
         return self.raw("transactions")
 
+    def land(self) -> None:
+        """Writes the raw sales once, so that what reads them again does not join them again.
+
+        A fact reads them four times: for the digests of its keys, the repeated lines, the
+        receipts with too many lines and the lines kept.
+        """
+        if self._landed:
+            return
+        path = scratch_path(self.spark, "raw_sales")
+        raw = self.sales
+        raw.write.parquet(path)
+        self.sales = self.spark.read.schema(raw.schema).parquet(path)
+        self._landed = True
+
     @cached_property
     def split(self) -> sales_ops.SalesSplit:
         return sales_ops.split_sales(self.sales, scratch_path(self.spark, "repeated_lines"))
@@ -118,10 +133,12 @@ class RetailTables:
 
     @cached_property
     def fact(self) -> DataFrame:
+        self.land()
         return fact.build_fact(self.split.kept, self.dims, self.flagged)
 
     @cached_property
     def keyless_fact(self) -> DataFrame:
+        self.land()
         return fact.build_fact(self.split.kept, self.keyless_dims, self.flagged)
 
     @cached_property
