@@ -71,7 +71,7 @@ GROUPS, ROUNDS, LEAST_SHARE = 8, 5, 64
 #: Documents of that sample, and the most frequent words that it is grouped by.
 SAMPLE, COMMON = 2_500, 1_024
 #: Adding a posting takes as long as so many steps of a matrix product.
-POSTING = 600
+POSTING = 450
 #: Queries whose postings are added at a time, and postings looked up at a time.
 STRIP, LOOK_UP = 16, 1 << 18
 #: Words counted in a task before their counts are handed on, and texts taken from a batch at a time.
@@ -99,7 +99,22 @@ def split_words(text: str) -> list[str]:
 def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one after the other."""
     n = high - low
-    return np.repeat(high - np.cumsum(n), n) + np.arange(n.sum())
+    ends = np.cumsum(n)
+    numbers = np.repeat(high - ends, n)
+    numbers += _upto(len(numbers))
+    return numbers
+
+
+_counted_up = [np.arange(1 << 16)]
+
+
+def _upto(n: int) -> np.ndarray:
+    """The numbers below ``n``, kept for short runs."""
+    if n > 1 << 20:
+        return np.arange(n)
+    if n > len(_counted_up[0]):
+        _counted_up[0] = np.arange(1 << (n - 1).bit_length())
+    return _counted_up[0][:n]
 
 
 def _from_sizes(sizes: np.ndarray) -> np.ndarray:
@@ -150,11 +165,11 @@ class Shard:
     ) -> None:
         self.order, self.k = np.asarray(order), k
         n_docs, self.n_terms = len(self.order), int(terms.max(initial=0)) + 1
-        keys = docs.astype(np.int64) * self.n_terms + terms
-        if (keys[1:] < keys[:-1]).any():
-            at = np.argsort(keys, kind="stable")
+        same = docs[1:] == docs[:-1]
+        if ((docs[1:] < docs[:-1]) | same & (terms[1:] < terms[:-1])).any():
+            at = np.lexsort((terms, docs))
             docs, terms, scores = docs[at], terms[at], scores[at]
-        del keys
+        del same
         self.terms, self.scores = terms, scores
         per_doc = np.bincount(docs, minlength=n_docs)
         self.of_doc = _from_sizes(per_doc)
@@ -169,7 +184,7 @@ class Shard:
         lists = block[place][docs] * self.n_terms
         lists += self.terms
         sizes = np.bincount(lists, minlength=(len(self.cuts) - 1) * self.n_terms)
-        by_list = np.argsort(lists, kind="stable")
+        by_list = np.argsort(lists)
         del lists
         self.docs = in_block[docs[by_list]]
         self.weights = self.scores.astype(np.float32)[by_list]
@@ -178,7 +193,7 @@ class Shard:
         self.best = np.zeros(len(sizes), np.float32)
         known = sizes > 0
         self.best[known] = np.maximum.reduceat(self.weights, self.of_list[:-1][known])
-        self.best = self.best.reshape(-1, self.n_terms).T
+        self.best = np.ascontiguousarray(self.best.reshape(-1, self.n_terms).T)
 
     def _grouped(self, docs: np.ndarray, common: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """What a term says for each group of alike documents, from the common terms of a sample."""
@@ -214,7 +229,9 @@ class Shard:
         """
         first = _from_sizes(sizes)
         group = self._group_of(terms, np.repeat(np.arange(len(sizes)), sizes), len(sizes))
-        standing, cuts = _laid_out(group, sizes, QUERIES)
+        asking = np.flatnonzero(sizes)
+        standing, cuts = _laid_out(group[asking], sizes[asking], QUERIES)
+        standing = asking[standing]
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for low, high in zip(cuts, cuts[1:]):
             asked = standing[low:high]
@@ -235,10 +252,11 @@ class Shard:
         has[of, at] = True
         # A sum of single floats is off by so much at most: all its parts are positive.
         exact = 1 + (sizes + 4) * 2.0**-22
+        # Every query has terms here, so that each is one run of them.
+        bound = np.add.reduceat(self.best[words][at], _from_sizes(sizes)[:-1], dtype=float).T * exact
         found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         for block in range(len(self.cuts) - 1):
-            bound = np.bincount(of, self.best[words, block][at], n) * exact
-            reach = np.flatnonzero((bound > 0) & (bound + SLACK >= least))
+            reach = np.flatnonzero((bound[block] > 0) & (bound[block] + SLACK >= least))
             if not len(reach):
                 continue
             totals = self._added(block, words, of, at, reach)
@@ -281,11 +299,12 @@ class Shard:
         columns = np.cumsum(shared) - 1
         rows = _ranges(low[shared], high[shared])
         table = np.zeros((int(shared.sum()), n_docs), np.float32)
-        table[np.repeat(np.arange(len(table)), (high - low)[shared]), self.docs[rows]] = (
-            self.weights[rows])
+        places = np.repeat(np.arange(len(table)) * n_docs, (high - low)[shared])
+        places += self.docs.take(rows)
+        table.reshape(-1)[places] = self.weights.take(rows)
         common = shared[at]
         has = np.zeros((len(reach), len(table)), np.float32)
-        has[of[common], columns[at[common]]] = 1
+        has.reshape(-1)[of[common] * len(table) + columns[at[common]]] = 1
         totals = has @ table
         of, at = of[~common], at[~common]
         cells = totals.reshape(-1)
@@ -382,10 +401,12 @@ class Postings:
             df[first:first + len(dfs)] = dfs
         idf = np.log(1 + (self.n_docs - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * np.asarray(self.lengths) / self.mean_length)
-        scores = idf[terms]
-        scores *= tf * (K1 + 1)
-        scores /= tf + norm[docs]
-        del tf
+        scores, divisor = idf[terms], norm[docs]
+        scores *= tf
+        scores *= K1 + 1
+        divisor += tf
+        scores /= divisor
+        del tf, divisor
         places = np.full(len(idf), -1, np.int64)
         places[terms] = 0
         places[places == 0] = np.arange((places == 0).sum())
@@ -510,7 +531,8 @@ def query_terms(docs: DataFrame, every: int = EVERY, n_terms: int | None = None)
         asked.select("term").distinct(), "term", "left_semi"), "found_words")
     # Words of like frequency have near numbers: their lists stand together, their steps are small.
     numbered = with_dense_key(
-        found, "number", scratch_path(docs.sparkSession, "asked_words"), ["df", "term"])
+        found.withColumn("often", -F.col("df")), "number",
+        scratch_path(docs.sparkSession, "asked_words"), ["often", "term"])
     words = stored(numbered.select((F.col("number") - 1).cast("int").alias("number"), "term", "df"),
                    "numbered_words")
     terms = asked.join(words, "term")
